@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: weeks, days, hours, minutes and seconds of an ISO-8601 duration.
 # Years and months have no fixed length and make the result null.
-ISO_DURATION = r"^P(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)(?:\.\d+)?S)?)?$"
+ISO_DURATION = r"^P(?=.*\d)(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)(?:\.\d+)?S)?)?$"
 ISO_UNIT_SECONDS = (604800, 86400, 3600, 60, 1)
 
 
@@ -16,11 +16,11 @@ def clock_parts(clock: Column) -> dict[str, Column]:
     Days in front, as in ``1 day 02:03:04``, count as 24 hours each.
     """
     parts = F.split(clock, ":")
-    first = F.get(parts, F.lit(0))
-    days = F.regexp_extract(first, r"^(\d+) days? ", 1).try_cast("int")
-    hours = F.regexp_replace(first, r"^\d+ days? ", "").try_cast("int")
+    words = F.split(F.get(parts, F.lit(0)), " ")
+    unit = F.get(words, F.lit(1))
+    days = F.when(unit.isNull(), 0).when(unit.isin("day", "days"), F.get(words, F.lit(0)).try_cast("int"))
     return {
-        "duration_hour": hours + F.coalesce(days, F.lit(0)) * 24,
+        "duration_hour": F.element_at(words, -1).try_cast("int") + days * 24,
         "duration_minute": F.get(parts, F.lit(1)).try_cast("int"),
         "duration_second": F.get(parts, F.lit(2)).try_cast("int"),
     }
@@ -42,12 +42,17 @@ def whole_minutes_up(seconds: Column) -> Column:
 
 
 def iso_seconds(text: Column) -> Column:
-    """Whole seconds of an ISO-8601 duration, null where the text is not one."""
+    """Whole seconds of an ISO-8601 duration, null where the text is not one.
+
+    One replacement brings all units into fixed places, where the pattern would
+    otherwise be matched once per unit.
+    """
+    placed = F.regexp_replace(text, ISO_DURATION, "0$1:0$2:0$3:0$4:0$5")
+    amounts = F.split(F.when(placed != text, placed), ":")
     total = F.lit(0).cast("long")
-    for group, seconds in enumerate(ISO_UNIT_SECONDS, start=1):
-        part = F.regexp_extract(text, ISO_DURATION, group).try_cast("long")
-        total = total + F.coalesce(part, F.lit(0)) * seconds
-    return F.when(text.rlike(ISO_DURATION) & text.rlike(r"\d"), total)
+    for place, seconds in enumerate(ISO_UNIT_SECONDS):
+        total = total + F.get(amounts, F.lit(place)).try_cast("long") * seconds
+    return total
 
 
 def iso_interval(text: Column) -> Column:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 def first_rows(df: DataFrame, keys: list[str], order: list[Column], limit: int = 1) -> DataFrame:
     """The first ``limit`` rows per key. ``order`` should end in a unique column."""
+    if not order and limit == 1:
+        return df.dropDuplicates(keys)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_place", place).where(F.col("_place") <= limit).drop("_place")
 

@@ -8,6 +8,7 @@ from viewtide.functions import durations
 from viewtide.operators.aggregates import equal_width_bins, place_values, quantiles
 from viewtide.operators.dedup import latest_per_key
 from viewtide.operators.filters import aged
+from viewtide.session import settled
 
 
 def latest_views(
@@ -41,7 +42,8 @@ def by_bin(
     """Videos under an hour, minutes rounded up, in equal bins: number and median views."""
     views = latest_views(video, video_log, ["duration"], min_age)
     minutes = durations.whole_minutes_up(durations.clock_seconds(F.col("duration")))
-    tally = (
+    # Read three times below: for the frequent lengths, their range, and the bins.
+    tally = settled(
         views.select(minutes.alias("minutes"), "view_count")
         .where("minutes < 60")
         .groupBy("minutes", "view_count")

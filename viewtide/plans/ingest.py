@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from viewtide.functions import dates, durations, payload
 from viewtide.operators.columns import cast_counters, nan_to_null
-from viewtide.operators.dedup import first_rows
+from viewtide.operators.dedup import first_per_key
 from viewtide.operators.filters import expired
 from viewtide.operators.joins import not_stored
 from viewtide.sources.writers import updated
@@ -39,12 +39,11 @@ def new_videos(
     place in the listing.
     """
     found = not_stored(listing, stored, ["channel_id", "video_type", "video_id"])
-    order = [F.asc(c) for c in ("page_no", "pos", "channel_id", "video_type")]
-    wanted = first_rows(found, ["video_id"], order).select("video_id", "channel_id", "video_type")
+    wanted = first_per_key(found, ["video_id"], ["page_no", "pos"])
+    wanted = wanted.select("video_id", "channel_id", "video_type")
     described = wanted.join(documents.select("video_id", "body"), "video_id")
     info = payload.video_info(described, keep=("channel_id", "video_type"))
-    once = first_rows(info, ["video_id"], [F.asc("channel_id"), F.asc("video_type")])
-    return typed_videos(once, zone)
+    return typed_videos(first_per_key(info, ["video_id"], ["channel_id", "video_type"]), zone)
 
 
 def _stamped(counters: DataFrame, columns: list[str], day: dt.date | Column) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions.ratios import ratio
 from viewtide.operators.aggregates import place_values, quantiles
+from viewtide.operators.filters import not_listed
 from viewtide.operators.joins import with_latest
 from viewtide.plans.duration_trend import latest_views
+from viewtide.session import settled
 
 # Names left out of the ranking.
 EXCLUDED = ["周杰倫 Jay Chou", "凱文羊", "福茂唱片"]
@@ -18,25 +20,21 @@ def _subscribers(channel: DataFrame, channel_log: DataFrame) -> DataFrame:
     return with_latest(named, channel_log, "channel_id", ["sub_count"], "left")
 
 
-def video_ratios(
-    video: DataFrame,
-    video_log: DataFrame,
-    channel: DataFrame,
-    channel_log: DataFrame,
-    min_age: int = 30,
-) -> DataFrame:
-    """Views per subscriber of each video older than ``min_age`` days."""
-    views = latest_views(video, video_log, ["channel_id"], min_age, strict=True)
+def old_views(video: DataFrame, video_log: DataFrame, min_age: int = 30) -> DataFrame:
+    """Views of each regular video older than ``min_age`` days, with its channel."""
+    return latest_views(video, video_log, ["channel_id"], min_age, strict=True)
+
+
+def video_ratios(views: DataFrame, channel: DataFrame, channel_log: DataFrame) -> DataFrame:
+    """Views per subscriber of each video in ``old_views``."""
     joined = views.join(_subscribers(channel, channel_log), "channel_id")
     return joined.withColumn("view_sub_ratio", ratio(F.col("view_count"), F.col("sub_count")))
 
 
 def top_channels(
-    video: DataFrame,
-    video_log: DataFrame,
+    views: DataFrame,
     channel: DataFrame,
     channel_log: DataFrame,
-    min_age: int = 30,
     excluded: list[str] = EXCLUDED,
     count: int = 10,
 ) -> DataFrame:
@@ -45,31 +43,27 @@ def top_channels(
     A channel's videos share one divisor, so views are summed per channel before
     the join: a channel with very many videos joins as one row.
     """
-    views = latest_views(video, video_log, ["channel_id"], min_age, strict=True)
     summed = views.groupBy("channel_id").agg(
         F.sum("view_count").alias("views"),
         F.count("view_count").alias("viewed"),
         F.count("*").alias("videos"),
     )
-    channels = summed.join(_subscribers(channel, channel_log), "channel_id")
-    channels = channels.where(~F.col("name").isin(excluded))
+    named = not_listed(_subscribers(channel, channel_log), "name", excluded)
+    channels = summed.join(named, "channel_id")
     rated = F.when(F.col("sub_count") != 0, F.col("viewed"))
     counted = F.when(F.col("sub_count").isNotNull(), F.col("videos"))
+    mean_ratio = F.try_divide(F.sum(ratio(F.col("views"), F.col("sub_count"))), F.sum(rated))
+    mean_subs = F.try_divide(F.sum(F.col("sub_count") * F.col("videos")), F.sum(counted))
     means = channels.groupBy("name").agg(
-        F.try_divide(F.sum(ratio(F.col("views"), F.col("sub_count"))), F.sum(rated)).alias(
-            "avg_view_sub_ratio"
-        ),
-        F.try_divide(F.sum(F.col("sub_count") * F.col("videos")), F.sum(counted)).alias("sub_count"),
+        mean_ratio.alias("avg_view_sub_ratio"), mean_subs.alias("sub_count")
     )
     return means.orderBy(F.desc("avg_view_sub_ratio"), "name").limit(count)
 
 
 def ratio_spread(
-    video: DataFrame,
-    video_log: DataFrame,
+    views: DataFrame,
     channel: DataFrame,
     channel_log: DataFrame,
-    min_age: int = 30,
     excluded: list[str] = EXCLUDED,
     count: int = 10,
 ) -> DataFrame:
@@ -78,15 +72,14 @@ def ratio_spread(
     Quartiles are interpolated linearly; whiskers end at the last value within
     1.5 interquartile ranges of the box.
     """
-    top = top_channels(video, video_log, channel, channel_log, min_age, excluded, count)
-    # ``top`` has at most ``count`` rows.
+    views = settled(views)
+    # At most ``count`` rows, as are the tables made from it by name.
+    top = settled(top_channels(views, channel, channel_log, excluded, count))
     chosen = channel.join(F.broadcast(top.select("name")), "name", "left_semi")
-    ratios = video_ratios(video, video_log, chosen, channel_log, min_age)
+    ratios = video_ratios(views, chosen, channel_log)
     placed = place_values(ratios, ["name"], "view_sub_ratio")
-    box = quantiles(
-        placed, ["name"], "view_sub_ratio",
-        {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0},
-    )
+    points = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0}
+    box = quantiles(placed, ["name"], "view_sub_ratio", points)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     value = F.col("view_sub_ratio")
     inside = F.when(value.between(F.col("q1") - reach, F.col("q3") + reach), value)
@@ -95,7 +88,5 @@ def ratio_spread(
         .groupBy("name")
         .agg(F.min(inside).alias("lower_whisker"), F.max(inside).alias("upper_whisker"))
     )
-    ranked = top.select(
-        "name", "avg_view_sub_ratio", "sub_count"
-    ).join(F.broadcast(box), "name", "left").join(F.broadcast(whiskers), "name", "left")
-    return ranked.orderBy(F.desc("avg_view_sub_ratio"), "name")
+    figures = F.broadcast(box.join(F.broadcast(whiskers), "name", "left"))
+    return top.join(figures, "name", "left").orderBy(F.desc("avg_view_sub_ratio"), "name")

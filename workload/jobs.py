@@ -203,11 +203,9 @@ TOP_CHANNELS = """SELECT name, avg(view_sub_ratio) AS avg_view_sub_ratio, avg(su
                   FROM ratios GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""
 
 
-def _domain(spark, folder):
-    return [
-        make(spark, folder)
-        for make in (views.video, views.video_log, views.channel, views.channel_log)
-    ]
+def _ratio_tables(spark, folder):
+    old = view_sub.old_views(views.video(spark, folder), views.video_log(spark, folder))
+    return old, views.channel(spark, folder), views.channel_log(spark, folder)
 
 
 @query(
@@ -220,7 +218,7 @@ def _domain(spark, folder):
     )
 )
 def view_sub_ratio(spark, folder):
-    ratios = view_sub.video_ratios(*_domain(spark, folder))
+    ratios = view_sub.video_ratios(*_ratio_tables(spark, folder))
     rounded = F.round("view_sub_ratio", 6).alias("view_sub_ratio")
     return ratios.select("video_id", "name", "sub_count", "view_count", rounded)
 
@@ -236,7 +234,7 @@ def view_sub_ratio(spark, folder):
     )
 )
 def view_sub_top10(spark, folder):
-    top = view_sub.top_channels(*_domain(spark, folder))
+    top = view_sub.top_channels(*_ratio_tables(spark, folder))
     return top.select("name", *[F.round(c, 6).alias(c) for c in ("avg_view_sub_ratio", "sub_count")])
 
 
@@ -264,7 +262,7 @@ BOX += ["lower_whisker", "upper_whisker"]
     )
 )
 def ratio_box_stats(spark, folder):
-    spread = view_sub.ratio_spread(*_domain(spark, folder))
+    spread = view_sub.ratio_spread(*_ratio_tables(spark, folder))
     return spread.select("name", "rows", *[F.round(c, 6).alias(c) for c in BOX])
 
 
