@@ -1,0 +1,255 @@
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from viewtide.operators import aggregates, filters, windows
+from viewtide.functions.dates import checkpoint_days
+from viewtide.plans import (
+    channel_distribution as distribution,
+    dimensions,
+    duration_trend,
+    ingest,
+    monthly_channel_fact as monthly,
+    video_fact as videos,
+    view_sub_ratio as view_sub,
+)
+
+D = dt.date
+AS_OF = D(2024, 2, 10)
+CHANNEL_LOG = "channel_id string, created_date date, sub_count long, view_count long, video_count long"
+
+
+def test_time_dimension(spark, rows):
+    calendar = dimensions.time_dimension(spark)
+    assert calendar.count() == 2466
+    assert calendar.where("is_weekend").count() == 704
+    assert rows(calendar)[0] == (D(2024, 4, 1), 2024, 4, 1, 14, 2, 2, 92, False)
+
+
+def growth_log(spark, parts=3, seed=0):
+    """One channel with all days, one lacking the 7th, one with no checkpoint, one with ties."""
+    data = [("all", D(2024, 1, d), 10 * d, 100 * d, d) for d in range(1, 32)]
+    data += [("all", D(2023, 12, 31), 1, 1, 1), ("all", D(2024, 2, 1), 9999, 9999, 9999)]
+    data += [("gap", D(2024, 1, d), d, 100 * d, 0) for d in (1, 13, 19, 25)]
+    data += [("none", D(2024, 1, 2), 1, 1, 1)]
+    data += [("tie", D(2024, 1, d), 10 * d, 0, 0) for d in (1, 31)]
+    random.Random(seed).shuffle(data)
+    return spark.createDataFrame(data, CHANNEL_LOG).repartition(parts)
+
+
+def test_monthly_channel_fact(spark):
+    for parts, seed in ((1, 0), (5, 1)):
+        fact = monthly.monthly_channel_fact(growth_log(spark, parts, seed), AS_OF)
+        found = {r.channel_id: r.asDict() for r in fact.collect()}
+        assert set(found) == {"all", "gap", "tie"}
+        assert [found["all"][f"{n}_sub_delta"] for n in range(1, 5)] == [60, 60, 60, 60]
+        # The numbers of later checkpoints move down over the missing one.
+        assert [found["gap"][f"{n}_sub_delta"] for n in range(1, 5)] == [12, 6, 6, None]
+        assert [found["tie"][f"{n}_sub_delta"] for n in range(1, 5)] == [None] * 4
+        assert [found[c]["monthly_sub_delta"] for c in ("all", "gap", "tie")] == [300, 24, 300]
+        assert [found[c]["sub_ranking"] for c in ("all", "gap", "tie")] == [1, 3, 1]
+        assert [found[c]["view_ranking"] for c in ("all", "gap", "tie")] == [1, 2, 3]
+
+
+def test_aligned_checkpoints(spark):
+    growth = monthly.monthly_growth(growth_log(spark), AS_OF, aligned=True)
+    gap = growth.where("channel_id = 'gap'").first().asDict()
+    assert [gap[f"{n}_sub_delta"] for n in range(1, 5)] == [None, None, 6, 6]
+
+
+def test_whole_log(spark):
+    growth = monthly.monthly_growth(growth_log(spark), AS_OF, whole_log=True)
+    found = growth.where("channel_id = 'all'").first()
+    assert found.monthly_sub_delta == 9998
+    assert found["1_sub_delta"] == 60
+
+
+def test_growth_equals_the_separate_operators(spark, rows):
+    """One conditional aggregate gives what windows, a pivot and a join would."""
+    log = growth_log(spark)
+    month = log.where(F.col("created_date").between(D(2024, 1, 1), D(2024, 1, 31)))
+    marks = filters.on_days(log, "created_date", checkpoint_days(D(2024, 1, 1)))
+    deltas = windows.checkpoint_deltas(marks, "channel_id", list(monthly.COUNTERS))
+    names = {c: c for c in ("sub_delta", "view_delta", "video_delta")}
+    weekly = aggregates.pivot_by_ordinal(deltas, "channel_id", "week_num", 4, names)
+    totals = aggregates.period_delta(month, "channel_id", list(monthly.COUNTERS), "monthly")
+    expected = weekly.join(totals, "channel_id")
+    growth = monthly.monthly_growth(log, AS_OF)
+    assert rows(growth) == rows(expected, *growth.columns)
+
+
+VIDEO = (
+    "video_id string, channel_id string, title string, video_type string, published_date date,"
+    " published_time timestamp, duration string, active boolean"
+)
+VIDEO_LOG = "video_id string, created_date date, view_count long, like_count long, comment_count long"
+
+
+def make_video(video_id, channel_id="c", video_type="video", published=D(2024, 1, 1), duration="00:05:30"):
+    return (video_id, channel_id, f"title {video_id}", video_type, published,
+            dt.datetime.combine(published, dt.time(8)), duration, True)
+
+
+def test_video_fact(spark):
+    video = spark.createDataFrame(
+        [make_video("v1"), make_video("v2"), make_video("v3"), make_video("s1", video_type="short"),
+         make_video("v4", "unknown"), make_video("v5", duration="11:06")],
+        VIDEO,
+    )
+    log = [("v1", D(2024, 1, d), 60 * d, d, 2 * d) for d in (5, 2, 3)]
+    log += [("v2", D(2024, 1, d), 7 * d, 0, 0) for d in (1, 2, 3, 4)]
+    log += [(v, D(2024, 1, 1), 1, 1, 1) for v in ("v3", "s1", "v4", "v5")]
+    log += [("stray", D(2024, 1, 1), 1, 1, 1)]
+    channel_log = spark.createDataFrame(
+        [("c", D(2024, 1, 2), 0, 0, 0), ("c", D(2024, 1, 9), 100, 0, 0)], CHANNEL_LOG
+    )
+    fact = videos.video_fact(video, spark.createDataFrame(log, VIDEO_LOG), channel_log, snapshots=3)
+    found = {r.video_id: r.asDict() for r in fact.collect()}
+    assert set(found) == {"v1", "v2", "v3", "v5", "s1"}
+    v1 = found["v1"]
+    # The third snapshot present, not the third day.
+    assert (v1["3_date"], v1["3_view"], v1["3_like"], v1["3_comment"]) == (D(2024, 1, 5), 300, 5, 10)
+    assert (v1["duration"], v1["sub_count"], v1["avg_daily_view"], v1["sub_view_ratio"]) == (5.5, 100, 50, 3)
+    assert found["v5"]["duration"] is None
+    # Ascending, without a third snapshot first, ties by id.
+    assert [found[v]["video_ranking"] for v in ("v3", "v5", "v2", "v1")] == [1, 2, 3, 4]
+    assert found["s1"]["video_ranking"] == 1
+    assert "4_view" not in fact.columns
+    most = videos.video_fact(
+        video, spark.createDataFrame(log, VIDEO_LOG), channel_log, snapshots=3, descending=True
+    )
+    assert {r.video_id: r.video_ranking for r in most.collect()}["v1"] == 1
+
+
+def test_no_subscribers_gives_null(spark):
+    video = spark.createDataFrame([make_video("v")], VIDEO)
+    log = spark.createDataFrame([("v", D(2024, 1, 1), 5, 0, 0)], VIDEO_LOG)
+    channel_log = spark.createDataFrame([("c", D(2024, 1, 2), 0, 0, 0)], CHANNEL_LOG)
+    assert videos.video_fact(video, log, channel_log, snapshots=1).first().sub_view_ratio is None
+
+
+@pytest.fixture
+def channels(spark):
+    named = [("c1", "One", "Music, Film"), ("c2", "Two", None), ("c3", None, "Film"), ("c4", "One", "Pets")]
+    channel = spark.createDataFrame(named, "channel_id string, name string, topic string")
+    log = [("c1", D(2024, 1, 1), 1, 1, 1), ("c1", D(2024, 1, 3), None, 3, 3), ("c1", D(2024, 1, 2), 2, 2, 2),
+           ("c2", D(2024, 1, 1), 5, 5, 5), ("c3", D(2024, 1, 1), 6, 6, 6), ("c4", D(2024, 1, 9), 7, 7, 7),
+           ("c9", D(2024, 1, 1), 8, 8, 8)]
+    return channel, spark.createDataFrame(log, CHANNEL_LOG)
+
+
+def test_channel_distribution(rows, channels):
+    found = distribution.channel_distribution(*channels)
+    assert rows(found, "channel_id", "name", "topic", "sub_count") == [
+        ("c1", "One", "Film", 2),  # the snapshot of the 3rd lacks a counter
+        ("c4", "One", "Pets", 7),
+    ]
+
+
+def test_channel_distribution_filled(rows, channels):
+    found = distribution.latest_channels(*channels, nulls="fill")
+    # One row per name; missing names are one name.
+    assert rows(found, "name", "topic", "sub_count") == [
+        ("NULL", "NULL", 8),
+        ("One", "Pets", 7),
+        ("Two", "NULL", 5),
+    ]
+
+
+def trend_tables(spark):
+    video = [make_video(f"a{n}", duration=f"00:05:{10 + n}") for n in range(3)]
+    video += [make_video(f"b{n}", duration="00:06:00") for n in range(2)]
+    video += [
+        make_video("hour", duration="01:05:00"),
+        make_video("short", duration="00:05:00", video_type="short"),
+        make_video("young", duration="00:05:00", published=D(2024, 1, 30)),
+        make_video("odd", duration="1 day 00:05:00"),
+        make_video("lone", duration="00:59:00"),
+    ]
+    log = [(row[0], D(2024, 1, 31), 10 * n, 0, 0) for n, row in enumerate(video)]
+    log += [(row[0], D(2024, 1, 20), 99999, 0, 0) for row in video]
+    return spark.createDataFrame(video, VIDEO), spark.createDataFrame(log, VIDEO_LOG)
+
+
+def test_trend_by_minute(spark, rows):
+    found = duration_trend.by_minute(*trend_tables(spark), more_than=1)
+    assert rows(found) == [(5, 3, 10.0), (6, 2, 35.0)]
+
+
+def test_trend_by_bin(spark, rows):
+    video, log = trend_tables(spark)
+    # 5:10 to 5:12 and 6:00 are all six minutes when rounded up.
+    found = duration_trend.by_bin(video, log, more_than=1)
+    assert rows(found, "count", "median_view_count") == [(5, 20.0)]
+    every = duration_trend.by_bin(video, log, more_than=0)
+    assert rows(every, "bin", "label", "count", "median_view_count") == [
+        (1, "5~9", 5, 20.0),
+        (20, "56~59", 1, 90.0),
+    ]
+
+
+def test_ratio_plans(spark, rows):
+    names = [f"n{n:02d}" for n in range(12)]
+    channel = [(f"c{n}", name) for n, name in enumerate(names)]
+    channel += [("twin", "n11"), ("out", "凱文羊"), ("anonymous", None), ("nosubs", "none")]
+    subs = {c: 10 for c, _ in channel} | {"nosubs": 0, "twin": 20}
+    video, log = [], []
+    for number, (c, _) in enumerate(channel):
+        for copy in range(4):
+            video.append(make_video(f"{c}-{copy}", c))
+            log.append((f"{c}-{copy}", D(2024, 2, 1), 100 * number + 10 * copy, 0, 0))
+    video.append(make_video("c0-new", "c0", published=D(2024, 1, 2)))  # exactly 30 days old
+    log.append(("c0-new", D(2024, 2, 1), 10**9, 0, 0))
+    views = view_sub.old_views(spark.createDataFrame(video, VIDEO), spark.createDataFrame(log, VIDEO_LOG))
+    channel = spark.createDataFrame(channel, "channel_id string, name string")
+    channel_log = spark.createDataFrame(
+        [(c, D(2024, 2, 1), s, 0, 0) for c, s in subs.items()]
+        + [(c, D(2024, 1, 1), 10**6, 0, 0) for c in subs],
+        CHANNEL_LOG,
+    )
+    top = view_sub.top_channels(views, channel, channel_log).collect()
+    # "n11" is two channels: (110 + 111 + 112 + 113 + 60 + 60.5 + 61 + 61.5) / 8.
+    expected = {"n11": (86.125, 15.0)}
+    expected |= {f"n{n:02d}": (10.0 * n + 1.5, 10.0) for n in range(2, 11)}
+    assert {r.name: (r.avg_view_sub_ratio, r.sub_count) for r in top} == expected
+    assert [r.avg_view_sub_ratio for r in top] == sorted((v for v, _ in expected.values()), reverse=True)
+
+    spread = view_sub.ratio_spread(views, channel, channel_log).collect()
+    assert [r.name for r in spread] == [r.name for r in top]
+    ten = next(r for r in spread if r.name == "n10")
+    assert (ten.rows, ten.lowest, ten.q1, ten.median, ten.q3, ten.highest) == (
+        4, 100.0, 100.75, 101.5, 102.25, 103.0,
+    )
+    assert (ten.lower_whisker, ten.upper_whisker) == (100.0, 103.0)
+
+    ratios = view_sub.video_ratios(views, channel, channel_log)
+    assert rows(ratios.where("name = 'none'"), "view_sub_ratio")[0] == (None,)
+
+
+def test_whiskers_leave_outliers_out(spark):
+    video = spark.createDataFrame([make_video(f"v{n}") for n in range(9)], VIDEO)
+    counts = [1, 2, 3, 4, 5, 6, 7, 8, 1000]
+    log = spark.createDataFrame([(f"v{n}", D(2024, 3, 1), c, 0, 0) for n, c in enumerate(counts)], VIDEO_LOG)
+    channel = spark.createDataFrame([("c", "name")], "channel_id string, name string")
+    channel_log = spark.createDataFrame([("c", D(2024, 1, 1), 1, 0, 0)], CHANNEL_LOG)
+    row = view_sub.ratio_spread(view_sub.old_views(video, log), channel, channel_log).first()
+    assert (row.highest, row.lower_whisker, row.upper_whisker) == (1000.0, 1.0, 8.0)
+
+
+def test_expiry(spark, rows):
+    data = [("old", D(2024, 1, 10), True), ("edge", D(2024, 1, 11), True), ("done", D(2023, 1, 1), False),
+            ("undated", None, True)]
+    video = spark.createDataFrame(data, "video_id string, published_date date, active boolean")
+    found = ingest.expire_videos(video, AS_OF)
+    assert rows(found, "video_id", "active") == [
+        ("done", False), ("edge", True), ("old", False), ("undated", True),
+    ]
+
+
+def test_restart_marks(spark, rows):
+    channel = spark.createDataFrame([("a", False), ("b", True)], "channel_id string, active boolean")
+    due = ingest.activate_channels(channel)
+    assert rows(due) == [("a", True), ("b", True)]
+    assert rows(ingest.deactivate_channels(due, channel.where("channel_id = 'b'"))) == [("a", True), ("b", False)]

@@ -93,12 +93,12 @@ def read_id_list(spark: SparkSession, path: str, name: str = "channel_id") -> Da
     The comma is taken as the line separator, so that a long list is split
     among tasks although it is a single line.
     """
-    ids = spark.read.option("lineSep", ",").text(path)
+    ids = spark.read.text(path, lineSep=",")
     squeezed = F.regexp_replace("value", r"\s", "")
     return ids.select(squeezed.alias(name)).where(F.col(name) != "")
 
 
 def read_documents(spark: SparkSession, path: str, name: str = "body") -> DataFrame:
     """Stored JSON or HTML files, one row per file with its path."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias(name))
