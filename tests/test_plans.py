@@ -1,20 +1,25 @@
 import datetime as dt
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from viewtide.operators import aggregates, filters, windows
+from viewtide import schema
 from viewtide.functions.dates import checkpoint_days
+from viewtide.operators import aggregates, filters, windows
 from viewtide.plans import (
     channel_distribution as distribution,
+    daily,
     dimensions,
     duration_trend,
     ingest,
     monthly_channel_fact as monthly,
     video_fact as videos,
     view_sub_ratio as view_sub,
+    warehouse,
 )
+from viewtide.sources import readers, writers
 
 D = dt.date
 AS_OF = D(2024, 2, 10)
@@ -194,7 +199,7 @@ def test_ratio_plans(spark, rows):
     names = [f"n{n:02d}" for n in range(12)]
     channel = [(f"c{n}", name) for n, name in enumerate(names)]
     channel += [("twin", "n11"), ("out", "凱文羊"), ("anonymous", None), ("nosubs", "none")]
-    subs = {c: 10 for c, _ in channel} | {"nosubs": 0, "twin": 20}
+    levels = {c: 10 for c, _ in channel} | {"nosubs": 0, "twin": 20}
     video, log = [], []
     for number, (c, _) in enumerate(channel):
         for copy in range(4):
@@ -205,18 +210,19 @@ def test_ratio_plans(spark, rows):
     views = view_sub.old_views(spark.createDataFrame(video, VIDEO), spark.createDataFrame(log, VIDEO_LOG))
     channel = spark.createDataFrame(channel, "channel_id string, name string")
     channel_log = spark.createDataFrame(
-        [(c, D(2024, 2, 1), s, 0, 0) for c, s in subs.items()]
-        + [(c, D(2024, 1, 1), 10**6, 0, 0) for c in subs],
+        [(c, D(2024, 2, 1), s, 0, 0) for c, s in levels.items()]
+        + [(c, D(2024, 1, 1), 10**6, 0, 0) for c in levels],
         CHANNEL_LOG,
     )
-    top = view_sub.top_channels(views, channel, channel_log).collect()
+    subs = view_sub.subscribers(channel, channel_log)
+    top = view_sub.top_channels(views, subs).collect()
     # "n11" is two channels: (110 + 111 + 112 + 113 + 60 + 60.5 + 61 + 61.5) / 8.
     expected = {"n11": (86.125, 15.0)}
     expected |= {f"n{n:02d}": (10.0 * n + 1.5, 10.0) for n in range(2, 11)}
     assert {r.name: (r.avg_view_sub_ratio, r.sub_count) for r in top} == expected
     assert [r.avg_view_sub_ratio for r in top] == sorted((v for v, _ in expected.values()), reverse=True)
 
-    spread = view_sub.ratio_spread(views, channel, channel_log).collect()
+    spread = view_sub.ratio_spread(views, subs).collect()
     assert [r.name for r in spread] == [r.name for r in top]
     ten = next(r for r in spread if r.name == "n10")
     assert (ten.rows, ten.lowest, ten.q1, ten.median, ten.q3, ten.highest) == (
@@ -224,7 +230,7 @@ def test_ratio_plans(spark, rows):
     )
     assert (ten.lower_whisker, ten.upper_whisker) == (100.0, 103.0)
 
-    ratios = view_sub.video_ratios(views, channel, channel_log)
+    ratios = view_sub.video_ratios(views, subs)
     assert rows(ratios.where("name = 'none'"), "view_sub_ratio")[0] == (None,)
 
 
@@ -234,7 +240,8 @@ def test_whiskers_leave_outliers_out(spark):
     log = spark.createDataFrame([(f"v{n}", D(2024, 3, 1), c, 0, 0) for n, c in enumerate(counts)], VIDEO_LOG)
     channel = spark.createDataFrame([("c", "name")], "channel_id string, name string")
     channel_log = spark.createDataFrame([("c", D(2024, 1, 1), 1, 0, 0)], CHANNEL_LOG)
-    row = view_sub.ratio_spread(view_sub.old_views(video, log), channel, channel_log).first()
+    subs = view_sub.subscribers(channel, channel_log)
+    row = view_sub.ratio_spread(view_sub.old_views(video, log), subs).first()
     assert (row.highest, row.lower_whisker, row.upper_whisker) == (1000.0, 1.0, 8.0)
 
 
@@ -253,3 +260,66 @@ def test_restart_marks(spark, rows):
     due = ingest.activate_channels(channel)
     assert rows(due) == [("a", True), ("b", True)]
     assert rows(ingest.deactivate_channels(due, channel.where("channel_id = 'b'"))) == [("a", True), ("b", False)]
+
+
+def test_warehouse(spark, rows, tmp_path):
+    video = [make_video("v1"), make_video("v2")]
+    tables = {
+        "video": spark.createDataFrame(video, VIDEO),
+        "video_log": spark.createDataFrame([("v1", D(2024, 1, 1), 5, 0, 0)], VIDEO_LOG),
+        "channel": spark.createDataFrame([("c", "name")], "channel_id string, name string")
+        .withColumns({c: F.lit(None).cast("string") for c in ("customurl", "published_date", "country")})
+        .withColumns({"keywords": F.lit("k"), "topic": F.lit("a, b")}),
+        "channel_log": growth_log(spark).replace("all", "c"),
+    }
+    for csv in (False, True):
+        paths = warehouse.build(spark, tables, f"{tmp_path}/raw", f"{tmp_path}/olap", AS_OF, csv)
+        read = readers.read_csv if csv else readers.read_parquet
+        counts = {name: read(spark, path).count() for name, path in paths.items()}
+        assert counts == {
+            "time_dimension": 2466,
+            "channel_dimension": 1,
+            "monthly_channel_fact": 3,
+            "video_fact_table": 1,
+        }
+
+
+def test_daily_run(spark, rows, tmp_path):
+    day = D(2024, 2, 20)
+    body = json.dumps(
+        {"items": [{"id": "new", "snippet": {"title": "t", "publishedAt": "2024-02-20T18:00:00Z"},
+                    "contentDetails": {"duration": "PT1M"}, "statistics": {"viewCount": "5"}}]}
+    )
+    documents = spark.createDataFrame([("new", body)], "video_id string, body string")
+    listed = '"Endpoint":{"videoId":"old",\n"Endpoint":{"videoId":"new",\n'
+    pages = spark.createDataFrame(
+        [("c", "video", 0, listed)], "channel_id string, video_type string, page_no int, body string"
+    )
+    path = f"{tmp_path}/video"
+    writers.append(spark.createDataFrame([make_video("old")], VIDEO), path, schema.VIDEO)
+    added = [
+        daily.append_new_videos(spark, pages, documents, path, f"{tmp_path}/csv") for _ in range(2)
+    ]
+    assert added == [1, 0]
+    stored = spark.read.schema(schema.VIDEO).parquet(path)
+    assert rows(stored, "video_id", "published_date", "duration", "active") == [
+        ("new", D(2024, 2, 21), "00:01:00", True),
+        ("old", D(2024, 1, 1), "00:05:30", True),
+    ]
+    assert daily.append_video_counters(stored, documents, day, f"{tmp_path}/log") == 1
+    log = spark.read.schema(schema.VIDEO_LOG).parquet(f"{tmp_path}/log")
+    # A hidden counter gets the column's default.
+    assert rows(log, "video_id", "view_count", "like_count", "created_date") == [("new", 5, 0, day)]
+
+    channel = json.dumps(
+        {"items": [{"id": "c", "snippet": {"title": "t", "publishedAt": "2008-11-09T03:54:16Z"},
+                    "statistics": {"viewCount": "7", "subscriberCount": "8", "videoCount": "9"}}]}
+    )
+    documents = spark.createDataFrame([("c", channel)], "channel_id string, body string")
+    assert daily.append_channel_counters(documents, day, f"{tmp_path}/channel_log") == 1
+    ids = spark.createDataFrame([("c",), ("bad",)], "channel_id string")
+    assert daily.register_channels(ids, documents, f"{tmp_path}/channel") == 1
+    found = spark.read.schema(schema.CHANNEL).parquet(f"{tmp_path}/channel")
+    assert rows(found, "channel_id", "published_date", "active") == [
+        ("c", dt.datetime(2008, 11, 9, 3, 54, 16), True)
+    ]

@@ -45,7 +45,7 @@ def by_bin(
     # Read three times below: for the frequent lengths, their range, and the bins.
     tally = settled(
         views.select(minutes.alias("minutes"), "view_count")
-        .where("minutes < 60")
+        .where("minutes between 0 and 59")
         .groupBy("minutes", "view_count")
         .agg(F.count("*").alias("videos"))
     )

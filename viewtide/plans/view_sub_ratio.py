@@ -15,7 +15,8 @@ from viewtide.session import settled
 EXCLUDED = ["周杰倫 Jay Chou", "凱文羊", "福茂唱片"]
 
 
-def _subscribers(channel: DataFrame, channel_log: DataFrame) -> DataFrame:
+def subscribers(channel: DataFrame, channel_log: DataFrame) -> DataFrame:
+    """Name and last number of subscribers of each channel that has a name."""
     named = channel.select("channel_id", "name").where("name is not null")
     return with_latest(named, channel_log, "channel_id", ["sub_count"], "left")
 
@@ -25,18 +26,14 @@ def old_views(video: DataFrame, video_log: DataFrame, min_age: int = 30) -> Data
     return latest_views(video, video_log, ["channel_id"], min_age, strict=True)
 
 
-def video_ratios(views: DataFrame, channel: DataFrame, channel_log: DataFrame) -> DataFrame:
-    """Views per subscriber of each video in ``old_views``."""
-    joined = views.join(_subscribers(channel, channel_log), "channel_id")
+def video_ratios(views: DataFrame, subs: DataFrame) -> DataFrame:
+    """Views per subscriber of each video, from ``old_views`` and ``subscribers``."""
+    joined = views.join(subs, "channel_id")
     return joined.withColumn("view_sub_ratio", ratio(F.col("view_count"), F.col("sub_count")))
 
 
 def top_channels(
-    views: DataFrame,
-    channel: DataFrame,
-    channel_log: DataFrame,
-    excluded: list[str] = EXCLUDED,
-    count: int = 10,
+    views: DataFrame, subs: DataFrame, excluded: list[str] = EXCLUDED, count: int = 10
 ) -> DataFrame:
     """The names with the highest mean ratio and their mean number of subscribers.
 
@@ -48,8 +45,7 @@ def top_channels(
         F.count("view_count").alias("viewed"),
         F.count("*").alias("videos"),
     )
-    named = not_listed(_subscribers(channel, channel_log), "name", excluded)
-    channels = summed.join(named, "channel_id")
+    channels = summed.join(not_listed(subs, "name", excluded), "channel_id")
     rated = F.when(F.col("sub_count") != 0, F.col("viewed"))
     counted = F.when(F.col("sub_count").isNotNull(), F.col("videos"))
     mean_ratio = F.try_divide(F.sum(ratio(F.col("views"), F.col("sub_count"))), F.sum(rated))
@@ -61,23 +57,18 @@ def top_channels(
 
 
 def ratio_spread(
-    views: DataFrame,
-    channel: DataFrame,
-    channel_log: DataFrame,
-    excluded: list[str] = EXCLUDED,
-    count: int = 10,
+    views: DataFrame, subs: DataFrame, excluded: list[str] = EXCLUDED, count: int = 10
 ) -> DataFrame:
     """Box-plot figures for the leading channels, in their order.
 
     Quartiles are interpolated linearly; whiskers end at the last value within
     1.5 interquartile ranges of the box.
     """
-    views = settled(views)
+    views, subs = settled(views), settled(subs)
     # At most ``count`` rows, as are the tables made from it by name.
-    top = settled(top_channels(views, channel, channel_log, excluded, count))
-    chosen = channel.join(F.broadcast(top.select("name")), "name", "left_semi")
-    ratios = video_ratios(views, chosen, channel_log)
-    placed = place_values(ratios, ["name"], "view_sub_ratio")
+    top = settled(top_channels(views, subs, excluded, count))
+    chosen = subs.join(F.broadcast(top.select("name")), "name", "left_semi")
+    placed = place_values(video_ratios(views, chosen), ["name"], "view_sub_ratio")
     points = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0}
     box = quantiles(placed, ["name"], "view_sub_ratio", points)
     reach = 1.5 * (F.col("q3") - F.col("q1"))

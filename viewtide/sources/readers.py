@@ -19,13 +19,19 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    multi_line: bool = True,
+) -> DataFrame:
     """CSV with a header. Without a schema all columns are text.
 
     With a schema the header must match it, so columns in another order fail
-    instead of being read as each other.
+    instead of being read as each other. A file whose fields may hold line feeds
+    is read by one task; turn ``multi_line`` off to split large files without them.
     """
-    reader = spark.read.options(**CSV)
+    reader = spark.read.options(**{**CSV, "multiLine": multi_line})
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)

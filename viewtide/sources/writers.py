@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import functions as F, types as T
 
 from viewtide.sources.readers import CSV, run_sql
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a parquet table.
+def _laid_out(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
+    """A writer by partition column, or without one.
 
-    Rows are rebalanced by the partition column: one file per small value, and
-    several for a value that holds most of the rows.
+    Rows are rebalanced by that column: one file for a small value, and several
+    for a value that holds most of the rows.
     """
-    if partition_by:
-        df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by).parquet(
-            path, mode="overwrite"
-        )
-    else:
-        df.write.parquet(path, mode="overwrite")
+    if partition_by is None:
+        return df.write
+    return df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
+
+
+def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Replace a parquet table."""
+    _laid_out(df, partition_by).mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a CSV table, with a header in each file."""
-    if partition_by:
-        writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
-    else:
-        writer = df.write
-    writer.options(**{k: v for k, v in CSV.items() if k != "multiLine"}).csv(path, mode="overwrite")
+    options = {name: value for name, value in CSV.items() if name != "multiLine"}
+    _laid_out(df, partition_by).options(**options).mode("overwrite").csv(path)
 
 
 def export_csv(spark: SparkSession, query: str, path: str, **tables: DataFrame) -> None:
@@ -57,8 +57,7 @@ def append(
     """Append rows to a parquet table and return how many."""
     counted = Observation()
     rows = align(df, schema, defaults).observe(counted, F.count("*").alias("rows"))
-    writer = rows.write.mode("append")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    _laid_out(rows, partition_by).mode("append").parquet(path)
     return counted.get["rows"]
 
 

@@ -699,18 +699,19 @@ def dq_foreign_key(spark, folder):
 
 
 @query(
-    with_views(
-        ["video", "video_log", "channel_log"],
-        """SELECT * FROM (
-             SELECT 'video_log' AS "table", 'foreign key' AS "constraint", 'video_id' AS "column",
-               (SELECT count(*) FROM video_log WHERE video_id NOT IN
-                  (SELECT video_id FROM video WHERE active)) AS rows)
-           WHERE rows > 0""",
-    )
+    """WITH log AS (SELECT o_orderkey AS k, o_orderstatus AS s FROM orders)
+       SELECT * FROM (
+         SELECT 'video_log' AS "table", 'not null' AS "constraint", 'like_count' AS "column",
+           (SELECT count(*) FROM log WHERE s = 'P') AS rows
+         UNION ALL SELECT 'video_log', 'foreign key', 'video_id',
+           (SELECT count(*) FROM log WHERE k NOT IN (SELECT c_custkey FROM customer)))
+       WHERE rows > 0"""
 )
 def dq_report(spark, folder):
-    tables = {
-        "video": views.video(spark, folder).where("active"),
-        "video_log": views.video_log(spark, folder),
-    }
-    return quality.report(tables)
+    log = table(spark, folder, "orders").select(
+        views.video_key(F.col("o_orderkey")).alias("video_id"),
+        F.col("o_custkey").alias("view_count"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("like_count"),
+        F.col("o_custkey").alias("comment_count"),
+    )
+    return quality.report({"video": views.video(spark, folder), "video_log": log})

@@ -205,7 +205,8 @@ TOP_CHANNELS = """SELECT name, avg(view_sub_ratio) AS avg_view_sub_ratio, avg(su
 
 def _ratio_tables(spark, folder):
     old = view_sub.old_views(views.video(spark, folder), views.video_log(spark, folder))
-    return old, views.channel(spark, folder), views.channel_log(spark, folder)
+    subs = view_sub.subscribers(views.channel(spark, folder), views.channel_log(spark, folder))
+    return old, subs
 
 
 @query(
