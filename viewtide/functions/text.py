@@ -67,9 +67,13 @@ def find_first(text: Column, pattern: str, missing: str | None = None) -> Column
 
 
 def find_pairs(text: Column, pattern: str, first: str, second: str) -> Column:
-    """All matches of a two-group pattern, as an array of structs."""
-    return F.arrays_zip(
-        find_all(text, pattern, 1).alias(first), find_all(text, pattern, 2).alias(second)
+    """All matches of a two-group pattern, as an array of structs; the text is read once."""
+    return F.transform(
+        find_all(text, pattern, 0),
+        lambda hit: F.struct(
+            F.regexp_extract(hit, pattern, 1).alias(first),
+            F.regexp_extract(hit, pattern, 2).alias(second),
+        ),
     )
 
 

@@ -21,12 +21,16 @@ def with_latest(df: DataFrame, log: DataFrame, key: str, columns: list[str], how
 
 
 def star(video: DataFrame, video_log: DataFrame, channel: DataFrame, channel_log: DataFrame):
-    """Every snapshot with its video, its channel name and the channel's last counters."""
-    return (
-        video_log.join(video.select("video_id", "channel_id", "video_type", "published_date"), "video_id")
+    """Every snapshot with its video, its channel name and the channel's last counters.
+
+    Videos are described first, so that the log is shuffled once, by video.
+    """
+    described = (
+        video.select("video_id", "channel_id", "video_type", "published_date")
         .join(channel.select("channel_id", "name"), "channel_id", "left")
         .transform(with_latest, channel_log, "channel_id", ["sub_count"], "left")
     )
+    return video_log.join(described, "video_id")
 
 
 def not_stored(found: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from viewtide.functions import text
 from viewtide.operators.topk import cap_listing
+from viewtide.session import settled
 
 
 def search_hits(pages: DataFrame, keep: list[str], body: str = "body", pattern: str = text.SEARCH_HIT):
@@ -61,7 +62,8 @@ def listing(
     first continuation that has no ids.
     """
     ids = _page_ids(text.LISTING_ID, text.NEXT_PAGE_ID, "body")
-    read = pages.select(*keys, "page_no", ids.alias("ids"), page_token().alias("token"))
+    # Settled, so that the page texts are searched once.
+    read = settled(pages.select(*keys, "page_no", ids.alias("ids"), page_token().alias("token")))
     ends = (F.col("token") == "") | ((F.col("page_no") > 0) & (F.size("ids") == 0))
     last = read.where(ends).groupBy(*keys).agg(F.min("page_no").alias("last"))
     kept = read.join(last, list(keys), "left").where("last is null or page_no <= last")

@@ -9,6 +9,7 @@ from viewtide.operators.aggregates import pivot_by_ordinal
 from viewtide.operators.joins import with_latest
 from viewtide.operators.positions import number_rows
 from viewtide.operators.windows import first_snapshots
+from viewtide.session import settled
 
 SNAPSHOT = {
     "created_date": "date",
@@ -48,15 +49,19 @@ def video_fact(
     Ranks are per channel and video type, ascending unless ``descending``: the
     least viewed video is number 1 and videos with fewer snapshots come first.
     """
-    wide = (
+    wide = settled(
         video_details(video)
         .drop("published_hour")
         .join(snapshots_wide(video_log, snapshots), "video_id")
         .transform(with_latest, channel_log, "channel_id", ["sub_count"])
     )
     views = F.col(f"{snapshots}_view")
-    order = [views.desc() if descending else views.asc(), F.asc("video_id")]
-    ranked = number_rows(wide, ["channel_id", "video_type"], order, "video_ranking")
+    order = [F.col("views").desc() if descending else F.col("views").asc(), F.asc("video_id")]
+    # Ranked on four columns and joined back, as the rows are wide.
+    group = ["channel_id", "video_type"]
+    narrow = wide.select("video_id", *group, views.alias("views"))
+    places = number_rows(narrow, group, order, "video_ranking").select("video_id", "video_ranking")
+    ranked = wide.join(places, "video_id")
     return ranked.withColumns(
         {
             "avg_daily_view": ratios.int_ratio(views, F.lit(average_days)),

@@ -117,7 +117,8 @@ def parse_dates(spark, folder):
 
 @query(
     """SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL
-         ELSE (event_id * 37) % 200000 END AS seconds FROM events"""
+         ELSE (event_id * 37) % 200000 END AS seconds FROM events""",
+    nullable=("seconds",),
 )
 def iso_duration(spark, folder):
     s = (F.col("event_id") * 37) % 200000
@@ -142,7 +143,8 @@ def iso_duration(spark, folder):
          CASE WHEN k = 0 THEN NULL ELSE s END AS duration_second
        FROM (SELECT o_orderkey, o_orderkey % 10 AS k, ((o_orderkey * 97) % 5400 + 30) // 3600 AS h,
                (((o_orderkey * 97) % 5400 + 30) // 60) % 60 AS m,
-               ((o_orderkey * 97) % 5400 + 30) % 60 AS s FROM orders)"""
+               ((o_orderkey * 97) % 5400 + 30) % 60 AS s FROM orders)""",
+    nullable=("duration_second",),
 )
 def duration_parts(spark, folder):
     n = F.col("o_orderkey")
@@ -179,7 +181,8 @@ def duration_filter(spark, folder):
 
 @query(
     """SELECT o_orderkey, CASE WHEN o_custkey % 9 <> 0 THEN o_custkey END AS view_count,
-         o_orderkey * 1000 AS sub_count FROM orders"""
+         o_orderkey * 1000 AS sub_count FROM orders""",
+    nullable=("view_count",),
 )
 def stat_cast(spark, folder):
     counters = table(spark, folder, "orders").select(
@@ -220,7 +223,8 @@ def drop_any_null(spark, folder):
 
 @query(
     """SELECT o_orderkey, trunc(o_totalprice / nullif(o_custkey % 7, 0))::BIGINT AS quotient
-       FROM orders"""
+       FROM orders""",
+    nullable=("quotient",),
 )
 def int_ratio(spark, folder):
     quotient = ratios.int_ratio(F.col("o_totalprice"), F.col("o_custkey") % 7)
@@ -412,9 +416,11 @@ def sql_cte_join(spark, folder):
         spark,
         """WITH newest AS (
              SELECT channel_id, sub_count FROM {channel_log}
-             WHERE created_date = (SELECT max(created_date) FROM {channel_log}))
-           SELECT v.video_id, v.video_type, l.view_count, n.sub_count
-           FROM {video_log} l JOIN {video} v USING (video_id) JOIN newest n USING (channel_id)""",
+             WHERE created_date = (SELECT max(created_date) FROM {channel_log})),
+           described AS (
+             SELECT video_id, video_type, sub_count FROM {video} JOIN newest USING (channel_id))
+           SELECT video_id, video_type, view_count, sub_count
+           FROM {video_log} JOIN described USING (video_id)""",
         video=views.video(spark, folder),
         video_log=views.video_log(spark, folder),
         channel_log=views.channel_log(spark, folder),

@@ -75,10 +75,11 @@ PIVOT = ", ".join(
 )
 NUMBERED = """SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY created_date) AS n
               FROM video_log"""
+COUNTS = tuple(f"{n}_{c}" for n in range(1, SNAPSHOTS + 1) for c in ("view", "comment", "like"))
 WIDE = f"SELECT video_id, {PIVOT} FROM numbered GROUP BY 1"
 
 
-@query(with_views(["video_log"], "SELECT * FROM wide", numbered=NUMBERED, wide=WIDE))
+@query(with_views(["video_log"], "SELECT * FROM wide", numbered=NUMBERED, wide=WIDE), COUNTS)
 def snapshot_pivot(spark, folder):
     return videos.snapshots_wide(views.video_log(spark, folder), SNAPSHOTS)
 
@@ -96,7 +97,8 @@ def snapshot_pivot(spark, folder):
            FROM video v JOIN wide USING (video_id) JOIN last_channel c USING (channel_id)""",
         numbered=NUMBERED,
         wide=WIDE,
-    )
+    ),
+    nullable=(*COUNTS, "avg_daily_view", "sub_view_ratio"),
 )
 def video_fact(spark, folder):
     fact = videos.video_fact(
@@ -329,7 +331,8 @@ def channel_stat_ingest(spark, folder):
          round(abs(c_acctbal) * 100)::BIGINT AS view_count,
          CASE WHEN c_custkey % 3 <> 0 THEN c_custkey END AS like_count,
          c_nationkey::BIGINT AS comment_count, '2024-02-15' AS created_date
-       FROM customer WHERE c_custkey % 5 <> 0"""
+       FROM customer WHERE c_custkey % 5 <> 0""",
+    nullable=("like_count",),
 )
 def video_stat_ingest(spark, folder):
     return ingest.video_snapshot(
@@ -360,7 +363,8 @@ def listing_cap(spark, folder):
            FROM video v JOIN listed USING (video_id)
            WHERE c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'error')""",
         listed=LISTED,
-    )
+    ),
+    nullable=("categoryid",),
 )
 def ingest_new_videos(spark, folder):
     events = table(spark, folder, "events").where("event_type = 'error'")

@@ -115,15 +115,27 @@ def printed(df: DataFrame) -> DataFrame:
     return df.withColumns(columns)
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+def query(
+    sql: str | None = None, nullable: tuple[str, ...] = ()
+) -> Callable[[Query], Query]:
+    """Register a function under its own name.
+
+    Whole-number columns named in ``nullable`` hold nulls and are compared as
+    doubles, since data frames on the two sides hold such columns differently.
+    """
 
     def register(function: Query) -> Query:
         name = function.__name__
         assert name not in QUERIES, name
-        QUERIES[name] = lambda spark, folder: printed(function(tune(spark), folder))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            df = printed(function(tune(spark), folder))
+            return df.withColumns({c: F.col(f"`{c}`").cast("double") for c in nullable})
+
+        QUERIES[name] = run
         if sql is not None:
-            SQL[name] = sql
+            doubles = ", ".join(f'"{c}"::DOUBLE AS "{c}"' for c in nullable)
+            SQL[name] = f"SELECT * REPLACE ({doubles}) FROM (\n{sql})" if nullable else sql
         return function
 
     return register
