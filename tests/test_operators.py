@@ -213,6 +213,16 @@ def test_pivot_names(spark, rows):
     assert rows(wide) == [("k", 10, None, 30)]
 
 
+def test_side_by_side_equals_pivot(spark, rows):
+    data = [(k, n, k * n, -n) for k in range(5) for n in range(1, 3 + k)]
+    df = spark.createDataFrame(data, "k int, n int, v int, w int").repartition(7)
+    names = {"v": "view", "w": "like"}
+    wide = aggregates.side_by_side(df, "k", "n", 4, names)
+    pivot = aggregates.pivot_by_ordinal(df, "k", "n", 4, names)
+    assert wide.columns == pivot.columns
+    assert rows(wide) == rows(pivot)
+
+
 def test_checkpoint_deltas(spark, rows):
     days = [1, 7, 13, 19, 25]
     data = [("full", D(2024, 1, d), 10 * d) for d in days]

@@ -35,6 +35,24 @@ def pivot_by_ordinal(
     return wide
 
 
+def side_by_side(
+    df: DataFrame, key: str, ordinal: str, last: int, columns: dict[str, str]
+) -> DataFrame:
+    """``pivot_by_ordinal`` for rows numbered 1, 2, 3 ... without gaps, and for many ordinals.
+
+    A pivot evaluates one condition per result column for each row. Here the at
+    most ``last`` rows of a key are put into an array and picked from it once.
+    """
+    rows = F.collect_list(F.struct(ordinal, *columns))
+    listed = df.where(F.col(ordinal) <= last).groupBy(key).agg(F.sort_array(rows).alias("_rows"))
+    picked = [
+        f"get(_rows, {n - 1}).`{column}` AS `{n}_{alias}`"
+        for n in range(1, last + 1)
+        for column, alias in columns.items()
+    ]
+    return listed.selectExpr(f"`{key}`", *picked)
+
+
 def value_counts(df: DataFrame, keys: list[str], name: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions import durations, ratios
-from viewtide.operators.aggregates import pivot_by_ordinal
+from viewtide.operators.aggregates import side_by_side
 from viewtide.operators.joins import with_latest
 from viewtide.operators.positions import number_rows
 from viewtide.operators.windows import first_snapshots
@@ -31,9 +31,8 @@ def video_details(video: DataFrame) -> DataFrame:
 def snapshots_wide(video_log: DataFrame, snapshots: int = 30) -> DataFrame:
     """``1_date, 1_view, 1_comment, 1_like, 2_date ...``: the n-th snapshot, not the n-th day."""
     log = video_log.select("video_id", *SNAPSHOT)
-    return pivot_by_ordinal(
-        first_snapshots(log, "video_id", snapshots), "video_id", "ordinal", snapshots, SNAPSHOT
-    )
+    numbered = first_snapshots(log, "video_id", snapshots)
+    return side_by_side(numbered, "video_id", "ordinal", snapshots, SNAPSHOT)
 
 
 def video_fact(
