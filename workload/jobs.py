@@ -588,11 +588,10 @@ def update_where(spark, folder):
 
 def _arriving(spark, folder):
     """Every event as a repeated report of its day."""
-    return (
-        spark.readStream.schema(table(spark, folder, "events").schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-        .select(F.col("user_id").alias("video_id"), F.to_date("ts").alias("created_date"))
+    stream = spark.readStream.schema(table(spark, folder, "events").schema)
+    # The pattern fits a single file as well as a folder of that name.
+    return stream.parquet(f"{folder}/events.parquet*").select(
+        F.col("user_id").alias("video_id"), F.to_date("ts").alias("created_date")
     )
 
 
