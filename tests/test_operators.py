@@ -13,6 +13,7 @@ from viewtide.operators import (
     joins,
     positions,
     quality,
+    quantiles,
     topk,
     windows,
 )
@@ -167,23 +168,54 @@ def test_running_total(spark, many_pieces):
     assert {r.id: r.before for r in found.collect()} == expected
 
 
+POINTS = {"least": 0.0, "q1": 0.25, "q2": 0.5, "most": 1.0}
+
+
+def check_quantiles(found, data):
+    frame = pd.DataFrame(data, columns=["id", "g", "v"]).dropna(subset="v")
+    found = {row.g: row for row in found.collect()}
+    assert set(found) == {g if isinstance(g, str) else None for g in frame.g}
+    for g, row in found.items():
+        values = frame[frame.g == g].v if g else frame[frame.g.isna()].v
+        assert row.rows == len(values)
+        assert [row[p] for p in POINTS] == pytest.approx([values.quantile(q) for q in POINTS.values()])
+
+
 def test_quantiles(spark, many_pieces):
-    data = [row for row in skewed(2) if row[1]]
+    data = list(skewed(2))
     df = spark.createDataFrame(data, "id int, g string, v int")
-    placed = aggregates.place_values(df, ["g"], "v")
-    found = aggregates.quantiles(placed, ["g"], "v", {"q1": 0.25, "q2": 0.5, "top": 1.0})
-    frame = pd.DataFrame(data, columns=["id", "g", "v"]).dropna()
-    for row in found.collect():
-        values = frame[frame.g == row.g].v
-        assert row.rows == len(values)
-        expected = [values.quantile(q) for q in (0.25, 0.5, 1.0)]
-        assert [row.q1, row.q2, row.top] == pytest.approx(expected)
+    placed = quantiles.place_values(df, ["g"], "v")
+    check_quantiles(quantiles.quantiles(placed, ["g"], "v", POINTS), data)
+
+
+@pytest.mark.parametrize("slack, accuracy", [(0.01, 200), (0.0, 2), (0.3, 3), (0.001, 10)])
+@pytest.mark.parametrize("groups", [200_000, 1])
+def test_exact_quantiles(spark, many_pieces, monkeypatch, slack, accuracy, groups):
+    """Also where brackets miss, and where there are too many groups to broadcast."""
+    monkeypatch.setattr(quantiles, "SLACK", slack)
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", groups)
+    pick = random.Random(accuracy)
+    data = list(skewed(3))
+    data += [(n, pick.choice(["hot", "wide", None]), pick.randrange(10**6)) for n in range(3000)]
+    data += [(0, "one", 5), (1, "two", 5), (2, "two", 8), (3, "none", None)]
+    df = spark.createDataFrame(data, "id int, g string, v int")
+    check_quantiles(quantiles.exact_quantiles(df, ["g"], "v", POINTS), data)
+
+
+def test_far_values_are_counted_not_shuffled(spark):
+    df = spark.range(100000).selectExpr("id % 2 as g", "id * 7919 % 100003 as v")
+    coarse = quantiles._coarsened(df, ["g"], "v", {"median": 0.5})
+    assert coarse.distinct().count() < 200
 
 
 def test_medians_with_weights_and_sketch(spark, rows):
     df = spark.createDataFrame([("a", 1, 3), ("a", 5, 1), ("b", 7, 2), ("b", 9, 2)], "g string, v int, w int")
-    assert rows(aggregates.medians(df, ["g"], "v", F.col("w"))) == [("a", 4, 1.0), ("b", 4, 8.0)]
-    assert rows(aggregates.approximate_medians(df, ["g"], "v")) == [("a", 2, 1), ("b", 2, 7)]
+    placed = quantiles.place_values(df, ["g"], "v", F.col("w"))
+    found = quantiles.quantiles(placed, ["g"], "v", {"median": 0.5})
+    assert rows(found) == [("a", 4, 1.0), ("b", 4, 8.0)]
+    assert rows(quantiles.medians(df, ["g"], "v")) == [("a", 2, 3.0), ("b", 2, 8.0)]
+    assert rows(quantiles.approximate_medians(df, ["g"], "v")) == [("a", 2, 1), ("b", 2, 7)]
 
 
 @pytest.mark.parametrize(

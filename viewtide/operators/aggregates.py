@@ -1,11 +1,8 @@
-"""Grouped aggregates, pivots, exact quantiles and histograms."""
+"""Grouped aggregates, pivots and histograms."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from viewtide.operators.joins import join_null_safe
-from viewtide.operators.positions import running_total
+from pyspark.sql import DataFrame, functions as F
 
 
 def period_delta(log: DataFrame, key: str, counters: list[str], prefix: str) -> DataFrame:
@@ -57,54 +54,6 @@ def value_counts(df: DataFrame, keys: list[str], name: str = "count") -> DataFra
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def place_values(
-    df: DataFrame, keys: list[str], value: str, weight: Column | None = None
-) -> DataFrame:
-    """Distinct non-null values per group with ``rows`` and the number of rows ``before`` them."""
-    rows = F.count("*") if weight is None else F.sum(weight)
-    tally = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(rows.alias("rows"))
-    return running_total(tally, keys, [F.asc(value)], F.col("rows"), "before")
-
-
-def quantiles(placed: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles from the output of ``place_values``.
-
-    ``points`` maps result columns to fractions; ``rows`` is the group size. The
-    built-in ``percentile`` holds all distinct values of a group in one task.
-    """
-    sizes = placed.groupBy(*keys).agg(F.sum("rows").alias("_size"))
-    sized = join_null_safe(placed, sizes, keys)
-
-    def value_at(index: Column) -> Column:
-        covers = (F.col("before") <= index) & (index < F.col("before") + F.col("rows"))
-        return F.max(F.when(covers, F.col(value).cast("double")))
-
-    found, results = [], []
-    for name, fraction in points.items():
-        position = F.lit(fraction) * (F.col("_size") - 1)
-        found += [
-            value_at(F.floor(position)).alias(f"_low_{name}"),
-            value_at(F.ceil(position)).alias(f"_high_{name}"),
-        ]
-        share = position - F.floor(position)
-        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
-        results.append((low + (high - low) * share).alias(name))
-    grouped = sized.groupBy(*keys, "_size").agg(*found)
-    return grouped.select(*keys, F.col("_size").alias("rows"), *results)
-
-
-def medians(df: DataFrame, keys: list[str], value: str, weight: Column | None = None) -> DataFrame:
-    """Exact median and number of rows per group."""
-    return quantiles(place_values(df, keys, value, weight), keys, value, {"median": 0.5})
-
-
-def approximate_medians(df: DataFrame, keys: list[str], value: str, accuracy: int = 10000) -> DataFrame:
-    """Median by a sketch of bounded size, in one shuffle."""
-    return df.groupBy(*keys).agg(
-        F.count(value).alias("rows"), F.percentile_approx(value, 0.5, accuracy).alias("median")
-    )
-
-
 def bin_edges(values: DataFrame, value: str, bins: int) -> DataFrame:
     """One row: ``low`` and ``width`` of equal bins over the observed range, and label ``edges``.
 

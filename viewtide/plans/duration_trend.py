@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions import durations
-from viewtide.operators.aggregates import equal_width_bins, place_values, quantiles
+from viewtide.operators.aggregates import equal_width_bins
 from viewtide.operators.dedup import latest_per_key
 from viewtide.operators.filters import aged
+from viewtide.operators.quantiles import place_values, quantiles
 from viewtide.session import settled
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions.ratios import ratio
-from viewtide.operators.aggregates import place_values, quantiles
 from viewtide.operators.filters import not_listed
 from viewtide.operators.joins import with_latest
+from viewtide.operators.quantiles import place_values, quantiles
 from viewtide.plans.duration_trend import latest_views
 from viewtide.session import settled
 

@@ -15,6 +15,7 @@ from viewtide.operators import (
     joins,
     positions,
     quality,
+    quantiles,
     topk,
     windows,
 )
@@ -484,7 +485,7 @@ def mean_per_bucket(spark, folder):
 )
 def median_per_bin(spark, folder):
     lines = table(spark, folder, "lineitem").select("l_quantity", "l_extendedprice")
-    medians = aggregates.medians(lines, ["l_quantity"], "l_extendedprice")
+    medians = quantiles.medians(lines, ["l_quantity"], "l_extendedprice")
     return medians.withColumn("median", F.round("median", 4))
 
 
