@@ -306,7 +306,8 @@ def test_daily_run(spark, rows, tmp_path):
         ("new", D(2024, 2, 21), "00:01:00", True),
         ("old", D(2024, 1, 1), "00:05:30", True),
     ]
-    assert daily.append_video_counters(stored, documents, day, f"{tmp_path}/log") == 1
+    counts = [daily.append_video_counters(stored, documents, day, f"{tmp_path}/log") for _ in range(2)]
+    assert counts == [1, 0]  # a second run on the same day adds nothing
     log = spark.read.schema(schema.VIDEO_LOG).parquet(f"{tmp_path}/log")
     # A hidden counter gets the column's default.
     assert rows(log, "video_id", "view_count", "like_count", "created_date") == [("new", 5, 0, day)]

@@ -58,6 +58,12 @@ def test_append_counts_and_fills(spark, rows, tmp_path):
     assert stored.where("created_at is null").count() == 1
 
 
+def test_nothing_to_append(spark, tmp_path):
+    empty = spark.createDataFrame([], schema.VIDEO_LOG)
+    assert writers.append(empty, f"{tmp_path}/log", schema.VIDEO_LOG) == 0
+    assert writers.append(empty.where("1 = 0"), f"{tmp_path}/log", schema.VIDEO_LOG) == 0
+
+
 def test_update_reports_its_count(spark):
     video = spark.createDataFrame(
         [("a", D(2023, 1, 1), True), ("b", D(2024, 2, 9), True), ("c", D(2023, 1, 1), False)],
@@ -65,7 +71,7 @@ def test_update_reports_its_count(spark):
     )
     counted = Observation()
     expire_videos(video, D(2024, 2, 10), counted=counted).write.format("noop").mode("overwrite").save()
-    assert counted.get["rows"] == 1
+    assert writers.observed_rows(counted) == 1
 
 
 def test_id_list(spark, rows, tmp_path):
@@ -177,8 +183,8 @@ def test_stream_ingest(spark, rows, tmp_path, one_by_one):
 def test_repeated_batch_adds_nothing(spark, rows, tmp_path):
     data = [("a", D(2024, 1, 1), 1, None), ("a", D(2024, 1, 1), 2, dt.datetime(2024, 1, 1, 9))]
     batch = spark.createDataFrame(data, SNAPSHOT)
-    for _ in range(2):
-        snapshots.append_new_days(batch, f"{tmp_path}/log", "video_id")
+    added = [snapshots.append_new_days(batch, f"{tmp_path}/log", "video_id") for _ in range(2)]
+    assert added == [1, 0]
     assert rows(spark.read.parquet(f"{tmp_path}/log"), "video_id", "view_count") == [("a", 2)]
 
 

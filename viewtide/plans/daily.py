@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from viewtide import schema
 from viewtide.plans import ingest, pages
 from viewtide.session import settled
 from viewtide.sources import writers
+from viewtide.streaming.snapshots import append_new_days
 
 
 def append_new_videos(
@@ -34,15 +35,15 @@ def append_new_videos(
 
 
 def append_channel_counters(documents: DataFrame, day: dt.date, log_path: str) -> int:
-    """Append one row of counters per channel document."""
+    """Append one row of counters per channel document, once a day, and return how many."""
     rows = ingest.channel_snapshot(documents, day)
-    return writers.append(rows, log_path, schema.CHANNEL_LOG, _log_defaults(), "created_date")
+    return append_new_days(_log_rows(rows, schema.CHANNEL_LOG), log_path, "channel_id")
 
 
 def append_video_counters(video: DataFrame, documents: DataFrame, day: dt.date, log_path: str) -> int:
-    """Append one row of counters per active video that has a document."""
+    """Append one row of counters per active video that has a document, once a day."""
     rows = ingest.video_snapshot(video, documents, day)
-    return writers.append(rows, log_path, schema.VIDEO_LOG, _log_defaults(), "created_date")
+    return append_new_days(_log_rows(rows, schema.VIDEO_LOG), log_path, "video_id")
 
 
 def register_channels(ids: DataFrame, documents: DataFrame, channel_path: str) -> int:
@@ -52,5 +53,5 @@ def register_channels(ids: DataFrame, documents: DataFrame, channel_path: str) -
     return writers.append(rows, channel_path, schema.CHANNEL, {"created_at": F.current_timestamp()})
 
 
-def _log_defaults() -> dict[str, object]:
-    return {**schema.LOG_DEFAULTS, "created_at": F.current_timestamp()}
+def _log_rows(rows: DataFrame, table: T.StructType) -> DataFrame:
+    return writers.align(rows, table, {**schema.LOG_DEFAULTS, "created_at": F.current_timestamp()})

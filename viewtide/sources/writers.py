@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F, types as T
 
@@ -58,7 +59,21 @@ def append(
     counted = Observation()
     rows = align(df, schema, defaults).observe(counted, F.count("*").alias("rows"))
     _laid_out(rows, partition_by).mode("append").parquet(path)
-    return counted.get["rows"]
+    return observed_rows(counted)
+
+
+def observed_rows(counted: Observation) -> int:
+    """The ``rows`` of an observation whose table has been written.
+
+    Where Spark finds before running that there is nothing to write, it drops the
+    count along with the plan, and reading it fails.
+    """
+    try:
+        return counted.get["rows"]
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return 0
 
 
 def append_jdbc(

@@ -14,10 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from viewtide.operators.dedup import latest_per_key
 from viewtide.operators.filters import on_days
 from viewtide.operators.joins import not_stored
+from viewtide.sources.writers import append
 
 
-def append_new_days(batch: DataFrame, log_path: str, key: str) -> None:
-    """Append the snapshots whose (id, day) the log does not hold yet.
+def append_new_days(batch: DataFrame, log_path: str, key: str) -> int:
+    """Append the snapshots whose (id, day) the log does not hold yet, and return how many.
 
     Only the days of the batch are read back from the log; their number is that
     of the days between two runs.
@@ -30,8 +31,7 @@ def append_new_days(batch: DataFrame, log_path: str, key: str) -> None:
     new.limit(0).write.partitionBy("created_date").parquet(log_path, mode="append")
     stored = batch.sparkSession.read.schema(new.schema).parquet(log_path)
     unseen = not_stored(new, on_days(stored, "created_date", days), [key, "created_date"])
-    rebalanced = unseen.hint("rebalance", F.col("created_date"))
-    rebalanced.write.partitionBy("created_date").parquet(log_path, mode="append")
+    return append(unseen, log_path, new.schema, partition_by="created_date")
 
 
 def ingest(stream: DataFrame, log_path: str, checkpoint: str, key: str) -> StreamingQuery:
