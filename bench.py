@@ -52,11 +52,8 @@ def main() -> None:
         seconds[name] = round(min(times[1:] or times), 3)
     total = round(sum(seconds.values()), 3)
     scale = os.path.basename(folder.rstrip("/")).removeprefix("sf")
-    print(
-        json.dumps(
-            {"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": scale}
-        )
-    )
+    result = {"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": scale}
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":

@@ -43,6 +43,16 @@ def test_local_time(spark):
     assert value(spark, F.to_date(late)) == D(2024, 2, 21)
 
 
+def test_local_time_in_another_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        local = dates.local_timestamp(F.lit("2024-02-20T15:00:01Z"), "Asia/Taipei")
+        assert value(spark, local) == dt.datetime(2024, 2, 20, 23, 0, 1)
+        assert value(spark, dates.local_timestamp(F.lit("soon"), "Asia/Taipei")) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_bad_dates_are_null(spark):
     assert value(spark, dates.parse_date(F.lit("soon"))) is None
     assert value(spark, dates.parse_date(F.lit("2024-02-20"))) == D(2024, 2, 20)

@@ -194,7 +194,7 @@ def test_exact_quantiles(spark, many_pieces, monkeypatch, slack, accuracy, group
     """Also where brackets miss, and where there are too many groups to broadcast."""
     monkeypatch.setattr(quantiles, "SLACK", slack)
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
-    monkeypatch.setattr(quantiles, "BROADCAST_GROUPS", groups)
+    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (groups,))
     pick = random.Random(accuracy)
     data = list(skewed(3))
     data += [(n, pick.choice(["hot", "wide", None]), pick.randrange(10**6)) for n in range(3000)]

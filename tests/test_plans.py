@@ -188,6 +188,9 @@ def test_trend_by_bin(spark, rows):
     # 5:10 to 5:12 and 6:00 are all six minutes when rounded up.
     found = duration_trend.by_bin(video, log, more_than=1)
     assert rows(found, "count", "median_view_count") == [(5, 20.0)]
+    # A video without a view count is counted, but has no part in the median.
+    unseen = log.withColumn("view_count", F.when(F.col("video_id") != "a2", F.col("view_count")))
+    assert rows(duration_trend.by_bin(video, unseen, more_than=1), "count", "median_view_count") == [(5, 20.0)]
     every = duration_trend.by_bin(video, log, more_than=0)
     assert rows(every, "bin", "label", "count", "median_view_count") == [
         (1, "5~9", 5, 20.0),

@@ -37,8 +37,11 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def local_timestamp(utc_text: Column, zone: str) -> Column:
-    """Wall-clock time in ``zone`` of a UTC time such as ``2024-02-20T15:00:01Z``."""
-    return F.from_utc_timestamp(parse_timestamp(utc_text), zone)
+    """Wall-clock time in ``zone`` of a time such as ``2024-02-20T15:00:01Z``.
+
+    The result has no time zone and does not depend on that of the session.
+    """
+    return F.convert_timezone(None, F.lit(zone), parse_timestamp(utc_text))
 
 
 def clock_time(timestamp: Column) -> Column:

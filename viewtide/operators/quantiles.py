@@ -10,15 +10,13 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.operators.joins import join_null_safe
+from viewtide.operators.joins import broadcast_if_small, join_null_safe
 from viewtide.operators.positions import running_total
 from viewtide.session import settled
 
 # The sketch is off by at most 1 / ACCURACY of a group's rows; brackets reach twice as far.
 ACCURACY = 10000
 SLACK = 2 / ACCURACY
-# Up to this many groups, some tens of megabytes, their brackets are broadcast.
-BROADCAST_GROUPS = 200_000
 
 
 def place_values(
@@ -65,9 +63,7 @@ def _coarsened(df: DataFrame, keys: list[str], value: str, points: dict[str, flo
             F.percentile_approx(value, ends, ACCURACY).alias("_ends"), F.min(value).alias("_least")
         )
     )
-    if brackets.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
-        brackets = F.broadcast(brackets)
-    rows = join_null_safe(df, brackets, keys)
+    rows = join_null_safe(df, broadcast_if_small(brackets), keys)
 
     number = F.col(value)
     lows = [F.get("_ends", F.lit(2 * n)) for n in range(len(reaches))]

@@ -56,6 +56,9 @@ def by_bin(
     binned = equal_width_bins(
         tally.join(frequent, "minutes", "left_semi"), "minutes", bins, values=frequent
     )
-    placed = place_values(binned, ["bin", "label"], "view_count", F.col("videos"))
-    medians = quantiles(placed, ["bin", "label"], "view_count", {"median_view_count": 0.5})
-    return medians.withColumnRenamed("rows", "count")
+    group = ["bin", "label"]
+    placed = place_values(binned, group, "view_count", F.col("videos"))
+    medians = quantiles(placed, group, "view_count", {"median_view_count": 0.5}).drop("rows")
+    counts = binned.groupBy(*group).agg(F.sum("videos").alias("count"))
+    # At most one row per bin.
+    return counts.join(F.broadcast(medians), group, "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions.ratios import ratio
 from viewtide.operators.filters import not_listed
-from viewtide.operators.joins import with_latest
+from viewtide.operators.joins import broadcast_if_small, with_latest
 from viewtide.operators.quantiles import place_values, quantiles
 from viewtide.plans.duration_trend import latest_views
 from viewtide.session import settled
@@ -68,7 +68,8 @@ def ratio_spread(
     # At most ``count`` rows, as are the tables made from it by name.
     top = settled(top_channels(views, subs, excluded, count))
     chosen = subs.join(F.broadcast(top.select("name")), "name", "left_semi")
-    placed = place_values(video_ratios(views, chosen), ["name"], "view_sub_ratio")
+    ratios = video_ratios(views, broadcast_if_small(chosen))
+    placed = place_values(ratios, ["name"], "view_sub_ratio")
     points = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0}
     box = quantiles(placed, ["name"], "view_sub_ratio", points)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
