@@ -1,4 +1,4 @@
-"""Session settings and the shared folder used for checkpoints and written tables."""
+"""Session settings, and the shared folder for tables that cut long plans."""
 
 from __future__ import annotations
 
@@ -33,7 +33,6 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -58,11 +57,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path for a written table, below the shared folder."""
-    return f"{shared_folder(spark)}/viewtide-{name}-{uuid.uuid4().hex}"
+    """A new path for a written table, in the application's own folder below the shared one.
+
+    That folder may be deleted when the application has ended.
+    """
+    application = f"viewtide-{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The rows written to the checkpoint folder, for results that are read several times."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The rows written to a scratch table, for results that are read several times.
+
+    Later steps start from the table: they read only the columns they need, know its
+    size, and do not depend on executors that may be lost.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
