@@ -106,6 +106,20 @@ def test_jdbc_reads_are_split(spark, monkeypatch):
     assert len(calls[1][1]["predicates"]) == 2
 
 
+def test_jdbc_appends_in_batches(spark, monkeypatch):
+    calls = []
+    df = spark.range(1)
+    writer = type(df.write)
+    monkeypatch.setattr(writer, "jdbc", lambda self, url, table, **options: calls.append((url, table, options)))
+    writers.append_jdbc(df, "jdbc:x", "video_log", {"user": "me"}, batch=500)
+    assert calls == [("jdbc:x", "video_log", {"mode": "append", "properties": {"batchsize": "500", "user": "me"}})]
+
+
+def test_sql_over_named_tables(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "n int, t string")
+    assert rows(readers.run_sql(spark, "SELECT t FROM {numbers} WHERE n > 1", numbers=df)) == [("b",)]
+
+
 def test_extract_twice(spark, rows, tmp_path):
     log = spark.createDataFrame(
         [("v", D(2024, 1, 1), 1), ("v", D(2024, 1, 2), 2)], "video_id string, created_date date, view_count long"
