@@ -316,7 +316,7 @@ def test_daily_run(spark, rows, tmp_path):
     assert rows(log, "video_id", "view_count", "like_count", "created_date") == [("new", 5, 0, day)]
 
     channel = json.dumps(
-        {"items": [{"id": "c", "snippet": {"title": "t", "publishedAt": "2008-11-09T03:54:16Z"},
+        {"items": [{"id": "c", "snippet": {"title": "t", "publishedAt": "2010-05-06T07:08:09Z"},
                     "statistics": {"viewCount": "7", "subscriberCount": "8", "videoCount": "9"}}]}
     )
     documents = spark.createDataFrame([("c", channel)], "channel_id string, body string")
@@ -325,5 +325,5 @@ def test_daily_run(spark, rows, tmp_path):
     assert daily.register_channels(ids, documents, f"{tmp_path}/channel") == 1
     found = spark.read.schema(schema.CHANNEL).parquet(f"{tmp_path}/channel")
     assert rows(found, "channel_id", "published_date", "active") == [
-        ("c", dt.datetime(2008, 11, 9, 3, 54, 16), True)
+        ("c", dt.datetime(2010, 5, 6, 7, 8, 9), True)
     ]

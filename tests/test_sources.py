@@ -75,9 +75,9 @@ def test_update_reports_its_count(spark):
 
 
 def test_id_list(spark, rows, tmp_path):
-    (tmp_path / "ids.txt").write_text("channel_id1, channel_id2,\n id 3,,channel_id1\n")
+    (tmp_path / "ids.txt").write_text("first, second,\n id 3,,first\n")
     found = readers.read_id_list(spark, f"{tmp_path}/ids.txt")
-    assert rows(found) == [("channel_id1",), ("channel_id1",), ("channel_id2",), ("id3",)]
+    assert rows(found) == [("first",), ("first",), ("id3",), ("second",)]
 
 
 def test_documents(spark, tmp_path):

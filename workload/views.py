@@ -235,7 +235,7 @@ def channel_pages(spark: SparkSession, folder: str) -> DataFrame:
     tabs = F.transform(
         titles,
         lambda title: F.concat(
-            F.lit('{"tabRenderer":{"endpoint":{"":{"":{}},"":{}},"title":"'), title, F.lit('"}}')
+            F.lit('{"tabRenderer":{"endpoint":{"meta":{"web":{}},"browse":{}},"title":"'), title, F.lit('"}}')
         ),
     )
     key = F.concat(F.lit('"INNERTUBE_API_KEY":"key-'), F.col("s_suppkey"), F.lit('",'))
