@@ -34,6 +34,7 @@ def by_minute(
         timed.groupBy("duration_minute")
         .agg(F.count("*").alias("count"), F.avg("view_count").alias("avg_view_count"))
         .where(F.col("count") > more_than)
+        .orderBy("duration_minute")
     )
 
 
@@ -61,4 +62,4 @@ def by_bin(
     medians = quantiles(placed, group, "view_count", {"median_view_count": 0.5}).drop("rows")
     counts = binned.groupBy(*group).agg(F.sum("videos").alias("count"))
     # At most one row per bin.
-    return counts.join(F.broadcast(medians), group, "left")
+    return counts.join(F.broadcast(medians), group, "left").orderBy("bin")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -51,6 +53,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="viewtide-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder or context.getCheckpointDir()
