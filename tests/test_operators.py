@@ -85,6 +85,15 @@ def test_with_latest(spark, rows):
     assert rows(kept, "video_id", "sub_count") == [("v1", 20), ("v2", None)]
 
 
+def test_latest_of_a_day_goes_by_time_of_writing(spark, rows):
+    at = dt.datetime(2024, 1, 1, 9)
+    data = [("k", D(2024, 1, 1), 9, at), ("k", D(2024, 1, 1), 5, at + dt.timedelta(hours=1))]
+    log = spark.createDataFrame(data, "k string, created_date date, view_count int, created_at timestamp")
+    assert rows(dedup.latest_snapshot(log, "k", ["view_count"])) == [("k", 5, D(2024, 1, 1))]
+    untimed = log.drop("created_at")
+    assert rows(dedup.latest_snapshot(untimed, "k", ["view_count"])) == [("k", 9, D(2024, 1, 1))]
+
+
 def test_not_stored_keeps_repeats(spark, rows):
     found = spark.createDataFrame([("video", "id1"), ("video", "id1"), ("short", "id2")], "t string, id string")
     none = found.where("false")

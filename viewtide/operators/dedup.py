@@ -24,6 +24,18 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return first_rows(df, keys, [F.desc(c) for c in [*order, *rest]])
 
 
+def snapshot_order(log: DataFrame) -> list[str]:
+    """By day, then by the time of writing where the log has one."""
+    return [c for c in ("created_date", "created_at") if c in log.columns]
+
+
+def latest_snapshot(log: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``columns`` of the last snapshot of each key, with its day."""
+    order = snapshot_order(log)
+    latest = latest_per_key(log.select(key, *columns, *order), [key], order)
+    return latest.select(key, *columns, "created_date")
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row per key, ties broken by all other columns."""
     rest = [c for c in df.columns if c not in keys and c not in order]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from viewtide.operators.dedup import latest_per_key
+from viewtide.operators.dedup import latest_snapshot
 
 
 # Narrow rows of a table with this many of them take some tens of megabytes.
@@ -29,8 +29,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 def with_latest(df: DataFrame, log: DataFrame, key: str, columns: list[str], how: str = "inner"):
     """Attach columns of the last snapshot of ``key``."""
-    last = latest_per_key(log.select(key, "created_date", *columns), [key], ["created_date"])
-    return df.join(last.select(key, *columns), key, how)
+    return df.join(latest_snapshot(log, key, columns).drop("created_date"), key, how)
 
 
 def star(video: DataFrame, video_log: DataFrame, channel: DataFrame, channel_log: DataFrame):

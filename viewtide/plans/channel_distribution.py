@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from viewtide.operators.columns import drop_incomplete, fill_text
-from viewtide.operators.dedup import latest_per_key
+from viewtide.operators.dedup import latest_per_key, snapshot_order
 from viewtide.operators.topk import top_topics, with_category
 
 
@@ -16,14 +16,13 @@ def latest_channels(channel: DataFrame, channel_log: DataFrame, nulls: str = "dr
     channel; ``"fill"`` writes ``NULL`` for missing text, keeps channels that are
     only in the log, and keeps one row per name.
     """
-    named = channel.select("channel_id", "name", "topic")
+    named, order = channel.select("channel_id", "name", "topic"), snapshot_order(channel_log)
     if nulls == "drop":
-        log = drop_incomplete(channel_log)
-        latest = latest_per_key(log, ["channel_id"], ["created_date"])
+        latest = latest_per_key(drop_incomplete(channel_log), ["channel_id"], order)
         return latest.join(drop_incomplete(named), "channel_id")
-    latest = latest_per_key(channel_log, ["channel_id"], ["created_date"])
+    latest = latest_per_key(channel_log, ["channel_id"], order)
     filled = fill_text(latest.join(named, "channel_id", "left"))
-    return latest_per_key(filled, ["name"], ["created_date"])
+    return latest_per_key(filled, ["name"], order)
 
 
 def channel_distribution(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions import durations
 from viewtide.operators.aggregates import equal_width_bins
-from viewtide.operators.dedup import latest_per_key
+from viewtide.operators.dedup import latest_snapshot
 from viewtide.operators.filters import aged
 from viewtide.operators.quantiles import place_values, quantiles
 from viewtide.session import settled
@@ -17,8 +17,7 @@ def latest_views(
 ) -> DataFrame:
     """Views of each regular video at its last snapshot, where that is late enough."""
     regular = video.where(F.col("video_type") == "video")
-    log = video_log.select("video_id", "view_count", "created_date")
-    latest = latest_per_key(log, ["video_id"], ["created_date"])
+    latest = latest_snapshot(video_log, "video_id", ["view_count"])
     joined = latest.join(regular.select("video_id", "published_date", *columns), "video_id")
     return aged(joined, "created_date", "published_date", days, strict)
 
