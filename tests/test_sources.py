@@ -44,6 +44,21 @@ def test_export_and_partitions(spark, rows, tmp_path):
     assert readers.read_parquet(spark, f"{tmp_path}/table").count() == 3
 
 
+@pytest.mark.parametrize("csv", [False, True])
+def test_layout_by_key(spark, rows, tmp_path, csv):
+    df = spark.range(3000).selectExpr("concat('c', if(id % 3 = 0, 0, id % 500)) AS channel_id", "id AS n")
+    writers.write_by_key(df, f"{tmp_path}/t", "channel_id", csv)
+    folders = len(list((tmp_path / "t").glob("key_bucket=*")))
+    assert 1 < folders <= readers.BUCKETS
+    shape = "channel_id string, n long"
+    stored = spark.read.parquet(f"{tmp_path}/t") if not csv else readers.read_csv(spark, f"{tmp_path}/t", shape)
+    assert stored.count() == 3000
+    one = readers.rows_of_key(stored, "channel_id", "c7")
+    assert rows(one, "channel_id", "n") == rows(df.where("channel_id = 'c7'"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(key_bucket" in plan
+
+
 def test_append_counts_and_fills(spark, rows, tmp_path):
     log = spark.createDataFrame([(5, "v1")], "view_count int, video_id string")
     path = f"{tmp_path}/log"

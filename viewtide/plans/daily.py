@@ -24,13 +24,13 @@ def append_new_videos(
     """Append the videos that are listed but not stored, and return how many.
 
     The rows are settled first, as they are derived from the table they go to.
-    ``checkpoint_path`` gets them as CSV by channel.
+    ``checkpoint_path`` gets them as CSV, laid out by channel.
     """
     stored = spark.read.schema(schema.VIDEO).parquet(video_path)
     new = ingest.new_videos(pages.listing(listing_pages, limit), stored, documents)
     new = settled(new.withColumn("active", F.lit(True)))
     if checkpoint_path:
-        writers.write_csv(new, checkpoint_path, partition_by="channel_id")
+        writers.write_by_key(new, checkpoint_path, "channel_id", csv=True)
     return writers.append(new, video_path, schema.VIDEO, {"created_at": F.current_timestamp()})
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CSV = {
     "header": True,
@@ -14,6 +14,10 @@ CSV = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+# Layout of tables by a key with many values: the partition column and its number of values.
+BUCKET = "key_bucket"
+BUCKETS = 64
+
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
@@ -37,6 +41,16 @@ def read_csv(
     return reader.csv(path)
 
 
+def key_bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def rows_of_key(table: DataFrame, key: str, value: str) -> DataFrame:
+    """The rows of one key of a table laid out by key; other buckets are not read."""
+    chosen = table.where((F.col(BUCKET) == key_bucket(F.lit(value))) & (F.col(key) == value))
+    return chosen.drop(BUCKET)
+
+
 def read_csv_inferred(spark: SparkSession, path: str, sample: float = 1.0) -> DataFrame:
     """CSV with types inferred from a share of the rows, at the cost of one more pass."""
     return spark.read.options(**CSV, inferSchema=True, samplingRatio=sample).csv(path)

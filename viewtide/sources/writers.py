@@ -6,7 +6,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F, types as T
 
-from viewtide.sources.readers import CSV, run_sql
+from viewtide.sources.readers import BUCKET, CSV, key_bucket, run_sql
+
+CSV_WRITE = {name: value for name, value in CSV.items() if name != "multiLine"}
 
 
 def _laid_out(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
@@ -27,8 +29,19 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a CSV table, with a header in each file."""
-    options = {name: value for name, value in CSV.items() if name != "multiLine"}
-    _laid_out(df, partition_by).options(**options).mode("overwrite").csv(path)
+    _laid_out(df, partition_by).options(**CSV_WRITE).mode("overwrite").csv(path)
+
+
+def write_by_key(df: DataFrame, path: str, key: str, csv: bool = False) -> None:
+    """Replace a table laid out by a key that has too many values for a folder each.
+
+    Rows are put into hash buckets and sorted by key, so ``rows_of_key`` reads one
+    bucket, and of parquet files only the part that holds the key.
+    """
+    bucketed = df.withColumn(BUCKET, key_bucket(F.col(key)))
+    ordered = bucketed.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, key)
+    writer = ordered.write.partitionBy(BUCKET).mode("overwrite")
+    writer.options(**CSV_WRITE).csv(path) if csv else writer.parquet(path)
 
 
 def export_csv(spark: SparkSession, query: str, path: str, **tables: DataFrame) -> None:

@@ -512,9 +512,9 @@ def export_query(spark, folder):
     )
 )
 def partitioned_checkpoint(spark, folder):
-    path = scratch_path(spark, "partitioned")
+    path = scratch_path(spark, "by-channel")
     columns = views.video(spark, folder).select("channel_id", "video_id", "title")
-    writers.write_table(columns, path, partition_by="channel_id")
+    writers.write_by_key(columns, path, "channel_id")
     stored = readers.read_parquet(spark, path)
     return stored.groupBy("channel_id").agg(F.count("*").alias("videos"), F.max("title").alias("last"))
 
