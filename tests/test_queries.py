@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from workload.catalog import QUERIES, SQL
 from workload.check import TABLES, sorted_rows
 
 
@@ -20,10 +21,12 @@ def test_entry(spark, folder):
 
 
 def test_every_query_has_sql():
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(SQL) <= set(__spark_entry__.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, folder, database, name):
     df = __spark_entry__.queries()[name](spark, folder)
     result = database.execute(__spark_entry__.oracle_sql()[name])
