@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import simhash
+from viewtide.llm import language, mixing, simhash
 from viewtide.llm.base import query, table
 
 
@@ -13,3 +13,16 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and group of every document."""
     documents = table(spark, folder, "documents")
     return simhash.near_duplicates(documents, shingle=3, bits=3)
+
+
+@query(mixing.MIX_SQL)
+def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@query()
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    documents = table(spark, folder, "documents")
+    return language.identify(documents, language.learned(documents))
