@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import language, mixing, simhash
+from viewtide.llm import language, mixing, privacy, simhash
 from viewtide.llm.base import query, table
 
 
@@ -26,3 +26,9 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     documents = table(spark, folder, "documents")
     return language.identify(documents, language.learned(documents))
+
+
+@query()
+def op6_privacy(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document, and terms that give it away."""
+    return privacy.personal_data(table(spark, folder, "documents"))
