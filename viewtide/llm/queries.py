@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import language, mixing, privacy, simhash
+from viewtide.llm import bestfit, language, mixing, privacy, simhash, windows
 from viewtide.llm.base import query, table
 
+# The vocabulary file and its token for the end of a text.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_OF_TEXT = 49407
+
 
 @query()
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,3 +37,17 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_privacy(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document, and terms that give it away."""
     return privacy.personal_data(table(spark, folder, "documents"))
+
+
+@query()
+def op3_bestfit(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, with digests of the packed matrices."""
+    documents = table(spark, folder, "documents")
+    return bestfit.digests(bestfit.pack(documents, TOKENIZER, END_OF_TEXT, length=2048))
+
+
+@query()
+def op8_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens, each with every source's share."""
+    documents = table(spark, folder, "documents")
+    return windows.pieces(documents, TOKENIZER, end=2, length=4096, with_ids=False)
