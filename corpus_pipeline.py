@@ -8,19 +8,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import simhash
+from viewtide.llm import language, mixing, privacy, simhash, windows
 from viewtide.llm.base import prepared, table
+from viewtide.llm.queries import TOKENIZER
 from viewtide.session import settled
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in none of the languages that the labelled ones are in go."""
+    prepared(spark)
+    return language.accepted(docs, language.learned(docs))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     prepared(spark)
     return simhash.first_of_each(docs, shingle=3, bits=3)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data, and terms that give it away, are replaced."""
+    prepared(spark)
+    return privacy.masked(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated, so that sources come near their targets."""
+    prepared(spark)
+    return mixing.mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their places in sequences, and their ids."""
+    prepared(spark)
+    return windows.pieces(docs, TOKENIZER, end=2, length=4096)
+
+
 STAGES = [
+    ("language", languages),
     ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("mixing", mix),
+    ("packing", packing),
 ]
 
 #: The stages hash, fit and tokenise in ways that SQL has no functions for.
