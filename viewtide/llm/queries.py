@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bestfit, language, mixing, privacy, simhash, windows
+from viewtide.llm import bestfit, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, windows
 from viewtide.llm.base import query, table
 
 # The vocabulary file and its token for the end of a text.
@@ -51,3 +51,27 @@ def op8_windows(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of 4096 tokens, each with every source's share."""
     documents = table(spark, folder, "documents")
     return windows.pieces(documents, TOKENIZER, end=2, length=4096, with_ids=False)
+
+
+@query()
+def op9_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    return hnsw.nearest(table(spark, folder, "embeddings"), every=100, k=10)
+
+
+@query(multiindex.NEAREST_SQL)
+def op10_multiindex(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest sign codes of every fiftieth vector."""
+    return multiindex.nearest(table(spark, folder, "embeddings"), every=50, k=10)
+
+
+@query()
+def op7_tagpaths(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.main_texts(table(spark, folder, "pages"))
+
+
+@query()
+def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """The passages of 50 words or more that documents share."""
+    return suffixes.repeats(table(spark, folder, "documents"))
