@@ -1,0 +1,82 @@
+import hashlib
+import random
+import re
+
+from viewtide.llm import privacy
+
+# The contract's patterns, as it writes them.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        total += int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10))
+    return total % 10 == 0
+
+
+def valid(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in value.split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def expected(text):
+    spans = [(m.start(), r, m.end(), k) for r, (k, p) in enumerate(PATTERNS.items()) for m in re.finditer(p, text or "") if valid(k, m[0])]
+    return [(k, s, e) for s, _, e, k in sorted(spans)]
+
+
+def test_spans(documents):
+    random.seed(1)
+    signs = "a1b2.@+- ()%_é😀9:0"
+    texts = ["".join(random.choice(signs) for _ in range(random.choice([5, 20, 60, 200]))) for _ in range(800)]
+    texts += [None, "", "4111 1111 1111 1111", "+" + "1" * 12, "1.2.3.4.5.6.7.8 256.1.1.1 000300.1.1.1", "x" + "0" * 50 + "1.1.1.1"]
+    texts += ["1.2.3.4 " * 300, "9" * 20000, "a@b" + ".c" * 20000, "a" * 100000, "1 " * 10000, "a@b.co" * 100]
+    rows = [(i, t, None, None) for i, t in enumerate(texts)] + [(0, texts[0], None, None), (None, "me@here.org", None, None)]
+    found = privacy.personal_data(documents(rows)).collect()
+    assert len(found) == len(rows)
+    for row in found:
+        spans = expected("me@here.org" if row.doc_id is None else texts[row.doc_id])
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        assert row.spans == joined
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(s[0] == k for s in spans) for k in PATTERNS]
+
+
+def test_telling_terms(documents):
+    """A name that is only found beside an address is removed, a common word stays."""
+    filler = ["north wind", "late train", "green door", "small river", "old bridge", "dry summer"]
+    rows = [(i, f"{f} and Quillon wrote to q@host.org about the {f}", None, None) for i, f in enumerate(filler)]
+    rows += [(i, f"nothing about the {filler[i % 6]} and more wrote to others", None, None) for i in range(10, 60)]
+    found = {r.doc_id: r for r in privacy.personal_data(documents(rows)).collect()}
+    for i, f in enumerate(filler):
+        at = rows[i][1].index("Quillon")
+        assert f"removed:{at}:{at + 7}" in found[i].spans.split(",")
+        assert "email" in found[i].spans and len(found[i].spans.split(",")) == 2
+    assert all(found[i].spans == "" for i in range(10, 60))
+    masked = {r.doc_id: r for r in privacy.masked(documents(rows)).collect()}
+    assert masked[0].text == "north wind and  wrote to [EMAIL] about the north wind"
+    assert masked[0].n_chars == len(masked[0].text) and masked[0].row == "r"
+    assert masked[10].text == rows[6][1]
+
+
+def test_masks(documents):
+    texts = ["mail a@b.co, ip 1.2.3.4; card 4111111111111111 tel +49 30 1234567.", None, "", "clean é😀", "😀 a@b.co b@c.de"]
+    df = documents([(i, t, None, None) for i, t in enumerate(texts)])
+    found = privacy.masked(df)
+    assert found.columns == df.columns
+    by = {r.doc_id: r.text for r in found.collect()}
+    assert by == {0: "mail [EMAIL], ip [IP]; card [CARD] tel [PHONE].", 1: None, 2: "", 3: "clean é😀", 4: "😀 [EMAIL] [EMAIL]"}
+
+
+def test_empty(documents):
+    none = documents([]).limit(0)
+    assert privacy.personal_data(none).collect() == [] and privacy.masked(none).collect() == []

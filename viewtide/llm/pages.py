@@ -5,9 +5,9 @@ content hold much text and punctuation per block, paths of boilerplate hold litt
 
     text ratio = characters outside links per block,    punctuation ratio = punctuation marks per block
 
-are spread over the page in block order and smoothed, so that a short paragraph gains from its neighbours. Both are fused
-by their product, weighted by what the path says of itself (``article`` speaks for content, ``nav`` or ``class="ad"``
-against). Blocks above a threshold taken from the page's own scores are content; headings go with the content they head.
+are fused by the product of their logarithms, spread over the page in block order and smoothed, so that a path gains from
+neighbours that are content. The score is the mean of both values, weighted by what the path says of itself (``article``
+speaks for content, ``nav`` or ``class="ad"`` against). Blocks above a threshold taken from the page's own scores are content; headings go with the content they head.
 """
 
 from __future__ import annotations
@@ -219,9 +219,8 @@ def content(found: list[Block]) -> list[Block]:
     text = {p: sum(max(len(b.text) - b.linked, 0) for b in bs) / len(bs) for p, bs in paths.items()}
     marks = {p: sum(len(MARKS.findall(b.text)) for b in bs) / len(bs) for p, bs in paths.items()}
     trust = np.array([TRUST if b.cue > 0 else 1.0 for b in rest])
-    ratio = _smooth(np.array([text[b.path] for b in rest]))
-    punctuation = _smooth(np.array([marks[b.path] for b in rest]))
-    score = np.log1p(ratio) * np.log1p(1 + punctuation) * trust
+    own = np.array([np.log1p(text[b.path]) * np.log1p(1 + marks[b.path]) for b in rest])
+    score = np.sqrt(own * _smooth(own)) * trust
     # A page that marks its content is believed: nothing outside of it is content, all its paths are.
     if (trust > 1).any():
         chosen = trust > 1

@@ -32,7 +32,7 @@ NEEDED = {"email": "@", "phone": "+"}
 WORD = r"\p{L}[\p{L}\p{M}'-]*+"
 # Characters on either side of a value that make its context.
 CONTEXT = 64
-# Different contexts in which a term must be found with a value.
+# Different contexts, of as many documents, in which a term must be found with a value.
 CONTEXTS = 3
 REMOVE, GENERALISE = 0.9, 0.6
 
@@ -144,10 +144,11 @@ def disclosing(rows: DataFrame, texts: DataFrame, contexts: int = CONTEXTS, remo
     ).select("number", "value", "context", "t.*")
     beside = settled(beside.where(F.length("term") > 1))
 
-    pairs = beside.groupBy("value", "term", "number").agg(F.min("context").alias("low"), F.max("context").alias("high"))
-    seen = beside.select("value", "term", "context").distinct().groupBy("value", "term").agg(F.count("*").alias("contexts"))
-    pairs = pairs.groupBy("value", "term").agg(F.count("*").alias("with_both"))
-    pairs = settled(pairs.join(seen.where(F.col("contexts") >= contexts), ["value", "term"]))
+    # One context of each document counts, and equal ones, as copies have them, count once.
+    pairs = beside.groupBy("value", "term", "number").agg(F.min("context").alias("context"))
+    pairs = pairs.groupBy("value", "term", "context").agg(F.count("*").alias("rows"))
+    pairs = pairs.groupBy("value", "term").agg(F.sum("rows").alias("with_both"), F.count("*").alias("contexts"))
+    pairs = settled(pairs.where(F.col("contexts") >= contexts))
 
     # In how many documents of the whole corpus each of these terms is found.
     words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty()), F.lit(WORD), F.lit(0)))).alias("term"))

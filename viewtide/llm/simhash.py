@@ -23,6 +23,7 @@ from viewtide.session import settled
 SEED = 42
 # Fingerprints compared with each other in one bucket; larger ones are split.
 BUCKET = 1024
+ALL = (1 << 64) - 1
 # Shingles whose bits are counted at a time.
 SLICE = 1 << 16
 
@@ -131,8 +132,7 @@ def links(codes: DataFrame, bits: int = 3, bucket: int = BUCKET) -> DataFrame:
     """
     spark = codes.sparkSession
     blocks = bits + 1
-    masks = split_masks(0, blocks)
-    each = F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask")
+    each = F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in split_masks(0, blocks)])).alias("mask")
     rows = codes.select("code", each)
     found = None
     while True:
@@ -145,9 +145,9 @@ def links(codes: DataFrame, bits: int = 3, bucket: int = BUCKET) -> DataFrame:
         large = sizes.where(F.col("rows") > bucket).drop("rows")
         if large.isEmpty():
             return found
-        finer = [(_signed(m), _signed(c)) for m in masks for c in split_masks(m, blocks)]
-        masks = [c for m in masks for c in split_masks(m, blocks)]
-        # One row for each mask: blocks ** level rows, whatever the data.
+        # One row for each mask with a large bucket: at most blocks ** level rows, whatever the data.
+        masks = [r.mask for r in large.select("mask").distinct().collect()]
+        finer = [(m, _signed(c)) for m in masks for c in split_masks(m & ALL, blocks)]
         children = F.broadcast(spark.createDataFrame(finer, "mask long, child long"))
         crowded = rows.join(large, ["mask", "value"]).join(children, "mask")
         rows = settled(crowded.select("code", F.col("child").alias("mask")))
