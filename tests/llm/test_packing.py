@@ -14,7 +14,7 @@ from viewtide.llm.tokens import WordTokenizer
 @pytest.fixture(scope="module")
 def rows():
     random.seed(2)
-    words = ["Alpha", "beta's", "don't", "x1y22", "é̈", "<|endoftext|>", "naïve", "a\x1fb", "日本", "zz\xa0top", "!?"]
+    words = ["Alpha", "beta's", "don't", "x1y22", "é̈", "<|endoftext|>", "naïve", "a\x1fb", "日本", "zz\xa0top", "!?", "it'SLL've", "A1.b2,,C", "~<|x", "'", "(we'd)'m"]
     rows = [(i, " \t\n".join(random.choices(words, k=random.choice([0, 1, 5, 60, 700]))), "en", random.choice(["a", "a", "b", None])) for i in range(120)]
     return rows + [(200, None, None, "c"), (200, None, None, "c"), (None, "no id", None, "c")]
 
@@ -27,9 +27,11 @@ def ids(rows):
 
 def test_words(rows, ids):
     tokenizer = WordTokenizer(TOKENIZER)
-    for row, expected in zip(rows, ids):
-        found = tokenizer.ids(None if row[1] is None else row[1].encode())
-        assert np.frombuffer(found, tokenizer.kind).tolist() == expected[:-1]
+    texts = [None if r[1] is None else r[1].encode() for r in rows] + [b"x" * 500]
+    for _ in range(2):
+        found = tokenizer.batch(texts)
+        assert [np.frombuffer(f, tokenizer.kind).tolist() for f in found[:-1]] == [i[:-1] for i in ids]
+        assert len(found[-1]) > 2
 
 
 @pytest.mark.parametrize("queues", [1024, 2])

@@ -117,8 +117,8 @@ def _sequences(path: str, end: int, length: int, buffer: int, pad: int):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[first : first + 256]), kinds)], names)
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                ids = np.frombuffer(tokenizer.ids(text.as_py()) + last, tokenizer.kind)
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), tokenizer.batch(batch["text"].to_pylist())):
+                ids = np.frombuffer(found + last, tokenizer.kind)
                 for start in range(0, len(ids), length):
                     pieces.append((chunk << 33 | row, doc_id, start, ids[start : start + length]))
                 row += 1

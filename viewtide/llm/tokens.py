@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
+from array import array
 from functools import lru_cache
 
-import numpy as np
 from tokenizers import Tokenizer
 
-# Words whose ids a worker remembers, and how long such a word may be (bytes).
-MEMORY = 300_000
+# Words whose ids a worker remembers, and how long such a word may be (bytes): at most some 150 MB.
+MEMORY = 1_000_000
 LONG = 64
 
 
-class _Words(dict):
-    """Ids of words as bytes, looked up once per word."""
-
-    def __init__(self, tokenizer: Tokenizer, kind: str):
-        self.tokenizer, self.kind = tokenizer, kind
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = np.array(ids, self.kind).tobytes()
-        if len(word) <= LONG:
-            if len(self) >= MEMORY:
-                self.clear()
-            self[word] = found
-        return found
+# How the file's tokenizer splits lower-case text, and the same for words of visible ASCII characters.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+VISIBLE = re.compile(rb"(?!.*<\|)[!-~]+")
 
 
 class WordTokenizer:
@@ -35,13 +28,38 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
-        tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-        self.words = _Words(tokenizer, self.kind)
+        # Spark runs one task on a core; the library's own threads would take the others' cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        small = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
+        self.kind, self.code = ("<u2", "H") if small else ("<u4", "I")
+        self.known: dict[bytes, bytes] = {}
+        # Normalising and splitting takes most of the library's time. Words of ASCII characters need neither.
+        file = json.loads(self.tokenizer.to_str())
+        splitters = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.plain = splitters[0].get("pattern") == {"Regex": PARTS} and [s["type"] for s in splitters] == ["Split", "ByteLevel"]
+
+    def _encoded(self, word: bytes) -> bytes:
+        if self.plain and VISIBLE.fullmatch(word):
+            tokenize = self.tokenizer.model.tokenize
+            ids = [t.id for part in ASCII_PARTS.findall(word.decode().lower()) for t in tokenize(part)]
+        else:
+            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return array(self.code, ids).tobytes()
 
-    def ids(self, text: bytes | None) -> bytes:
-        """The ids of a text in UTF-8; none for a null text."""
-        return b"".join(map(self.words.__getitem__, (text or b"").split()))
+    def batch(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text in UTF-8; none for a null text. Each word that is new is encoded once."""
+        split = [(t or b"").split() for t in texts]
+        if len(self.known) > MEMORY:
+            self.known.clear()
+        known = self.known
+        new = list({w for words in split for w in words if w not in known})
+        known.update((w, self._encoded(w)) for w in new)
+        ids = [b"".join(map(known.__getitem__, words)) for words in split]
+        for word in new:
+            if len(word) > LONG:
+                del known[word]
+        return ids
 
 
 @lru_cache(maxsize=4)

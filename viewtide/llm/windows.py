@@ -42,7 +42,7 @@ def tokenised(df: DataFrame, path: str, end: int) -> DataFrame:
         before: dict[str | None, int] = {}
         row = 0
         for batch in batches:
-            ids = [tokenizer.ids(text.as_py()) + last for text in batch["text"]]
+            ids = [i + last for i in tokenizer.batch(batch["text"].to_pylist())]
             sizes = [len(i) // width for i in ids]
             places = []
             for source, size in zip(batch["source"].to_pylist(), sizes):
