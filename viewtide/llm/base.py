@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from viewtide.session import tune
+from viewtide.session import shared_folder, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,3 +59,13 @@ def unboxed(df: DataFrame) -> DataFrame:
 def text_or_empty(column: str = "text") -> Column:
     """A text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def held(df: DataFrame) -> DataFrame:
+    """Whole rows, texts too, kept in the shared folder while a plan refers to them.
+
+    Spark deletes the checkpoint when nothing refers to it any more and spark.cleaner.referenceTracking.cleanCheckpoints is
+    set. A written table would be smaller but stay, and stages that follow each other would each leave a copy of all texts.
+    """
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

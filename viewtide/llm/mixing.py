@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import WORD, boxed, text_or_empty, unboxed
+from viewtide.llm.base import WORD, boxed, held, text_or_empty, unboxed
 from viewtide.operators.joins import join_null_safe
 from viewtide.operators.positions import number_rows, running_total
 from viewtide.session import settled
@@ -83,8 +83,8 @@ def mix(df: DataFrame, seed: int = SEED) -> DataFrame:
 def mixed(df: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows of ``df`` as often as the mix takes them, columns as they were."""
     number = F.monotonically_increasing_id()
-    rows = settled(boxed(df, doc_id=F.col("doc_id"), source=F.col("source"), size=words(text_or_empty()), number=number))
-    times = repetitions(rows.drop("row"), seed).select("number", "times").where("times > 0")
+    rows = held(boxed(df, doc_id=F.col("doc_id"), source=F.col("source"), size=words(text_or_empty()), number=number))
+    times = repetitions(settled(rows.drop("row")), seed).select("number", "times").where("times > 0")
     taken = rows.select("row", "number").join(times, "number")
     return unboxed(taken.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))))
 

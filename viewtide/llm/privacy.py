@@ -11,9 +11,11 @@ Everything is built from column expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import boxed, text_or_empty, unboxed
+from viewtide.llm.base import held, text_or_empty
 from viewtide.session import settled
 
 # The kinds in their order and what they look like. Possessive quantifiers change no match here, as
@@ -41,7 +43,7 @@ SPAN = "struct<start:bigint,end:bigint,value:string>"
 CHUNK = 64
 
 
-def _valid(kind: str) -> Column | None:
+def _valid(kind: str) -> str:
     digits = "regexp_replace(m.value, '[^0-9]', '')"
     return {
         "email": "true",
@@ -101,7 +103,7 @@ def printed(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
 
 
-def _mentions(df: DataFrame, text: str = "text") -> Column:
+def _mentions(text: str = "text") -> Column:
     """For each span its protected value and the text on both sides of it, whole words only."""
     # Letters in an address mean the same in either case; other values are their digits and dots.
     value = "CASE s.kind WHEN 'email' THEN lower(s.value) WHEN 'ip' THEN s.value ELSE regexp_replace(s.value, '[^0-9]', '') END"
@@ -119,7 +121,7 @@ def _mentions(df: DataFrame, text: str = "text") -> Column:
     )
 
 
-def _terms(side: str, at: str) -> DataFrame:
+def _terms(side: str, at: str) -> Column:
     """The words of one side of a mention with their places in the text."""
     return F.expr(f"transform(_placed_{side}, m -> named_struct('term', lower(m.value), 'start', m.start + {at}, 'end', m.end + {at}))")
 
@@ -127,9 +129,9 @@ def _terms(side: str, at: str) -> DataFrame:
 def disclosing(rows: DataFrame, texts: DataFrame, contexts: int = CONTEXTS, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """Per ``number`` the ``terms`` beside its protected values that reveal them: array of (start, rank, end, kind, value).
 
-    ``rows`` (number, mentions) and ``texts`` (text) hold all documents; ``rows`` should be settled.
+    ``rows`` (number, mentions) has the documents with protected values and should be settled, ``texts`` (text) all documents.
     """
-    documents = rows.count()
+    documents = texts.count()
     values = rows.select(F.explode(F.expr("array_distinct(transform(mentions, m -> m.value))")).alias("value"))
     values = values.groupBy("value").agg(F.count("*").alias("with_value"))
 
@@ -163,13 +165,14 @@ def disclosing(rows: DataFrame, texts: DataFrame, contexts: int = CONTEXTS, remo
     return spans.groupBy("number").agg(F.array_sort(F.collect_set(span)).alias("terms"))
 
 
-def _sanitised(df: DataFrame, row: Column) -> DataFrame:
-    """``row`` of each document, with text, base spans and all spans."""
+def _sanitised(df: DataFrame, row: Column, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``row`` of each document, with base spans and all spans. ``keep`` stores what is read several times."""
     number = F.monotonically_increasing_id()
     texts = df.select(row.alias("row"), number.alias("number"), text_or_empty().alias("text"))
     stepped = found(texts)
-    rows = settled(stepped.withColumn("mentions", _mentions(stepped)).select("row", "number", "spans", "mentions"))
-    terms = settled(disclosing(rows.select("number", "mentions"), df.select("text")))
+    rows = keep(stepped.withColumn("mentions", _mentions()).select("row", "number", "spans", "mentions"))
+    mentions = settled(rows.select("number", "mentions").where(F.size("mentions") > 0))
+    terms = settled(disclosing(mentions, df.select("text")))
     joined = rows.drop("mentions").join(terms, "number", "left")
     both = F.concat("spans", F.coalesce("terms", F.expr("slice(spans, 1, 0)")))
     return joined.select("row", "spans", F.array_sort(both).alias("all_spans"))
@@ -181,7 +184,7 @@ def personal_data(df: DataFrame) -> DataFrame:
     A null text is empty. Repeated rows stay and are found to hold the same. Terms that give a value away are spans of
     kind ``removed`` or ``term``. An empty table gives an empty result.
     """
-    rows = _sanitised(df, F.struct("doc_id"))
+    rows = _sanitised(df, F.struct("doc_id"), settled)
     counts = [F.expr(f"size(filter(spans, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in PATTERNS]
     digest = F.sha2(printed("spans").cast("binary"), 256).alias("base_sha256")
     return rows.select("row.doc_id", *counts, digest, printed("all_spans").alias("spans"))
@@ -197,7 +200,7 @@ def masked(df: DataFrame) -> DataFrame:
     Values become the name of their kind, telling terms ``[TERM]`` or nothing. Of overlapping spans the first is replaced by
     its name and the rest of the other removed. Texts without spans, null ones too, stay as they are.
     """
-    rows = _sanitised(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    rows = _sanitised(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]), held)
     # Spans that begin after all earlier ones have ended give a piece of text and a name; others only move the end.
     rows = rows.withColumn("text", F.col("row.text")).withColumn(
         "pieces",

@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import boxed, unboxed
+from viewtide.llm.base import boxed, held, unboxed
 from viewtide.llm.components import components
 from viewtide.session import settled
 
@@ -183,7 +183,7 @@ def first_of_each(df: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     A null doc_id comes last; among equal ones one row is kept. Columns come back as they were.
     """
     code = fingerprints(F.col("text"), shingle)
-    rows = settled(boxed(df, doc_id=F.col("doc_id"), code=code, number=F.monotonically_increasing_id()))
+    rows = held(boxed(df, doc_id=F.col("doc_id"), code=code, number=F.monotonically_increasing_id()))
     # The group's smallest key: doc_id with nulls last, then the row's number.
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number")
     first = settled(rows.groupBy("code").agg(F.min(key).alias("first")))
