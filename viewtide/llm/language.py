@@ -23,6 +23,8 @@ from viewtide.llm.base import boxed, unboxed
 # The sample: so many characters in all, dealt evenly to the languages, in pieces of texts.
 SAMPLE_CHARS = 120_000
 PIECE_CHARS = 200
+# Parts in which a language's texts are ranked first.
+SALTS = 64
 # Different letters that are told apart.
 LETTERS = 61
 SEGMENT = 256
@@ -50,8 +52,11 @@ def sample(labelled: DataFrame, chars: int = SAMPLE_CHARS, piece: int = PIECE_CH
         .select(F.col("lang").cast("string").alias("lang"), digest.alias("digest"), F.col("text").substr(start.cast("int") + 1, F.lit(piece)).alias("piece"))
         .distinct()
     )
+    # First in SALTS parts of each language, so that a common one is not ranked in one task.
+    salted = Window.partitionBy("lang", F.pmod("digest", F.lit(SALTS))).orderBy("digest", "piece")
+    first = pieces.withColumn("turn", F.row_number().over(salted)).where(F.col("turn") <= number)
     turn = Window.partitionBy("lang").orderBy("digest", "piece")
-    ranked = pieces.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= number)
+    ranked = first.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= number)
     chosen = ranked.orderBy("turn", "lang").limit(number)
     return [(r.lang, r.piece) for r in chosen.collect()]
 
