@@ -233,7 +233,8 @@ def repeats(df: DataFrame) -> DataFrame:
     classes = settled(classes)
     kept = docs.join(classes.select("number"), "number", "left_semi")
     stems = kept.select("number", F.inline(F.arrays_zip("pos", "hash")))
-    repeated = stems.groupBy("hash").agg(F.count("*").alias("rows")).where("rows > 1").select("hash")
+    # Settled, so that the join shuffles it anew and Spark can split the rows of a common stem.
+    repeated = settled(stems.groupBy("hash").agg(F.count("*").alias("rows")).where("rows > 1").select("hash"))
     places = stems.join(repeated, "hash", "left_semi").groupBy("number").agg(F.sort_array(F.collect_list("pos")).alias("places"))
     places = settled(places.join(classes.select("number", "key"), "number"))
 
