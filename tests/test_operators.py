@@ -198,18 +198,22 @@ def test_quantiles(spark, many_pieces):
 
 
 @pytest.mark.parametrize("slack, accuracy", [(0.01, 200), (0.0, 2), (0.3, 3), (0.001, 10)])
-@pytest.mark.parametrize("groups", [200_000, 1])
-def test_exact_quantiles(spark, many_pieces, monkeypatch, slack, accuracy, groups):
-    """Also where brackets miss, and where there are too many groups to broadcast."""
+@pytest.mark.parametrize("limit", ["10MB", "-1"])
+def test_exact_quantiles(spark, many_pieces, monkeypatch, slack, accuracy, limit):
+    """Also where brackets miss, and with brackets broadcast or not, as Spark decides by its limit."""
     monkeypatch.setattr(quantiles, "SLACK", slack)
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
-    monkeypatch.setattr(joins.broadcast_if_small, "__defaults__", (groups,))
     pick = random.Random(accuracy)
     data = list(skewed(3))
     data += [(n, pick.choice(["hot", "wide", None]), pick.randrange(10**6)) for n in range(3000)]
     data += [(0, "one", 5), (1, "two", 5), (2, "two", 8), (3, "none", None)]
     df = spark.createDataFrame(data, "id int, g string, v int")
-    check_quantiles(quantiles.exact_quantiles(df, ["g"], "v", POINTS), data)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(setting, limit)
+    try:
+        check_quantiles(quantiles.exact_quantiles(df, ["g"], "v", POINTS), data)
+    finally:
+        spark.conf.unset(setting)
 
 
 def test_far_values_are_counted_not_shuffled(spark):

@@ -20,6 +20,7 @@ from viewtide.plans import (
     warehouse,
 )
 from viewtide.sources import readers, writers
+from viewtide.streaming.snapshots import append_new_days
 
 D = dt.date
 AS_OF = D(2024, 2, 10)
@@ -218,14 +219,14 @@ def test_ratio_plans(spark, rows):
         CHANNEL_LOG,
     )
     subs = view_sub.subscribers(channel, channel_log)
-    top = view_sub.top_channels(views, subs).collect()
+    top = view_sub.top_channels(views, subs, view_sub.EXCLUDED).collect()
     # "n11" is two channels: (110 + 111 + 112 + 113 + 60 + 60.5 + 61 + 61.5) / 8.
     expected = {"n11": (86.125, 15.0)}
     expected |= {f"n{n:02d}": (10.0 * n + 1.5, 10.0) for n in range(2, 11)}
     assert {r.name: (r.avg_view_sub_ratio, r.sub_count) for r in top} == expected
     assert [r.avg_view_sub_ratio for r in top] == sorted((v for v, _ in expected.values()), reverse=True)
 
-    spread = view_sub.ratio_spread(views, subs).collect()
+    spread = view_sub.ratio_spread(views, subs, view_sub.EXCLUDED).collect()
     assert [r.name for r in spread] == [r.name for r in top]
     ten = next(r for r in spread if r.name == "n10")
     assert (ten.rows, ten.lowest, ten.q1, ten.median, ten.q3, ten.highest) == (
@@ -312,8 +313,8 @@ def test_daily_run(spark, rows, tmp_path):
     counts = [daily.append_video_counters(stored, documents, day, f"{tmp_path}/log") for _ in range(2)]
     assert counts == [1, 0]  # a second run on the same day adds nothing
     log = spark.read.schema(schema.VIDEO_LOG).parquet(f"{tmp_path}/log")
-    # A hidden counter gets the column's default.
-    assert rows(log, "video_id", "view_count", "like_count", "created_date") == [("new", 5, 0, day)]
+    # A hidden counter is not known, which is not 0.
+    assert rows(log, "video_id", "view_count", "like_count", "created_date") == [("new", 5, None, day)]
 
     channel = json.dumps(
         {"items": [{"id": "c", "snippet": {"title": "t", "publishedAt": "2010-05-06T07:08:09Z"},
@@ -322,8 +323,37 @@ def test_daily_run(spark, rows, tmp_path):
     documents = spark.createDataFrame([("c", channel)], "channel_id string, body string")
     assert daily.append_channel_counters(documents, day, f"{tmp_path}/channel_log") == 1
     ids = spark.createDataFrame([("c",), ("bad",)], "channel_id string")
-    assert daily.register_channels(ids, documents, f"{tmp_path}/channel") == 1
+    added = [daily.register_channels(ids, documents, f"{tmp_path}/channel") for _ in range(2)]
+    assert added == [1, 0]
     found = spark.read.schema(schema.CHANNEL).parquet(f"{tmp_path}/channel")
     assert rows(found, "channel_id", "published_date", "active") == [
         ("c", dt.datetime(2010, 5, 6, 7, 8, 9), True)
     ]
+
+
+def test_two_snapshots_of_a_day(spark, rows):
+    """The one written last counts, with all its counters, in whatever order the rows come."""
+    at = [dt.datetime(2024, 1, 1, h) for h in range(24)]
+    log = [
+        ("c", 100, 50, 5, at[1], D(2024, 1, 1)),
+        ("c", 90, 60, 5, at[7], D(2024, 1, 1)),  # fewer views than the one before it
+        ("c", 95, 55, 6, at[3], D(2024, 1, 7)),
+        ("c", 120, 70, 6, at[2], D(2024, 1, 7)),
+        ("c", 130, 71, 7, at[4], D(2024, 1, 31)),
+        ("c", 10, 1, 1, at[5], D(2024, 1, 31)),
+    ]
+    schema_ = "channel_id string, view_count long, sub_count long, video_count long, created_at timestamp, created_date date"
+    found = set()
+    for order in (log, log[::-1], log[3:] + log[:3]):
+        growth = monthly.monthly_growth(spark.createDataFrame(order, schema_).repartition(3), D(2024, 2, 15))
+        found.add(tuple(growth.select("1_sub_delta", "1_view_delta", "monthly_sub_delta", "monthly_view_delta").first()))
+        numbered = windows.snapshot_ordinal(spark.createDataFrame(order, schema_), "channel_id")
+        assert rows(numbered, "ordinal", "view_count") == [(1, 90), (2, 95), (3, 10)]
+    assert found == {(-5, 5, -59, -80)}
+
+
+def test_rows_without_a_day_are_not_appended(spark, tmp_path):
+    schema_ = "video_id string, view_count long, created_date date"
+    batch = spark.createDataFrame([("a", 1, None), (None, 2, D(2024, 1, 1)), ("b", 3, D(2024, 1, 1)), ("b", 3, D(2024, 1, 1))], schema_)
+    assert [append_new_days(batch, f"{tmp_path}/log", "video_id") for _ in range(2)] == [1, 0]
+    assert append_new_days(batch.limit(0), f"{tmp_path}/none", "video_id") == 0

@@ -68,7 +68,7 @@ def test_append_counts_and_fills(spark, rows, tmp_path):
     assert writers.append(more, path, schema.VIDEO_LOG, stamped) == 2
     stored = spark.read.schema(schema.VIDEO_LOG).parquet(path)
     assert rows(stored, "video_id", "view_count", "like_count", "comment_count") == [
-        ("v1", 5, 0, 0), ("v2", 0, 0, 0), ("v3", 0, 7, 0),
+        ("v1", 5, 0, 0), ("v2", 0, None, 0), ("v3", 0, 7, 0),
     ]
     assert stored.where("created_at is null").count() == 1
 

@@ -54,6 +54,10 @@ def value_counts(df: DataFrame, keys: list[str], name: str = "count") -> DataFra
     return df.groupBy(*keys).agg(F.count("*").alias(name))
 
 
+# A double has no more significant digits.
+DIGITS = 17
+
+
 def bin_edges(values: DataFrame, value: str, bins: int) -> DataFrame:
     """One row: ``low`` and ``width`` of equal bins over the observed range, and label ``edges``.
 
@@ -73,7 +77,7 @@ def bin_edges(values: DataFrame, value: str, bins: int) -> DataFrame:
         "edges", F.transform(steps, lambda i: F.col("low") + i * F.col("width"))
     )
     choices = []
-    for digits in range(6):
+    for digits in range(DIGITS):
         near = F.transform("edges", lambda edge: F.bround(edge, digits))
         lowered = F.concat(F.array(F.get(near, F.lit(0)) - 10.0**-digits), F.slice(near, 2, bins))
         choices.append(F.when(F.size(F.array_distinct(near)) == bins + 1, lowered))

@@ -1,4 +1,4 @@
-"""Joins. Spark broadcasts a side below its size limit; nothing else is, unless counted before."""
+"""Joins. Spark broadcasts a side below its size limit, at run time too; nothing else is."""
 
 from __future__ import annotations
 
@@ -7,19 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from viewtide.operators.dedup import latest_snapshot
 
 
-# Narrow rows of a table with this many of them take some tens of megabytes.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table of narrow rows for broadcast where a count shows it is small.
-
-    Beyond that it is joined by shuffle. The count runs at once, so ``df`` should
-    be settled or cheap.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"):
     """Equi-join in which null keys match each other."""
     other = {key: f"_right_{key}" for key in keys}

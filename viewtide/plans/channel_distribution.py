@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from viewtide.operators.columns import drop_incomplete, fill_text
 from viewtide.operators.dedup import latest_per_key, snapshot_order
 from viewtide.operators.topk import top_topics, with_category
+from viewtide.session import settled
 
 
 def latest_channels(channel: DataFrame, channel_log: DataFrame, nulls: str = "drop") -> DataFrame:
@@ -29,5 +30,5 @@ def channel_distribution(
     channel: DataFrame, channel_log: DataFrame, nulls: str = "drop", labels: int = 7
 ) -> DataFrame:
     """Latest channels, their topic replaced by the first frequent label it contains."""
-    latest = latest_channels(channel, channel_log, nulls)
+    latest = settled(latest_channels(channel, channel_log, nulls))
     return with_category(latest, "topic", top_topics(latest, "topic", labels), "topic")

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from viewtide import schema
+from viewtide.operators.dedup import latest_per_key
+from viewtide.operators.joins import not_stored
 from viewtide.plans import ingest, pages
 from viewtide.session import settled
 from viewtide.sources import writers
@@ -47,9 +49,18 @@ def append_video_counters(video: DataFrame, documents: DataFrame, day: dt.date,
 
 
 def register_channels(ids: DataFrame, documents: DataFrame, channel_path: str) -> int:
-    """Append the channels of an id list that have a document, and return how many."""
+    """Append the channels of an id list that have a document and are not stored, and return how many.
+
+    A second run adds nothing. Of several documents of a channel one is stored.
+    """
     rows = ingest.registered_channels(ids, documents).withColumn("active", F.lit(True))
     rows = rows.withColumn("published_date", F.try_to_timestamp("published_date"))
+    rows = latest_per_key(rows, ["channel_id"], ["published_date"])
+    # An empty append creates the folder, so that the first run can read it.
+    writers.append(rows.limit(0), channel_path, schema.CHANNEL)
+    stored = ids.sparkSession.read.schema(schema.CHANNEL).parquet(channel_path)
+    # Settled, as the rows are derived from the table they go to.
+    rows = settled(not_stored(rows, stored, ["channel_id"]))
     return writers.append(rows, channel_path, schema.CHANNEL, {"created_at": F.current_timestamp()})
 
 

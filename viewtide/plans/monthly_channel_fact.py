@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from viewtide.functions.dates import checkpoint_days, month_before
 from viewtide.operators.joins import join_null_safe
 from viewtide.operators.positions import rank_rows, value_ranks
+from viewtide.operators.windows import last_of_day
 from viewtide.session import settled
 
 COUNTERS = ("sub_count", "view_count", "video_count")
@@ -26,12 +27,14 @@ def monthly_growth(
     null next to a missing one. ``whole_log`` takes the ``monthly_*`` totals over
     the whole log. Channels without any checkpoint are left out.
 
-    One pass and one shuffle: the checkpoints are picked by conditional
-    aggregates, which are combined before the shuffle.
+    Of several rows of a day the one written last counts. Where the log has no time of
+    writing it is taken to have one row a day, and there is one pass and one shuffle: the
+    checkpoints are picked by conditional aggregates, which are combined before the shuffle.
     """
     first, last = month_before(as_of)
     days = checkpoint_days(first)
     log = channel_log if whole_log else channel_log.where(F.col("created_date").between(first, last))
+    log = last_of_day(log, "channel_id")
 
     def level(counter: str, day: dt.date) -> Column:
         return F.max(F.when(F.col("created_date") == F.lit(day), F.col(counter)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions import durations, ratios
 from viewtide.operators.aggregates import side_by_side
+from viewtide.operators.dedup import snapshot_order
 from viewtide.operators.joins import with_latest
 from viewtide.operators.positions import number_rows
 from viewtide.operators.windows import first_snapshots
@@ -30,7 +31,8 @@ def video_details(video: DataFrame) -> DataFrame:
 
 def snapshots_wide(video_log: DataFrame, snapshots: int = 30) -> DataFrame:
     """``1_date, 1_view, 1_comment, 1_like, 2_date ...``: the n-th snapshot, not the n-th day."""
-    log = video_log.select("video_id", *SNAPSHOT)
+    written = [c for c in snapshot_order(video_log) if c not in SNAPSHOT]
+    log = video_log.select("video_id", *SNAPSHOT, *written)
     numbered = first_snapshots(log, "video_id", snapshots)
     return side_by_side(numbered, "video_id", "ordinal", snapshots, SNAPSHOT)
 
@@ -51,8 +53,9 @@ def video_fact(
     wide = settled(
         video_details(video)
         .drop("published_hour")
-        .join(snapshots_wide(video_log, snapshots), "video_id")
+        # By channel while rows are narrow; the wide ones are shuffled by video only.
         .transform(with_latest, channel_log, "channel_id", ["sub_count"])
+        .join(snapshots_wide(video_log, snapshots), "video_id")
     )
     views = F.col(f"{snapshots}_view")
     order = [F.col("views").desc() if descending else F.col("views").asc(), F.asc("video_id")]
@@ -66,4 +69,4 @@ def video_fact(
             "avg_daily_view": ratios.int_ratio(views, F.lit(average_days)),
             "sub_view_ratio": ratios.int_ratio(views, F.col("sub_count")),
         }
-    ).orderBy("published_time")
+    ).orderBy("published_time", "video_id")

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from viewtide.functions.ratios import ratio
 from viewtide.operators.filters import not_listed
-from viewtide.operators.joins import broadcast_if_small, with_latest
+from viewtide.operators.joins import with_latest
 from viewtide.operators.quantiles import place_values, quantiles
 from viewtide.plans.duration_trend import latest_views
 from viewtide.session import settled
 
-# Names left out of the ranking.
+# Names that the analysis leaves out of its ranking; callers pass them where they want that.
 EXCLUDED = ["周杰倫 Jay Chou", "凱文羊", "福茂唱片"]
 
 
@@ -33,7 +35,7 @@ def video_ratios(views: DataFrame, subs: DataFrame) -> DataFrame:
 
 
 def top_channels(
-    views: DataFrame, subs: DataFrame, excluded: list[str] = EXCLUDED, count: int = 10
+    views: DataFrame, subs: DataFrame, excluded: Sequence[str] = (), count: int = 10
 ) -> DataFrame:
     """The names with the highest mean ratio and their mean number of subscribers.
 
@@ -45,7 +47,7 @@ def top_channels(
         F.count("view_count").alias("viewed"),
         F.count("*").alias("videos"),
     )
-    channels = summed.join(not_listed(subs, "name", excluded), "channel_id")
+    channels = summed.join(not_listed(subs, "name", list(excluded)), "channel_id")
     rated = F.when(F.col("sub_count") != 0, F.col("viewed"))
     counted = F.when(F.col("sub_count").isNotNull(), F.col("videos"))
     mean_ratio = F.try_divide(F.sum(ratio(F.col("views"), F.col("sub_count"))), F.sum(rated))
@@ -57,18 +59,18 @@ def top_channels(
 
 
 def ratio_spread(
-    views: DataFrame, subs: DataFrame, excluded: list[str] = EXCLUDED, count: int = 10
+    views: DataFrame, subs: DataFrame, excluded: Sequence[str] = (), count: int = 10
 ) -> DataFrame:
     """Box-plot figures for the leading channels, in their order.
 
     Quartiles are interpolated linearly; whiskers end at the last value within
     1.5 interquartile ranges of the box.
     """
-    views, subs = settled(views), settled(subs)
+    views, subs = settled(views.select("channel_id", "view_count")), settled(subs)
     # At most ``count`` rows, as are the tables made from it by name.
     top = settled(top_channels(views, subs, excluded, count))
     chosen = subs.join(F.broadcast(top.select("name")), "name", "left_semi")
-    ratios = video_ratios(views, broadcast_if_small(chosen))
+    ratios = video_ratios(views, chosen)
     placed = place_values(ratios, ["name"], "view_sub_ratio")
     points = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0}
     box = quantiles(placed, ["name"], "view_sub_ratio", points)

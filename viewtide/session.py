@@ -44,13 +44,13 @@ def local_session(cpus: int | str = 8, memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would each write to a disk of their own.
+    Only a session in one process may fall back to a temporary folder: on a cluster,
+    a local one too, the executors would each write to a disk of their own.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="viewtide-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)

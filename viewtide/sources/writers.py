@@ -50,13 +50,17 @@ def export_csv(spark: SparkSession, query: str, path: str, **tables: DataFrame)
 
 
 def align(df: DataFrame, schema: T.StructType, defaults: dict[str, object] | None = None) -> DataFrame:
-    """Columns by name in the table's order and types; defaults in place of nulls."""
+    """Columns by name in the table's order and types.
+
+    A default stands for a column that is left out; a null in the rows stays null.
+    """
     columns = []
     for field in schema:
-        value = F.col(field.name) if field.name in df.columns else F.lit(None)
-        if defaults and field.name in defaults:
-            default = defaults[field.name]
-            value = F.coalesce(value, default if isinstance(default, Column) else F.lit(default))
+        if field.name in df.columns:
+            value = F.col(field.name)
+        else:
+            default = (defaults or {}).get(field.name)
+            value = default if isinstance(default, Column) else F.lit(default)
         columns.append(value.cast(field.dataType).alias(field.name))
     return df.select(*columns)
 

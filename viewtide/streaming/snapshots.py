@@ -12,25 +12,29 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from viewtide.operators.dedup import latest_per_key
-from viewtide.operators.filters import on_days
 from viewtide.operators.joins import not_stored
+from viewtide.session import settled
 from viewtide.sources.writers import append
 
 
 def append_new_days(batch: DataFrame, log_path: str, key: str) -> int:
     """Append the snapshots whose (id, day) the log does not hold yet, and return how many.
 
-    Only the days of the batch are read back from the log; their number is that
-    of the days between two runs.
+    Rows without an id or a day cannot be told from stored ones and are left out. Of the log only
+    the days from the batch's first to its last are read back.
     """
     order = ["created_at"] if "created_at" in batch.columns else []
-    new = latest_per_key(batch, [key, "created_date"], order)
-    days = [row.created_date for row in new.select("created_date").distinct().collect()]
+    known = batch.where(F.col(key).isNotNull() & F.col("created_date").isNotNull())
+    new = settled(latest_per_key(known, [key, "created_date"], order))
+    first, last = new.agg(F.min("created_date"), F.max("created_date")).first()
+    if first is None:
+        return 0
 
     # An empty append creates the folder, so that the first batch can read it.
     new.limit(0).write.partitionBy("created_date").parquet(log_path, mode="append")
     stored = batch.sparkSession.read.schema(new.schema).parquet(log_path)
-    unseen = not_stored(new, on_days(stored, "created_date", days), [key, "created_date"])
+    days = stored.where(F.col("created_date").between(first, last))
+    unseen = not_stored(new, days, [key, "created_date"])
     return append(unseen, log_path, new.schema, partition_by="created_date")
 
 

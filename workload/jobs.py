@@ -237,7 +237,7 @@ def view_sub_ratio(spark, folder):
     )
 )
 def view_sub_top10(spark, folder):
-    top = view_sub.top_channels(*_ratio_tables(spark, folder))
+    top = view_sub.top_channels(*_ratio_tables(spark, folder), view_sub.EXCLUDED)
     return top.select("name", *[F.round(c, 6).alias(c) for c in ("avg_view_sub_ratio", "sub_count")])
 
 
@@ -265,7 +265,7 @@ BOX += ["lower_whisker", "upper_whisker"]
     )
 )
 def ratio_box_stats(spark, folder):
-    spread = view_sub.ratio_spread(*_ratio_tables(spark, folder))
+    spread = view_sub.ratio_spread(*_ratio_tables(spark, folder), view_sub.EXCLUDED)
     return spread.select("name", "rows", *[F.round(c, 6).alias(c) for c in BOX])
 
 
