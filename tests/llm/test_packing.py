@@ -14,7 +14,7 @@ from viewtide.llm.tokens import WordTokenizer
 @pytest.fixture(scope="module")
 def rows():
     random.seed(2)
-    words = ["Alpha", "beta's", "don't", "x1y22", "é̈", "<|endoftext|>", "naïve", "a\x1fb", "日本", "zz\xa0top", "!?", "it'SLL've", "A1.b2,,C", "~<|x", "'", "(we'd)'m"]
+    words = ["Alpha", "beta's", "don't", "x1y22", "é̈", "<|endoftext|>", "naïve", "a\x1fb", "日本", "zz\xa0top", "!?", "it'SLL've", "A1.b2,,C", "~<|x", "'", "(we'd)'m", "ÅNGSTRÖM,", "İx", "5×3÷2", "ŉſĸ", "l'Été's", "ÿĀ1ß"]
     rows = [(i, " \t\n".join(random.choices(words, k=random.choice([0, 1, 5, 60, 700]))), "en", random.choice(["a", "a", "b", None])) for i in range(120)]
     return rows + [(200, None, None, "c"), (200, None, None, "c"), (None, "no id", None, "c")]
 

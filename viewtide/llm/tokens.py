@@ -15,10 +15,20 @@ MEMORY = 1_000_000
 LONG = 64
 
 
-# How the file's tokenizer splits lower-case text, and the same for words of visible ASCII characters.
+# How the file's tokenizer splits lower-case text, and the same for words of visible ASCII characters and
+# letters up to U+017F that are one character in lower case. Normalising leaves those as they are.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-VISIBLE = re.compile(rb"(?!.*<\|)[!-~]+")
+LATIN_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-zß-öø-ſ0-9]+")
+LATIN = re.compile(r"(?!.*<\|)[!-~À-ÖØ-öø-įı-ſ]+")
+
+
+def byte_characters() -> list[str]:
+    """The character that stands for each byte: itself if it is visible in Latin-1, else one from U+0100 on, in order."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+    return [chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)]
+
+
+BYTES = byte_characters()
 
 
 class WordTokenizer:
@@ -34,17 +44,20 @@ class WordTokenizer:
         small = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self.kind, self.code = ("<u2", "H") if small else ("<u4", "I")
         self.known: dict[bytes, bytes] = {}
-        # Normalising and splitting takes most of the library's time. Words of ASCII characters need neither.
+        # Normalising and splitting takes most of the library's time. Words of Latin letters need neither.
         file = json.loads(self.tokenizer.to_str())
         splitters = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.plain = splitters[0].get("pattern") == {"Regex": PARTS} and [s["type"] for s in splitters] == ["Split", "ByteLevel"]
 
     def _encoded(self, word: bytes) -> bytes:
-        if self.plain and VISIBLE.fullmatch(word):
-            tokenize = self.tokenizer.model.tokenize
-            ids = [t.id for part in ASCII_PARTS.findall(word.decode().lower()) for t in tokenize(part)]
+        text = word.decode("utf-8", "replace")
+        if self.plain and LATIN.fullmatch(text):
+            parts = LATIN_PARTS.findall(text.lower())
+            if not text.isascii():
+                parts = ["".join([BYTES[b] for b in part.encode()]) for part in parts]
+            ids = [t.id for part in parts for t in self.tokenizer.model.tokenize(part)]
         else:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return array(self.code, ids).tobytes()
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
