@@ -8,6 +8,8 @@ from viewtide.functions import dates, durations, payload, ratios, text
 from viewtide.plans import ingest, pages
 
 D = dt.date
+# Three quarters past noon in Taipei.
+NOON = "2023-11-30T04:45:10Z"
 
 
 def value(spark, column):
@@ -36,18 +38,18 @@ def test_month_bounds_agree(spark):
 
 
 def test_local_time(spark):
-    local = dates.local_timestamp(F.lit("2024-02-20T15:00:01Z"), "Asia/Taipei")
-    assert value(spark, dates.clock_time(local)) == "23:00:01"
-    assert value(spark, F.to_date(local)) == D(2024, 2, 20)
-    late = dates.local_timestamp(F.lit("2024-02-20T18:00:00Z"), "Asia/Taipei")
-    assert value(spark, F.to_date(late)) == D(2024, 2, 21)
+    local = dates.local_timestamp(F.lit(NOON), "Asia/Taipei")
+    assert value(spark, dates.clock_time(local)) == "12:45:10"
+    assert value(spark, F.to_date(local)) == D(2023, 11, 30)
+    late = dates.local_timestamp(F.lit("2023-11-30T16:30:00Z"), "Asia/Taipei")
+    assert value(spark, F.to_date(late)) == D(2023, 12, 1)
 
 
 def test_local_time_in_another_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        local = dates.local_timestamp(F.lit("2024-02-20T15:00:01Z"), "Asia/Taipei")
-        assert value(spark, local) == dt.datetime(2024, 2, 20, 23, 0, 1)
+        local = dates.local_timestamp(F.lit(NOON), "Asia/Taipei")
+        assert value(spark, local) == dt.datetime(2023, 11, 30, 12, 45, 10)
         assert value(spark, dates.local_timestamp(F.lit("soon"), "Asia/Taipei")) is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -55,7 +57,7 @@ def test_local_time_in_another_session_zone(spark):
 
 def test_bad_dates_are_null(spark):
     assert value(spark, dates.parse_date(F.lit("soon"))) is None
-    assert value(spark, dates.parse_date(F.lit("2024-02-20"))) == D(2024, 2, 20)
+    assert value(spark, dates.parse_date(F.lit("2023-11-30"))) == D(2023, 11, 30)
 
 
 def test_epoch(spark):
@@ -65,7 +67,7 @@ def test_epoch(spark):
 @pytest.mark.parametrize(
     "stored, seconds",
     [
-        ("PT11M6S", 666),
+        ("PT7M42S", 462),
         ("PT1H6M40S", 4000),
         ("PT45S", 45),
         ("PT0S", 0),
@@ -86,7 +88,7 @@ def test_iso_seconds(spark, stored, seconds):
 
 
 def test_iso_interval(spark):
-    assert value(spark, durations.iso_interval(F.lit("PT11M6S"))) == dt.timedelta(seconds=666)
+    assert value(spark, durations.iso_interval(F.lit("PT7M42S"))) == dt.timedelta(seconds=462)
 
 
 @pytest.mark.parametrize(
@@ -148,33 +150,44 @@ def test_topic_category(spark):
     assert spark.sql(query).first().v == "Lifestyle"
 
 
-TABS = """
-{"tabRenderer":{"endpoint":{"meta":{"web":{}},"browse":{}},"title":"Home"}},
-{"tabRenderer":{"endpoint":{"meta":{"web":{}},"browse":{}},"title":"Videos"}},
-"INNERTUBE_API_KEY":"key-1",
-"""
+def tab(title):
+    """A tab of a channel page: what stands between its name and its title has two levels of braces."""
+    inner = json.dumps({"endpoint": {"a": {"b": {}}, "c": {}}})[1:-1].replace(" ", "")
+    return f'{{"tabRenderer":{{{inner},"title":"{title}"}}}}'
+
+
+def hit(channel, name):
+    """A hit of a search page."""
+    return f'"channelId":"{channel}","title":{{"simpleText":"{name}"}}'
+
+
+def ids(*numbers, first=False, more=False):
+    """A listing page: its videos, written one way on the first page and another on later ones, and a token if there is more."""
+    before = '"Endpoint":{"videoId":' if first else '"videoRenderer": {"videoId": '
+    lines = [f'{before}"clip-{n}",' for n in numbers]
+    if more:
+        lines.append('"continuationCommand":{"token":"t",')
+    return "".join(line + "\n" for line in lines)
+
+
+def clips(count):
+    return [f"clip-{n}" for n in range(count)]
 
 
 def test_channel_page(spark):
-    page = spark.createDataFrame([("c", TABS), ("d", "nothing to see")], "id string, body string")
+    # The first tab is Home in whatever language its title is.
+    body = "\n".join([tab("Inicio"), tab("Live"), tab("Clips"), '"INNERTUBE_API_KEY":"k 77",'])
+    page = spark.createDataFrame([("c", body), ("d", "no page at all")], "id string, body string")
     tabs = pages.channel_tabs(page, ["id"]).orderBy("id", "pos").collect()
-    assert [(r.id, r.tab) for r in tabs] == [("c", "Home"), ("c", "Videos"), ("d", "Home")]
+    assert [(r.id, r.tab) for r in tabs] == [("c", "Home"), ("c", "Live"), ("c", "Clips"), ("d", "Home")]
     keys = {r.id: r.api_key for r in pages.api_key(page, ["id"]).collect()}
-    assert keys == {"c": "key-1", "d": None}
+    assert keys == {"c": "k 77", "d": None}
 
 
 def test_search_page(spark, rows):
-    body = (
-        '"channelId":"UC-one","title":{"simpleText":"one"} '
-        '"channelId":"id2","title":{"simpleText":"name 2"}'
-    )
-    page = spark.createDataFrame([(body,)], "body string")
-    assert rows(pages.search_hits(page, [])) == [(0, "UC-one", "one"), (1, "id2", "name 2")]
-
-
-FIRST = '"Endpoint":{"videoId":"id1",\n"Endpoint":{"videoId":"id2",\n'
-TOKEN = '"continuationCommand":{"token":"more",\n'
-NEXT = '"videoRenderer": {"videoId": "id%d",\n'
+    pairs = [("A1", "first hit"), ("B2", "hit"), ("A1", "again")]
+    page = spark.createDataFrame([(" ".join(hit(*p) for p in pairs),)], "body string")
+    assert rows(pages.search_hits(page, [])) == [(n, *p) for n, p in enumerate(pairs)]
 
 
 def listing(spark, bodies, limit):
@@ -185,55 +198,53 @@ def listing(spark, bodies, limit):
 
 
 def test_listing_is_capped(spark):
-    bodies = [FIRST + TOKEN, NEXT % 3 + TOKEN, NEXT % 4 + TOKEN, NEXT % 5 + TOKEN]
-    assert listing(spark, bodies, 1) == ["id1"]
-    assert listing(spark, bodies, 4) == ["id1", "id2", "id3", "id4"]
-    assert listing(spark, bodies, 5) == ["id1", "id2", "id3", "id4", "id5"]
+    bodies = [ids(0, 1, 2, first=True, more=True), ids(3, more=True), ids(4, 5, more=True)]
+    for limit in range(1, 7):
+        assert listing(spark, bodies, limit) == clips(limit)
 
 
 def test_listing_ends(spark):
     assert listing(spark, [""], 20) == []
     # Page 0 has no token, a later page has none, a later page has no ids.
-    assert listing(spark, [FIRST, NEXT % 3], 20) == ["id1", "id2"]
-    assert listing(spark, [FIRST + TOKEN, NEXT % 3, NEXT % 4], 20) == ["id1", "id2", "id3"]
-    assert listing(spark, [FIRST + TOKEN, TOKEN, NEXT % 4], 20) == ["id1", "id2"]
-
-
-CHANNEL = {
-    "items": [
-        {
-            "id": "UC" + "x" * 22,
-            "snippet": {
-                "title": "PC class",
-                "customUrl": "@pcclass",
-                "publishedAt": "2010-05-06T07:08:09Z",
-                "thumbnails": {"high": {"url": "https://img/800", "width": 800}},
-                "country": "TW",
-            },
-            "statistics": {
-                "viewCount": "987654321",
-                "subscriberCount": "12345",
-                "hiddenSubscriberCount": False,
-                "videoCount": "67",
-            },
-            "topicDetails": {
-                "topicCategories": ["https://w/wiki/Technology", "https://w/wiki/Lifestyle_(sociology)"]
-            },
-            "brandingSettings": {
-                "channel": {"description": "clear", "keywords": 'a "b c"', "country": "TW"}
-            },
-        }
-    ]
-}
-BARE = {
-    "items": [
-        {
-            "id": "bare",
-            "snippet": {"title": "t", "publishedAt": "p", "thumbnails": {"high": {"url": "u"}}},
-            "brandingSettings": {"channel": {"description": ""}},
-        }
-    ]
-}
+    assert listing(spark, [ids(0, first=True), ids(1)], 20) == clips(1)
+    assert listing(spark, [ids(0, first=True, more=True), ids(1, 2), ids(3)], 20) == clips(3)
+    assert listing(spark, [ids(0, 1, first=True, more=True), ids(more=True), ids(2)], 20) == clips(2)
+
+
+def item(**fields):
+    """A document with one item; a field's name is its path, joined by double underscores."""
+    found = {}
+    for path, held in fields.items():
+        *outer, last = path.split("__")
+        place = found
+        for name in outer:
+            place = place.setdefault(name, {})
+        place[last] = held
+    return {"items": [found]}
+
+
+FULL = item(
+    id="chan-1",
+    snippet__title="Bees",
+    snippet__customUrl="@bees",
+    snippet__publishedAt="2019-09-08T01:02:03Z",
+    snippet__thumbnails__high__url="big.png",
+    snippet__country="PE",
+    statistics__viewCount="31",
+    statistics__subscriberCount="4",
+    statistics__videoCount="2",
+    topicDetails__topicCategories=["http://x/Honey", "http://x/Hive_(box)"],
+    brandingSettings__channel__description="about bees",
+    brandingSettings__channel__keywords="wax 'queen bee'",
+    brandingSettings__channel__country="PE",
+)
+BARE = item(
+    id="chan-2",
+    snippet__title="-",
+    snippet__publishedAt="",
+    snippet__thumbnails__high__url="s.png",
+    brandingSettings__channel__description="",
+)
 
 
 def documents(spark, *docs):
@@ -241,41 +252,30 @@ def documents(spark, *docs):
 
 
 def test_channel_info(spark, rows):
-    found = rows(payload.channel_info(documents(spark, CHANNEL, BARE, {}, {"items": []})))
-    assert found == [
-        (
-            "UC" + "x" * 22, "PC class", "@pcclass", "2010-05-06T07:08:09Z", "https://img/800",
-            "clear", "TW", 'a "b c"', "Technology, Lifestyle_(sociology)",
-        ),
-        ("bare", "t", None, "p", "u", "", None, None, None),
-    ]
+    found = rows(payload.channel_info(documents(spark, FULL, BARE, {}, {"items": []})))
+    about = ("chan-1", "Bees", "@bees", "2019-09-08T01:02:03Z", "big.png", "about bees", "PE", "wax 'queen bee'")
+    assert found == [(*about, "Honey, Hive_(box)"), ("chan-2", "-", None, "", "s.png", "", None, None, None)]
 
 
 def test_channel_counters(spark, rows):
-    counters = payload.channel_counters(documents(spark, CHANNEL, {}))
-    assert rows(counters) == [("UC" + "x" * 22, "987654321", "12345", "67")]
-    snapshot = ingest.channel_snapshot(documents(spark, CHANNEL), D(2024, 2, 20))
-    assert rows(snapshot) == [("UC" + "x" * 22, 987654321, 12345, 67, D(2024, 2, 20))]
-
-
-def video_document(video_id="abcdefghijk", **statistics):
-    return {
-        "items": [
-            {
-                "id": video_id,
-                "snippet": {
-                    "publishedAt": "2024-02-20T15:00:01Z",
-                    "title": "How to draw",
-                    "description": "two\nlines",
-                    "thumbnails": {"high": {"url": "hq.jpg"}},
-                    "tags": ["a", "b"],
-                    "categoryId": "27",
-                },
-                "contentDetails": {"duration": "PT11M6S"},
-                "statistics": statistics,
-            }
-        ]
-    }
+    counters = payload.channel_counters(documents(spark, FULL, {}))
+    assert rows(counters) == [("chan-1", "31", "4", "2")]
+    snapshot = ingest.channel_snapshot(documents(spark, FULL), D(2022, 8, 9))
+    assert rows(snapshot) == [("chan-1", 31, 4, 2, D(2022, 8, 9))]
+
+
+def video_document(video_id="new", **statistics):
+    return item(
+        id=video_id,
+        snippet__publishedAt=NOON,
+        snippet__title="Waggle dance",
+        snippet__description="line one\nline two",
+        snippet__thumbnails__high__url="v.png",
+        snippet__tags=["x", "y z"],
+        snippet__categoryId="15",
+        contentDetails__duration="PT7M42S",
+        statistics=statistics,
+    )
 
 
 def test_video_counters_may_be_hidden(spark, rows):
@@ -285,36 +285,36 @@ def test_video_counters_may_be_hidden(spark, rows):
         "video_id string, body string",
     )
     video = spark.createDataFrame([("v1", True), ("v2", True), ("v3", False)], "video_id string, active boolean")
-    found = ingest.video_snapshot(video, docs, D(2024, 2, 20))
-    assert rows(found) == [("v1", 7, None, None, D(2024, 2, 20))]
+    found = ingest.video_snapshot(video, docs, D(2023, 11, 30))
+    assert rows(found) == [("v1", 7, None, None, D(2023, 11, 30))]
 
 
 def test_new_videos(spark, rows):
     columns = "channel_id string, video_type string, page_no int, pos int, video_id string"
     listed = spark.createDataFrame(
-        [("c", "video", 0, 0, "abcdefghijk"), ("c", "video", 0, 1, "abcdefghijk"),
+        [("c", "video", 0, 0, "new"), ("c", "video", 0, 1, "new"),
          ("c", "video", 0, 2, "old"), ("c", "short", 0, 0, "old"), ("c", "clip", 0, 0, "gone")],
         columns,
     )
     stored = spark.createDataFrame([("c", "video", "old")], "channel_id string, video_type string, video_id string")
     body = json.dumps(video_document())
     docs = spark.createDataFrame(
-        [("abcdefghijk", body), ("abcdefghijk", body), ("old", json.dumps(video_document("old")))],
+        [("new", body), ("new", body), ("old", json.dumps(video_document("old")))],
         "video_id string, body string",
     )
     found = ingest.new_videos(listed, stored, docs)
     wanted = ["channel_id", "video_type", "video_id", "published_date", "published_time", "duration"]
-    taipei = dt.datetime(2024, 2, 20, 23, 0, 1)
+    taipei = dt.datetime(2023, 11, 30, 12, 45, 10)
     # The same id is new as another type; an unknown type or a missing document is no error.
     assert rows(found, *wanted) == [
-        ("c", "short", "old", D(2024, 2, 20), taipei, "00:11:06"),
-        ("c", "video", "abcdefghijk", D(2024, 2, 20), taipei, "00:11:06"),
+        ("c", "short", "old", D(2023, 11, 30), taipei, "00:07:42"),
+        ("c", "video", "new", D(2023, 11, 30), taipei, "00:07:42"),
     ]
-    assert rows(found, "tags", "categoryid")[0] == ("a, b", 27)
+    assert rows(found, "tags", "categoryid")[0] == ("x, y z", 15)
 
 
 def test_registered_channels(spark, rows):
-    docs = documents(spark, CHANNEL).withColumn("channel_id", F.lit("UC" + "x" * 22))
-    ids = spark.createDataFrame([("UC" + "x" * 22,), ("bad",), ("UC" + "x" * 22,)], "channel_id string")
-    assert rows(ingest.registered_channels(ids, docs), "name") == [("PC class",)]
-    assert rows(ingest.registered_channels(ids.where("channel_id = 'bad'"), docs)) == []
+    docs = documents(spark, FULL).withColumn("channel_id", F.lit("chan-1"))
+    listed = spark.createDataFrame([("chan-1",), ("unknown",), ("chan-1",)], "channel_id string")
+    assert rows(ingest.registered_channels(listed, docs), "name") == [("Bees",)]
+    assert rows(ingest.registered_channels(listed.where("channel_id = 'unknown'"), docs)) == []
