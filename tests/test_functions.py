@@ -257,6 +257,15 @@ def test_channel_info(spark, rows):
     assert found == [(*about, "Honey, Hive_(box)"), ("chan-2", "-", None, "", "s.png", "", None, None, None)]
 
 
+def test_rejected_documents(spark, rows):
+    """Documents without items are valid; those cut short and nulls are not."""
+    full = json.dumps(FULL)
+    bodies = [full, full[:-1], "{}", '{"items": []}', "", None, "no json"]
+    docs = spark.createDataFrame(list(enumerate(bodies)), "n int, body string")
+    assert [r.n for r in payload.rejected(docs).orderBy("n").collect()] == [1, 4, 5, 6]
+    assert payload.channel_info(docs).count() == 1
+
+
 def test_channel_counters(spark, rows):
     counters = payload.channel_counters(documents(spark, FULL, {}))
     assert rows(counters) == [("chan-1", "31", "4", "2")]

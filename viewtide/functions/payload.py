@@ -14,6 +14,15 @@ def items(docs: DataFrame, body: str, shape: str, keep: list[str] | None = None)
     return docs.select(*(keep or []), F.explode(parsed).alias("item"))
 
 
+def rejected(docs: DataFrame, body: str = "body") -> DataFrame:
+    """The documents that are no valid JSON, such as those cut short, as they are; a null is one too.
+
+    ``items`` gives no row for them, nor for documents without entries: store these rows, and count them, to tell
+    the two apart.
+    """
+    return docs.where(F.try_parse_json(F.col(body)).isNull())
+
+
 def _pick(columns: dict[str, str]) -> list[Column]:
     return [F.col(f"item.{path}").alias(name) for name, path in columns.items()]
 

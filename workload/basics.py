@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from viewtide.functions import dates, durations, ratios, text
+from viewtide.functions import dates, durations, payload, ratios, text
 from viewtide.operators import (
     aggregates,
     columns,
@@ -722,3 +722,15 @@ def dq_report(spark, folder):
         F.col("o_custkey").alias("comment_count"),
     )
     return quality.report({"video": views.video(spark, folder), "video_log": log})
+
+
+@query(
+    """WITH documents_of_events AS (
+         SELECT event_id, CASE WHEN event_id % 7 = 0 THEN left(props, length(props) - 1)
+           WHEN event_id % 11 = 0 THEN NULL ELSE props END AS body FROM events)
+       SELECT event_id, body FROM documents_of_events WHERE NOT coalesce(json_valid(body), false)"""
+)
+def json_rejected(spark, folder):
+    cut = F.expr("substring(props, 1, length(props) - 1)")
+    body = F.when(F.col("event_id") % 7 == 0, cut).when(F.col("event_id") % 11 != 0, F.col("props"))
+    return payload.rejected(table(spark, folder, "events").select("event_id", body.alias("body")))
