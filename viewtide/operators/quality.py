@@ -55,6 +55,20 @@ def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_key: st
     return used.join(known, column, "left_anti")
 
 
+def row_rules(df: DataFrame, rules: dict) -> DataFrame:
+    """(constraint, column, rows) of the rules that one row can break; one pass for all of them."""
+    wrong = [("not null", c, F.col(c).isNull()) for c in rules.get("required", [])]
+    wrong += [("length", c, F.char_length(c) != n) for c, n in rules.get("exact", {}).items()]
+    wrong += [("length", c, F.char_length(c) > n) for c, n in rules.get("longest", {}).items()]
+    wrong += [("check", c, ~F.col(c).isin(allowed)) for c, allowed in rules.get("allowed", {}).items()]
+    counts = df.agg(*[F.count_if(bad).alias(f"_{i}") for i, (_, _, bad) in enumerate(wrong)])
+    named = [
+        F.struct(F.lit(rule).alias("constraint"), F.lit(c).alias("column"), F.col(f"_{i}").alias("rows"))
+        for i, (rule, c, _) in enumerate(wrong)
+    ]
+    return counts.select(F.inline(F.array(*named)))
+
+
 def report(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows violating each declared constraint: (table, constraint, column, rows)."""
 
@@ -65,11 +79,6 @@ def report(tables: dict[str, DataFrame]) -> DataFrame:
             F.lit(column).alias("column"), "rows",
         )
 
-    def listed(table, constraint, violations):
-        return violations.select(
-            F.lit(table).alias("table"), F.lit(constraint).alias("constraint"), "column", "rows"
-        )
-
     parts = []
     for name, df in tables.items():
         rules = CONSTRAINTS[name]
@@ -77,13 +86,8 @@ def report(tables: dict[str, DataFrame]) -> DataFrame:
             parts.append(summed(name, "primary key", ", ".join(keys), primary_key(df, keys)))
         for column in rules.get("unique", []):
             parts.append(summed(name, "unique", column, unique(df, column)))
-        if required := rules.get("required"):
-            parts.append(listed(name, "not null", not_null(df, required)))
-        if "exact" in rules or "longest" in rules:
-            wrong = length(df, rules.get("exact", {}), rules.get("longest", {}))
-            parts.append(listed(name, "length", wrong))
-        for column, allowed in rules.get("allowed", {}).items():
-            parts.append(summed(name, "check", column, in_set(df, column, allowed)))
+        if any(rules.get(kind) for kind in ("required", "exact", "longest", "allowed")):
+            parts.append(row_rules(df, rules).select(F.lit(name).alias("table"), "*"))
         for column, (parent, key) in rules.get("refers", {}).items():
             if parent in tables:
                 orphans = foreign_key(df, column, tables[parent], key)
