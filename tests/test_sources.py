@@ -18,12 +18,24 @@ AWKWARD = [(1, 'a, "b"\nc'), (2, " padded "), (3, None), (4, "back\\slash"), (5,
 def test_csv_keeps_awkward_text(spark, rows, tmp_path):
     df = spark.createDataFrame(AWKWARD, "id int, t string")
     writers.write_csv(df, f"{tmp_path}/csv")
-    assert rows(readers.read_csv(spark, f"{tmp_path}/csv", "id int, t string")) == AWKWARD
-    assert rows(readers.read_csv(spark, f"{tmp_path}/csv"), "id")[0] == ("1",)
-    inferred = readers.read_csv_inferred(spark, f"{tmp_path}/csv")
+    assert rows(readers.read_csv(spark, f"{tmp_path}/csv", "id int, t string", multi_line=True)) == AWKWARD
+    assert rows(readers.read_csv(spark, f"{tmp_path}/csv", multi_line=True), "id")[0] == ("1",)
+    inferred = readers.read_csv_inferred(spark, f"{tmp_path}/csv", multi_line=True)
     assert dict(inferred.dtypes) == {"id": "int", "t": "string"}
 
 
+def test_csv_file_is_split(spark, tmp_path):
+    spark.range(20000).coalesce(1).write.csv(f"{tmp_path}/csv", header=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20KB")
+    try:
+        for read in (readers.read_csv, readers.read_csv_inferred):
+            assert read(spark, f"{tmp_path}/csv").rdd.getNumPartitions() > 2
+            assert read(spark, f"{tmp_path}/csv", multi_line=True).rdd.getNumPartitions() == 1
+            assert read(spark, f"{tmp_path}/csv").count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_csv_header_must_match(spark, tmp_path):
     spark.createDataFrame(AWKWARD, "id int, t string").coalesce(1).write.csv(f"{tmp_path}/csv", header=True)
     with pytest.raises(Exception, match="header"):
@@ -44,12 +56,12 @@ def test_export_and_partitions(spark, rows, tmp_path):
     assert readers.read_parquet(spark, f"{tmp_path}/table").count() == 3
 
 
-@pytest.mark.parametrize("csv", [False, True])
-def test_layout_by_key(spark, rows, tmp_path, csv):
+@pytest.mark.parametrize("csv, buckets", [(False, 64), (True, 64), (False, 7)])
+def test_layout_by_key(spark, rows, tmp_path, csv, buckets):
     df = spark.range(3000).selectExpr("concat('c', if(id % 3 = 0, 0, id % 500)) AS channel_id", "id AS n")
-    writers.write_by_key(df, f"{tmp_path}/t", "channel_id", csv)
+    writers.write_by_key(df, f"{tmp_path}/t", "channel_id", csv, buckets)
     folders = len(list((tmp_path / "t").glob("key_bucket=*")))
-    assert 1 < folders <= readers.BUCKETS
+    assert 1 < folders <= buckets
     shape = "channel_id string, n long"
     stored = spark.read.parquet(f"{tmp_path}/t") if not csv else readers.read_csv(spark, f"{tmp_path}/t", shape)
     assert stored.count() == 3000
@@ -89,6 +101,33 @@ def test_update_reports_its_count(spark):
     assert writers.observed_rows(counted) == 1
 
 
+@pytest.fixture
+def stored_video(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "video_id string, n int")
+    rows.write.parquet(f"{tmp_path}/first")
+    spark.catalog.createTable("stored_video", f"{tmp_path}/first", "parquet")
+    yield "stored_video"
+    spark.sql("DROP TABLE stored_video")
+
+
+def test_update_is_stored(spark, rows, tmp_path, stored_video):
+    def change(table, counted):
+        return writers.updated(table, F.col("n") > 1, {"n": F.lit(0)}, counted)
+
+    changed = [writers.update_table(spark, stored_video, str(tmp_path), change) for _ in range(2)]
+    assert changed == [1, 0]
+    assert rows(spark.table(stored_video)) == [("a", 1), ("b", 0), ("c", None)]
+
+
+def test_failed_update_leaves_the_table(spark, rows, tmp_path, stored_video):
+    def change(table, counted):
+        return writers.updated(table, F.col("n") > 1, {"n": F.raise_error(F.lit("lost")).cast("int")}, counted)
+
+    with pytest.raises(Exception, match="lost"):
+        writers.update_table(spark, stored_video, str(tmp_path), change)
+    assert rows(spark.table(stored_video)) == [("a", 1), ("b", 2), ("c", None)]
+
+
 def test_id_list(spark, rows, tmp_path):
     (tmp_path / "ids.txt").write_text("first, second,\n id 3,,first\n")
     found = readers.read_id_list(spark, f"{tmp_path}/ids.txt")

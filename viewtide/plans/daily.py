@@ -64,5 +64,24 @@ def register_channels(ids: DataFrame, documents: DataFrame, channel_path: str) -
     return writers.append(rows, channel_path, schema.CHANNEL, {"created_at": F.current_timestamp()})
 
 
+def expire(spark: SparkSession, video_table: str, folder: str, as_of: dt.date, days: int = 30) -> int:
+    """Store that videos older than ``days`` are no longer active, and return how many changed."""
+    return writers.update_table(
+        spark, video_table, folder, lambda video, counted: ingest.expire_videos(video, as_of, days, counted)
+    )
+
+
+def set_marks(spark: SparkSession, channel_table: str, folder: str) -> int:
+    """At the start of a run: all channels are due."""
+    return writers.update_table(spark, channel_table, folder, ingest.activate_channels)
+
+
+def clear_marks(spark: SparkSession, channel_table: str, folder: str, done: DataFrame) -> int:
+    """The channels of ``done`` were crawled. A run that is broken off goes on with the rest."""
+    return writers.update_table(
+        spark, channel_table, folder, lambda channel, counted: ingest.deactivate_channels(channel, done, counted)
+    )
+
+
 def _log_rows(rows: DataFrame, table: T.StructType) -> DataFrame:
     return writers.align(rows, table, {**schema.LOG_DEFAULTS, "created_at": F.current_timestamp()})

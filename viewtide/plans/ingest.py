@@ -81,8 +81,9 @@ def activate_channels(channel: DataFrame, counted=None) -> DataFrame:
     return updated(channel, F.lit(True), {"active": F.lit(True)}, counted)
 
 
-def deactivate_channels(channel: DataFrame, done: DataFrame) -> DataFrame:
+def deactivate_channels(channel: DataFrame, done: DataFrame, counted=None) -> DataFrame:
     """The channels that were crawled are no longer due."""
     marks = done.select("channel_id").distinct().withColumn("_done", F.lit(True))
     marked = channel.join(marks, "channel_id", "left")
-    return updated(marked, F.col("_done").isNotNull(), {"active": F.lit(False)}).drop("_done")
+    cleared = updated(marked, F.col("_done").isNotNull(), {"active": F.lit(False)}, counted)
+    return cleared.drop("_done")

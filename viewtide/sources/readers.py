@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 CSV = {
     "header": True,
-    "multiLine": True,  # quoted fields may hold line feeds
-    "escape": '"',  # and commas and doubled quotes
+    "escape": '"',  # quoted fields may hold commas and doubled quotes
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
 
-# Layout of tables by a key with many values: the partition column and its number of values.
+# Layout of tables by a key with many values: the partition column, and how many values it has by default.
 BUCKET = "key_bucket"
 BUCKETS = 64
 
@@ -27,33 +26,39 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header. Without a schema all columns are text.
 
     With a schema the header must match it, so columns in another order fail
-    instead of being read as each other. A file whose fields may hold line feeds
-    is read by one task; turn ``multi_line`` off to split large files without them.
+    instead of being read as each other. Large files are split among tasks. Where
+    fields may hold line feeds, ask for ``multi_line``: each file is then one task.
     """
-    reader = spark.read.options(**{**CSV, "multiLine": multi_line})
+    reader = spark.read.options(**CSV, multiLine=multi_line)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
 
-def key_bucket(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def key_bucket(key: Column, buckets: Column) -> Column:
+    """The bucket of a key among so many, as ``7of64``: the table itself says how many it has."""
+    number = F.pmod(F.xxhash64(key), buckets)
+    return F.concat_ws("of", number.cast("string"), buckets.cast("string"))
 
 
 def rows_of_key(table: DataFrame, key: str, value: str) -> DataFrame:
     """The rows of one key of a table laid out by key; other buckets are not read."""
-    chosen = table.where((F.col(BUCKET) == key_bucket(F.lit(value))) & (F.col(key) == value))
+    buckets = F.substring_index(F.col(BUCKET), "of", -1).cast("int")
+    chosen = table.where((F.col(BUCKET) == key_bucket(F.lit(value), buckets)) & (F.col(key) == value))
     return chosen.drop(BUCKET)
 
 
-def read_csv_inferred(spark: SparkSession, path: str, sample: float = 1.0) -> DataFrame:
+def read_csv_inferred(
+    spark: SparkSession, path: str, sample: float = 1.0, multi_line: bool = False
+) -> DataFrame:
     """CSV with types inferred from a share of the rows, at the cost of one more pass."""
-    return spark.read.options(**CSV, inferSchema=True, samplingRatio=sample).csv(path)
+    reader = spark.read.options(**CSV, multiLine=multi_line)
+    return reader.options(inferSchema=True, samplingRatio=sample).csv(path)
 
 
 def read_jdbc(

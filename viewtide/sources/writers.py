@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F, types as T
 
-from viewtide.sources.readers import BUCKET, CSV, key_bucket, run_sql
-
-CSV_WRITE = {name: value for name, value in CSV.items() if name != "multiLine"}
+from viewtide.sources.readers import BUCKET, BUCKETS, CSV, key_bucket, run_sql
 
 
 def _laid_out(df: DataFrame, partition_by: str | None) -> DataFrameWriter:
@@ -29,19 +30,22 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
 
 def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a CSV table, with a header in each file."""
-    _laid_out(df, partition_by).options(**CSV_WRITE).mode("overwrite").csv(path)
+    _laid_out(df, partition_by).options(**CSV).mode("overwrite").csv(path)
 
 
-def write_by_key(df: DataFrame, path: str, key: str, csv: bool = False) -> None:
+def write_by_key(
+    df: DataFrame, path: str, key: str, csv: bool = False, buckets: int = BUCKETS
+) -> None:
     """Replace a table laid out by a key that has too many values for a folder each.
 
     Rows are put into hash buckets and sorted by key, so ``rows_of_key`` reads one
-    bucket, and of parquet files only the part that holds the key.
+    bucket, and of parquet files only the part that holds the key. The number of
+    buckets should grow with the table; folder names carry it to the reader.
     """
-    bucketed = df.withColumn(BUCKET, key_bucket(F.col(key)))
+    bucketed = df.withColumn(BUCKET, key_bucket(F.col(key), F.lit(buckets)))
     ordered = bucketed.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, key)
     writer = ordered.write.partitionBy(BUCKET).mode("overwrite")
-    writer.options(**CSV_WRITE).csv(path) if csv else writer.parquet(path)
+    writer.options(**CSV).csv(path) if csv else writer.parquet(path)
 
 
 def export_csv(spark: SparkSession, query: str, path: str, **tables: DataFrame) -> None:
@@ -111,3 +115,24 @@ def updated(
     if counted is not None:
         df = df.observe(counted, F.count_if(where).alias("rows"))
     return df.withColumns({c: F.when(where, v).otherwise(F.col(c)) for c, v in values.items()})
+
+
+def update_table(
+    spark: SparkSession, name: str, folder: str, change: Callable[[DataFrame, Observation], DataFrame]
+) -> int:
+    """Store a changed form of a catalog table and return how many rows changed.
+
+    ``change`` takes the table and the observation that ``updated`` counts by. Its result
+    is written to a new version below ``folder``, and then the table is pointed to it. A
+    failure before that leaves the table as it was, and earlier versions stay for queries
+    that are reading them.
+    """
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        raise ValueError(f"{name} is partitioned: a new location would need its partitions added")
+    counted = Observation()
+    table = spark.table(name)
+    version = f"{folder}/version-{uuid.uuid4().hex}"
+    change(table, counted).select(*table.columns).write.parquet(version)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    spark.catalog.refreshTable(name)
+    return observed_rows(counted)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from viewtide import schema
 from viewtide.functions import payload
 from viewtide.plans import (
     channel_distribution as distribution,
+    daily,
     duration_trend,
     ingest,
     monthly_channel_fact as monthly,
@@ -483,7 +485,7 @@ def csv_roundtrip(spark, folder):
     path = scratch_path(spark, "csv")
     documents = table(spark, folder, "documents")
     writers.write_csv(documents, path)
-    back = readers.read_csv(spark, path, documents.schema)
+    back = readers.read_csv(spark, path, documents.schema, multi_line=True)
     return back.select("doc_id", F.md5("text").alias("digest"), "lang", "source", "n_chars")
 
 
@@ -543,6 +545,15 @@ def append_log(spark, folder):
     return stored.drop("created_at")
 
 
+def _stored(spark, name, rows):
+    """A new catalog table of the rows, and the folder for its versions."""
+    path = scratch_path(spark, name)
+    rows.write.parquet(f"{path}/first")
+    stored = f"{name}_{uuid.uuid4().hex}"
+    spark.catalog.createTable(stored, f"{path}/first", "parquet")
+    return stored, path
+
+
 @query(
     with_views(
         ["video"],
@@ -552,7 +563,9 @@ def append_log(spark, folder):
 )
 def expire_active(spark, folder):
     video = views.video(spark, folder).select("video_id", "published_date", "active")
-    return ingest.expire_videos(video, AS_OF)
+    name, versions = _stored(spark, "video", video)
+    daily.expire(spark, name, versions, AS_OF)
+    return spark.table(name)
 
 
 @query(
@@ -562,9 +575,11 @@ def expire_active(spark, folder):
 )
 def restart_marks(spark, folder):
     channel = table(spark, folder, "customer").select(F.col("c_custkey").alias("channel_id"))
-    due = ingest.activate_channels(channel.withColumn("active", F.lit(False)))
+    name, versions = _stored(spark, "channel", channel.withColumn("active", F.lit(False)))
+    daily.set_marks(spark, name, versions)
     done = table(spark, folder, "orders").select(F.col("o_custkey").alias("channel_id"))
-    return ingest.deactivate_channels(due, done)
+    daily.clear_marks(spark, name, versions, done)
+    return spark.table(name)
 
 
 @query(
