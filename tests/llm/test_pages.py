@@ -19,6 +19,17 @@ def test_without_marks():
     assert pages.main_text(html) == "\n".join(["Title", prose.strip(), "Short one.", prose.strip()])
 
 
+def test_teaser_article():
+    """A small marked teaser does not hide a body without marks."""
+    prose = "A long sentence, with commas, that goes on; and on. " * 4
+    html = f"<html><body><div><h1>Title</h1><p>{prose}</p><p>{prose}</p><p>{prose}</p></div><article><p>Read this next.</p></article></body></html>"
+    lines = pages.main_text(html).split("\n")
+    assert lines[:4] == ["Title"] + [prose.strip()] * 3
+    # Where most is marked, an unmarked line beside it is still left out.
+    html = f"<html><body><span>ok</span><article><h1>Title</h1><p>{prose}</p><ul><li>x<li>y</ul><p>{prose}</p></article><div>go</div></body></html>"
+    assert pages.main_text(html).split("\n") == ["Title", prose.strip(), "x", "y", prose.strip()]
+
+
 def test_odd_pages():
     for html in (None, "", "   ", "<p", "<!-- open", "<script>x", "<nav>only</nav>"):
         assert pages.main_text(html) == ""

@@ -220,19 +220,15 @@ def content(found: list[Block]) -> list[Block]:
     marks = {p: sum(len(MARKS.findall(b.text)) for b in bs) / len(bs) for p, bs in paths.items()}
     trust = np.array([TRUST if b.cue > 0 else 1.0 for b in rest])
     own = np.array([np.log1p(text[b.path]) * np.log1p(1 + marks[b.path]) for b in rest])
-    score = np.sqrt(own * _smooth(own)) * trust
-    # A page that marks its content is believed: nothing outside of it is content, all its paths are.
-    if (trust > 1).any():
-        chosen = trust > 1
-    else:
-        chosen = score >= THRESHOLD * np.average(score, weights=[len(b.text) for b in rest])
-        heads = np.array([b.heading for b in rest])
-        # A heading is content if what follows it up to the next heading is.
-        follows = False
-        for i in range(len(rest) - 1, -1, -1):
-            if heads[i]:
-                chosen[i] = follows
-            follows = bool(chosen[i])
+    fused = np.sqrt(own * _smooth(own))
+    # Marks weigh in the score, not in the threshold, so that a small marked part does not hide a body beside it.
+    chosen = fused * trust >= THRESHOLD * np.average(fused, weights=[len(b.text) for b in rest])
+    # A heading is content if what follows it up to the next heading is, or if it is marked and scores as content itself.
+    follows = False
+    for i in range(len(rest) - 1, -1, -1):
+        if rest[i].heading:
+            chosen[i] = follows or chosen[i] and trust[i] > 1
+        follows = bool(chosen[i])
     return [b for b, keep in zip(rest, chosen) if keep]
 
 
