@@ -30,6 +30,25 @@ def test_teaser_article():
     assert pages.main_text(html).split("\n") == ["Title", prose.strip(), "x", "y", prose.strip()]
 
 
+def test_words_against():
+    """A word in a class does not take the whole page, and headers and captions in an article stay."""
+    prose = "A long sentence, with commas, that goes on; and on. " * 4
+    body = f"<div><h1>Title</h1><p>{prose}</p><p>{prose}</p></div>"
+    whole = "\n".join(["Title", prose.strip(), prose.strip()])
+    for words in ("has-sidebar", "no-sidebar", "comments-open", "menu-closed"):
+        assert pages.main_text(f'<html class="{words}"><body class="{words}">{body}</body></html>') == whole
+        assert pages.main_text(f'<body><div class="{words}">{body}</div><div class="ad">Buy this, now.</div></body>') == whole
+        assert pages.main_text(f'<body><article class="{words}">{body}</article></body>') == whole
+    assert pages.main_text(f'<body><form id="aspnetForm"><nav><a href="/">Home</a></nav>{body}</form></body>') == whole
+    assert pages.main_text(f'<body>{body}<form class="search">Find it, now.</form></body>') == whole
+    assert pages.main_text(f'<body>{body}<div class="comments"><div><p>So good!</p></div></div><aside><div><p>{prose}</p></div></aside></body>') == whole
+    assert pages.main_text(f"<body>{body}<div hidden><section><p>{prose}</p></section></div></body>") == whole
+    html = '<body><div class="ad">An advert, longer than the page is. Buy it, now.</div><article><h1>Small.</h1><p>Small.</p></article>'
+    assert pages.main_text(f"{html}<footer>Written by somebody who lives in a town far from here.</footer></body>") == "Small.\nSmall."
+    html = f"<body><header><p>Site name.</p></header><article><header><h1>Title</h1></header><p>{prose}</p><figure><figcaption>A river, in May.</figcaption></figure></article></body>"
+    assert pages.main_text(html) == "\n".join(["Title", prose.strip(), "A river, in May."])
+
+
 def test_odd_pages():
     for html in (None, "", "   ", "<p", "<!-- open", "<script>x", "<nav>only</nav>"):
         assert pages.main_text(html) == ""

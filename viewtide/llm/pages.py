@@ -7,7 +7,8 @@ content hold much text and punctuation per block, paths of boilerplate hold litt
 
 are fused by the product of their logarithms, spread over the page in block order and smoothed, so that a path gains from
 neighbours that are content. The score is the mean of both values, weighted by what the path says of itself (``article``
-speaks for content, ``nav`` or ``class="ad"`` against). Blocks above a threshold taken from the page's own scores are content; headings go with the content they head.
+speaks for content, ``class="ad"`` against). Blocks above a threshold taken from the page's own scores are content; headings go
+with the content they head. Only hidden text and text whose nearest sectioning element speaks against it (``nav``) are left out before.
 """
 
 from __future__ import annotations
@@ -30,8 +31,12 @@ BLOCKS = frozenset(
 VOID = frozenset("area base basefont bgsound br col embed frame hr img input link meta param source track wbr".split())
 # Their contents are not markup.
 RAW = frozenset("script style title textarea xmp iframe noembed noframes noscript template svg math object".split())
-BOILERPLATE = frozenset("nav header footer aside form button select option menu dialog fieldset label input search figcaption".split())
+BOILERPLATE = frozenset("nav header footer aside form button select option menu dialog fieldset label input search".split())
 CONTENT = frozenset("article main".split())
+# The nearest of these around a block can rule it out.
+SECTIONS = BOILERPLATE | CONTENT | {"section"}
+# The whole page, whatever their classes say.
+PAGE = frozenset("html body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # Opening one of the first closes an open one of the second, up to the nearest of the third.
 CLOSES = {
@@ -57,8 +62,12 @@ TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>")
 LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|itemprop|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
-# Weight of a path that speaks for content.
+# Weight of a path that speaks for content; one that speaks against it has the inverse.
 TRUST = 8.0
+# Share of the page's text from which an element is no boilerplate for its class, or for being a form.
+MOST = 0.5
+# What an element says that is not shown.
+HIDDEN = -2
 # Share of the page's mean score that content reaches.
 THRESHOLD = 0.5
 # Share of a block's characters in links from which it is no content.
@@ -111,38 +120,75 @@ def _tokens(html: str) -> Iterator[tuple[str, str, str]]:
 
 
 def _cue(name: str, attributes: str) -> int:
-    """What an element says of its text: 1 for content, -1 against, 0 nothing."""
-    if name in BOILERPLATE:
-        return -1
-    cue = 1 if name in CONTENT else 0
+    """What an element says of its text: 1 for content, -1 against, HIDDEN, 0 nothing."""
+    cue = -1 if name in BOILERPLATE else 1 if name in CONTENT else 0
     if not attributes:
         return cue
     for key, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         key = key.lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return -1
+            return HIDDEN
+        if name in BOILERPLATE or cue < 0:
+            continue
         words = set(value.split())
         if key == "role" and "main" in words or words & FOR:
             cue = 1
         elif key in ("class", "id", "role") and any(AGAINST & {w, *re.split(r"[-_]+", w)} for w in words):
-            return -1
+            cue = -1
     return cue
 
 
+class Part:
+    """An element that says something of its text, or a sectioning one."""
+
+    __slots__ = ("name", "cue", "around", "size", "section", "weight", "out")
+
+    def __init__(self, name: str, cue: int, around: Part | None):
+        self.name, self.cue, self.around, self.size = name, cue, around, 0
+        # The nearest sectioning element, this one or around it.
+        self.section = name if name in SECTIONS else around.section if around else ""
+        if name == "header" and cue == -1 and around and around.section in ("article", "main", "section"):
+            self.cue = 0  # it heads that part, not the page
+            self.section = around.section
+
+    def weigh(self, total: int) -> None:
+        """Set ``weight``, and ``out`` if the text is ruled out. ``total`` is the size of the page's text."""
+        cue = self.cue
+        if cue == -1 and (self.name == "form" or self.name not in BOILERPLATE) and self.size > MOST * total:
+            cue = 1 if self.name in CONTENT else 0
+        weight = self.around.weight if self.around else 1.0
+        # Against holds also inside of content; content inside of boilerplate has no weight.
+        self.weight = 1 / TRUST if cue < 0 else min(TRUST * weight, TRUST) if cue > 0 else weight
+        out = self.around.out if self.around else 0
+        if out != HIDDEN and self.name in SECTIONS and not (self.name == "header" and cue == 0):
+            out = min(cue, 0)
+        self.out = HIDDEN if cue == HIDDEN else out
+
+
 class Block:
     """Text between two block boundaries."""
 
-    __slots__ = ("path", "cue", "heading", "text", "linked")
+    __slots__ = ("path", "part", "heading", "text", "linked")
+
+    def __init__(self, path: str, part: Part | None, heading: bool, text: str, linked: int):
+        self.path, self.part, self.heading, self.text, self.linked = path, part, heading, text, linked
+
+    @property
+    def weight(self) -> float:
+        return self.part.weight if self.part else 1.0
 
-    def __init__(self, path: str, cue: int, heading: bool, text: str, linked: int):
-        self.path, self.cue, self.heading, self.text, self.linked = path, cue, heading, text, linked
+    @property
+    def out(self) -> bool:
+        return self.part is not None and self.part.out < 0
 
 
 def blocks(html: str) -> list[Block]:
     """The blocks of a page with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int]] = []
+    # Open elements, each with the nearest part.
+    stack: list[tuple[str, Part | None]] = []
+    made: list[Part] = []
     parts: list[str] = []
     linked = 0
 
@@ -151,9 +197,10 @@ def blocks(html: str) -> list[Block]:
         text = " ".join("".join(parts).split())
         if text:
             names = [n for n, _ in stack if n in BLOCKS]
-            cues = [c for _, c in stack]
-            cue = -1 if -1 in cues else max(cues, default=0)
-            out.append(Block("/".join(names), cue, bool(names) and names[-1] in HEADINGS, text, linked))
+            part = stack[-1][1] if stack else None
+            if part:
+                part.size += len(text)
+            out.append(Block("/".join(names), part, bool(names) and names[-1] in HEADINGS, text, linked))
         parts.clear()
         linked = 0
 
@@ -187,7 +234,12 @@ def blocks(html: str) -> list[Block]:
                 parts.append(" ")
             if name not in VOID:
                 if not (attributes.rstrip().endswith("/") and name in RAW):
-                    stack.append((name, _cue(name, attributes)))
+                    part = stack[-1][1] if stack else None
+                    cue = 0 if name in PAGE else _cue(name, attributes)
+                    if cue or name in SECTIONS:
+                        part = Part(name, cue, part)
+                        made.append(part)
+                    stack.append((name, part))
         else:
             if name in BLOCKS:
                 end()
@@ -196,6 +248,12 @@ def blocks(html: str) -> list[Block]:
                     del stack[depth:]
                     break
     end()
+    for part in reversed(made):
+        if part.around:
+            part.around.size += part.size
+    total = sum(len(b.text) for b in out)
+    for part in made:
+        part.weigh(total)
     return out
 
 
@@ -207,27 +265,29 @@ def _smooth(values: np.ndarray) -> np.ndarray:
 
 def content(found: list[Block]) -> list[Block]:
     """The blocks of the main text."""
-    # What says of itself that it is no content has no part in the ratios either.
-    rest = [b for b in found if b.cue >= 0]
+    # What is ruled out has no part in the ratios either.
+    rest = [b for b in found if not b.out]
     sized = [(len(b.text), b.linked) for b in rest]
     rest = [b for b, (size, linked) in zip(rest, sized) if linked < LINKED * size or b.heading]
     if not rest:
         return []
-    paths: dict[str, list[Block]] = defaultdict(list)
+    paths: dict[tuple[str, float], list[Block]] = defaultdict(list)
     for block in rest:
-        paths[block.path].append(block)
+        paths[block.path, block.weight].append(block)
     text = {p: sum(max(len(b.text) - b.linked, 0) for b in bs) / len(bs) for p, bs in paths.items()}
     marks = {p: sum(len(MARKS.findall(b.text)) for b in bs) / len(bs) for p, bs in paths.items()}
-    trust = np.array([TRUST if b.cue > 0 else 1.0 for b in rest])
-    own = np.array([np.log1p(text[b.path]) * np.log1p(1 + marks[b.path]) for b in rest])
+    weight = np.array([b.weight for b in rest])
+    own = np.array([np.log1p(text[b.path, b.weight]) * np.log1p(1 + marks[b.path, b.weight]) for b in rest])
     fused = np.sqrt(own * _smooth(own))
-    # Marks weigh in the score, not in the threshold, so that a small marked part does not hide a body beside it.
-    chosen = fused * trust >= THRESHOLD * np.average(fused, weights=[len(b.text) for b in rest])
+    # Marks for content weigh in the score, not in the threshold, so that a small marked part does not hide a body beside it.
+    # What speaks against itself has as much less say in the mean.
+    against = np.minimum(weight, 1)
+    chosen = fused * weight >= THRESHOLD * np.average(fused * against, weights=against * [len(b.text) for b in rest])
     # A heading is content if what follows it up to the next heading is, or if it is marked and scores as content itself.
     follows = False
     for i in range(len(rest) - 1, -1, -1):
         if rest[i].heading:
-            chosen[i] = follows or chosen[i] and trust[i] > 1
+            chosen[i] = follows or chosen[i] and weight[i] > 1
         follows = bool(chosen[i])
     return [b for b, keep in zip(rest, chosen) if keep]
 
