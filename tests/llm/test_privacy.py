@@ -68,6 +68,28 @@ def test_telling_terms(documents):
     assert masked[10].text == rows[6][1]
 
 
+def test_support(documents):
+    """What a term reveals is discounted by the documents that show it, copies aside, and not gated by contexts."""
+    topics = ["north wind", "late train", "green door", "small river", "old bridge", "dry summer"]
+    sign = "best regards from the office of Quillon q@host.org where letters are read on each and every day of the week"
+    rows = [(i, f"about the {t} there is nothing left to tell to anybody who has not been there, {sign}", None, None) for i, t in enumerate(topics)]
+    rows += [(10 + i, f"the {t} and Zanthe z@host.org", None, None) for i, t in enumerate(topics[:2])]
+    rows += [(20 + i, "a parcel of Yorick y@host.org", None, None) for i in range(8)]
+    rows += [(100 + i, f"the {a} and the {b} and best regards {i}", None, None) for i, (a, b) in enumerate((a, b) for a in topics for b in topics)]
+    found = {r.doc_id: r.spans.split(",") for r in privacy.personal_data(documents(rows)).collect()}
+    by_id = {r[0]: r[1] for r in rows}
+    for i in range(6):  # all have the same signature
+        at = by_id[i].index("Quillon")
+        assert f"removed:{at}:{at + 7}" in found[i]
+    for i in (10, 11):  # two documents are enough to generalise
+        at = by_id[i].index("Zanthe")
+        assert f"term:{at}:{at + 6}" in found[i] and len(found[i]) == 2
+    assert all(len(found[i]) == 1 for i in range(20, 28))  # copies show nothing
+    # A value of all documents has no information.
+    everywhere = [(i, f"{t} and Quillon q@host.org", None, None) for i, t in enumerate(topics)]
+    assert all(r.spans.count(":") == 2 for r in privacy.personal_data(documents(everywhere)).collect())
+
+
 def test_masks(documents):
     texts = ["mail a@b.co, ip 1.2.3.4; card 4111111111111111 tel +49 30 1234567.", None, "", "clean é😀", "😀 a@b.co b@c.de"]
     df = documents([(i, t, None, None) for i, t in enumerate(texts)])

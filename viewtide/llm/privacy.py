@@ -3,8 +3,10 @@
 Four kinds of personal data are found by pattern and checked: email, ip, card, phone. Redacting them is not
 enough where words beside them identify them as well. Information theory says how much a term t reveals of a
 protected value e: their pointwise mutual information log2(p(t,e) / p(t)p(e)), as a share of e's information
--log2 p(e). All probabilities are shares of the documents. A term that is found near a value in several different
-contexts and reveals most of its information is removed, one that reveals much of it is generalised.
+-log2 p(e). All probabilities are shares of the documents, of which equal ones count once. Since any word of a single
+document seems to reveal a value found there only, the share is discounted by support: the first document with both is
+the one that suggests the link, and of k documents the other k - 1 bear it out, so the share is multiplied by
+(k - 1) / (k - 1 + SUPPORT). A term that then reveals most of the information is removed, one that reveals much of it is generalised.
 
 Everything is built from column expressions.
 """
@@ -34,11 +36,12 @@ NEEDED = {"email": "@", "phone": "+"}
 WORD = r"\p{L}[\p{L}\p{M}'-]*+"
 # Characters on either side of a value that make its context.
 CONTEXT = 64
-# Different contexts, of as many documents, in which a term must be found with a value.
-CONTEXTS = 3
+# Documents, besides the first, whose evidence is halved.
+SUPPORT = 0.5
 REMOVE, GENERALISE = 0.9, 0.6
 
 SPAN = "struct<start:bigint,end:bigint,value:string>"
+TERM = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 # Matches whose positions are added up together.
 CHUNK = 64
 
@@ -103,6 +106,11 @@ def printed(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
 
 
+def _digest(text: str = "text") -> Column:
+    """A number that equal texts share."""
+    return F.xxhash64(F.col(text))
+
+
 def _mentions(text: str = "text") -> Column:
     """For each span its protected value and the text on both sides of it, whole words only."""
     # Letters in an address mean the same in either case; other values are their digits and dots.
@@ -126,38 +134,38 @@ def _terms(side: str, at: str) -> Column:
     return F.expr(f"transform(_placed_{side}, m -> named_struct('term', lower(m.value), 'start', m.start + {at}, 'end', m.end + {at}))")
 
 
-def disclosing(rows: DataFrame, texts: DataFrame, contexts: int = CONTEXTS, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
+def disclosing(rows: DataFrame, texts: DataFrame, support: float = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """Per ``number`` the ``terms`` beside its protected values that reveal them: array of (start, rank, end, kind, value).
 
-    ``rows`` (number, mentions) has the documents with protected values and should be settled, ``texts`` (text) all documents.
+    ``rows`` (number, digest, mentions) has the documents with protected values and should be settled, ``texts`` (text) all
+    documents. Equal texts count once; their digests tell.
     """
-    documents = texts.count()
-    values = rows.select(F.explode(F.expr("array_distinct(transform(mentions, m -> m.value))")).alias("value"))
+    texts = texts.select(text_or_empty().alias("text")).withColumn("digest", _digest())
+    values = rows.select("digest", F.explode(F.expr("transform(mentions, m -> m.value)")).alias("value")).distinct()
     values = values.groupBy("value").agg(F.count("*").alias("with_value"))
 
-    mention = rows.select("number", F.explode("mentions").alias("m")).select("number", "m.*")
+    mention = rows.select("number", "digest", F.explode("mentions").alias("m")).select("number", "digest", "m.*")
     mention = mention.withColumns({f"_{s}": _steps(F.col(s), WORD) for s in ("left", "right")})
     mention = mention.withColumns({f"_placed_{s}": _placed(f"_{s}") for s in ("left", "right")})
-    beside = mention.select(
-        "number",
-        "value",
-        F.xxhash64("left", "right").alias("context"),
-        F.explode(F.concat(_terms("left", "left_at"), _terms("right", "right_at"))).alias("t"),
-    ).select("number", "value", "context", "t.*")
+    terms = F.concat(_terms("left", "left_at"), _terms("right", "right_at"))
+    beside = mention.select("number", "digest", "value", F.explode(terms).alias("t")).select("number", "digest", "value", "t.*")
     beside = settled(beside.where(F.length("term") > 1))
 
-    # One context of each document counts, and equal ones, as copies have them, count once.
-    pairs = beside.groupBy("value", "term", "number").agg(F.min("context").alias("context"))
-    pairs = pairs.groupBy("value", "term", "context").agg(F.count("*").alias("rows"))
-    pairs = pairs.groupBy("value", "term").agg(F.sum("rows").alias("with_both"), F.count("*").alias("contexts"))
-    pairs = settled(pairs.where(F.col("contexts") >= contexts))
+    pairs = beside.select("value", "term", "digest").distinct().groupBy("value", "term").agg(F.count("*").alias("with_both"))
+    # The discount leaves nothing of a single document.
+    pairs = settled(pairs.where(F.col("with_both") > 1))
+    if pairs.isEmpty():
+        return rows.sparkSession.createDataFrame([], f"number bigint, terms array<{TERM}>")
 
     # In how many documents of the whole corpus each of these terms is found.
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty()), F.lit(WORD), F.lit(0)))).alias("term"))
+    documents = texts.select("digest").distinct().count()
+    words = texts.dropDuplicates(["digest"]).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
     terms = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
 
     reveals = F.log2(F.lit(documents) * F.col("with_both") / (F.col("with_term") * F.col("with_value")))
-    share = reveals / F.log2(F.lit(documents) / F.col("with_value"))
+    # A value of all documents has no information.
+    share = F.try_divide(reveals, F.log2(F.lit(documents) / F.col("with_value")))
+    share = share * (F.col("with_both") - 1) / (F.col("with_both") - 1 + F.lit(support))
     telling = pairs.join(terms, "term").join(values, "value").withColumn("share", share).where(F.col("share") >= generalise)
     kind = F.when(F.col("share") >= remove, "removed").otherwise("term")
     spans = beside.join(telling.select("value", "term", kind.alias("kind")), ["value", "term"])
@@ -170,10 +178,10 @@ def _sanitised(df: DataFrame, row: Column, keep: Callable[[DataFrame], DataFrame
     number = F.monotonically_increasing_id()
     texts = df.select(row.alias("row"), number.alias("number"), text_or_empty().alias("text"))
     stepped = found(texts)
-    rows = keep(stepped.withColumn("mentions", _mentions()).select("row", "number", "spans", "mentions"))
-    mentions = settled(rows.select("number", "mentions").where(F.size("mentions") > 0))
+    rows = keep(stepped.withColumn("mentions", _mentions()).select("row", "number", _digest().alias("digest"), "spans", "mentions"))
+    mentions = settled(rows.select("number", "digest", "mentions").where(F.size("mentions") > 0))
     terms = settled(disclosing(mentions, df.select("text")))
-    joined = rows.drop("mentions").join(terms, "number", "left")
+    joined = rows.drop("mentions", "digest").join(terms, "number", "left")
     both = F.concat("spans", F.coalesce("terms", F.expr("slice(spans, 1, 0)")))
     return joined.select("row", "spans", F.array_sort(both).alias("all_spans"))
 
