@@ -90,6 +90,18 @@ def test_support(documents):
     assert all(r.spans.count(":") == 2 for r in privacy.personal_data(documents(everywhere)).collect())
 
 
+def test_far_terms(documents):
+    """A name far from the value is found, and goes at each of its places."""
+    topics = ["north wind", "late train", "green door", "small river", "old bridge", "dry summer"]
+    far = "which is a long way off from where the next of all these words will be found by whoever goes on to read the whole of it"
+    rows = [(i, f"Quillon, of the {t}, {far} q@host.org {far}, QUILLON and quillon@else.org", None, None) for i, t in enumerate(topics)]
+    rows += [(10 + i, f"the {t} and the {u}, {far} and other words", None, None) for i, (t, u) in enumerate((t, u) for t in topics for u in topics)]
+    found = {r.doc_id: r.text for r in privacy.masked(documents(rows)).collect()}
+    for i, t in enumerate(topics):
+        assert found[i].startswith(f", of the {t}, {far} [EMAIL] {far},  and [EMAIL]")
+    assert all(found[r[0]] == r[1] for r in rows[6:])
+
+
 def test_masks(documents):
     texts = ["mail a@b.co, ip 1.2.3.4; card 4111111111111111 tel +49 30 1234567.", None, "", "clean é😀", "😀 a@b.co b@c.de"]
     df = documents([(i, t, None, None) for i, t in enumerate(texts)])

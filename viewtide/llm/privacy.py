@@ -1,7 +1,7 @@
 """Personal data, and terms that give it away.
 
 Four kinds of personal data are found by pattern and checked: email, ip, card, phone. Redacting them is not
-enough where words beside them identify them as well. Information theory says how much a term t reveals of a
+enough where words in the same document identify them as well. Information theory says how much a term t reveals of a
 protected value e: their pointwise mutual information log2(p(t,e) / p(t)p(e)), as a share of e's information
 -log2 p(e). All probabilities are shares of the documents, of which equal ones count once. Since any word of a single
 document seems to reveal a value found there only, the share is discounted by support: the first document with both is
@@ -34,8 +34,6 @@ PATTERNS = {
 NEEDED = {"email": "@", "phone": "+"}
 
 WORD = r"\p{L}[\p{L}\p{M}'-]*+"
-# Characters on either side of a value that make its context.
-CONTEXT = 64
 # Documents, besides the first, whose evidence is halved.
 SUPPORT = 0.5
 REMOVE, GENERALISE = 0.9, 0.6
@@ -111,77 +109,98 @@ def _digest(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
-def _mentions(text: str = "text") -> Column:
-    """For each span its protected value and the text on both sides of it, whole words only."""
+def _values() -> Column:
+    """The different protected values of a document."""
     # Letters in an address mean the same in either case; other values are their digits and dots.
     value = "CASE s.kind WHEN 'email' THEN lower(s.value) WHEN 'ip' THEN s.value ELSE regexp_replace(s.value, '[^0-9]', '') END"
-    cut = f"cast(greatest(s.start - {CONTEXT}, 0) AS int)"
-    part = r"[\\p{L}\\p{M}\\x27-]"
-    left = f"substring({text}, {cut} + 1, cast(s.start AS int) - {cut})"
-    right = f"substring({text}, cast(s.end AS int) + 1, {CONTEXT})"
-    # Where the cut is inside a word, the rest of the word is blanked.
-    whole_left = f"if({cut} > 0, regexp_replace({left}, '^{part}+', ' '), {left})"
-    pad = f"if({cut} > 0, length(regexp_extract({left}, '^{part}+', 0)) - 1, -1)"
-    whole_right = f"if(length({right}) = {CONTEXT}, regexp_replace({right}, '{part}+$', ''), {right})"
+    return F.expr(f"array_distinct(transform(spans, s -> concat(s.kind, ':', {value})))")
+
+
+def _cleared() -> Column:
+    """``text`` with a blank for each character of ``spans``, so that places stay."""
+    pieces = (
+        "aggregate(spans, named_struct('at', 0L, 'cuts', cast(array() AS array<struct<start:bigint,length:bigint,blank:bigint>>)),"
+        " (a, s) -> named_struct('at', greatest(a.at, s.end), 'cuts', concat(a.cuts, array(named_struct('start', a.at,"
+        " 'length', greatest(s.start - a.at, 0L), 'blank', greatest(s.end - greatest(s.start, a.at), 0L))))))"
+    )
     return F.expr(
-        f"transform(spans, s -> named_struct('value', concat(s.kind, ':', {value}), 'left', {whole_left}, "
-        f"'left_at', {cut} + greatest({pad}, 0), 'right', {whole_right}, 'right_at', cast(s.end AS int)))"
+        f"element_at(transform(array({pieces}), p -> concat(array_join(transform(p.cuts, c -> concat("
+        "substring(text, cast(c.start AS int) + 1, cast(c.length AS int)), repeat(' ', cast(c.blank AS int)))), ''),"
+        " substring(text, cast(p.at AS int) + 1))), 1)"
     )
 
 
-def _terms(side: str, at: str) -> Column:
-    """The words of one side of a mention with their places in the text."""
-    return F.expr(f"transform(_placed_{side}, m -> named_struct('term', lower(m.value), 'start', m.start + {at}, 'end', m.end + {at}))")
+def _words(text: str) -> Column:
+    """The different words of a text in lower case, those of one letter aside."""
+    words = F.transform(F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.lower)
+    return F.filter(F.array_distinct(words), lambda w: F.length(w) > 1)
 
 
 def disclosing(rows: DataFrame, texts: DataFrame, support: float = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
-    """Per ``number`` the ``terms`` beside its protected values that reveal them: array of (start, rank, end, kind, value).
+    """Per ``number`` the ``terms`` that reveal its protected values, at each place: array of (start, rank, end, kind, value).
 
-    ``rows`` (number, digest, mentions) has the documents with protected values and should be settled, ``texts`` (text) all
-    documents. Equal texts count once; their digests tell.
+    ``rows`` (number, digest, text, spans, values) has the documents with protected values and should be settled, ``texts``
+    (text) all documents. Equal texts count once; their digests tell.
     """
+    spark = rows.sparkSession
+    none = spark.createDataFrame([], f"number bigint, terms array<{TERM}>")
     texts = texts.select(text_or_empty().alias("text")).withColumn("digest", _digest())
-    values = rows.select("digest", F.explode(F.expr("transform(mentions, m -> m.value)")).alias("value")).distinct()
-    values = values.groupBy("value").agg(F.count("*").alias("with_value"))
-
-    mention = rows.select("number", "digest", F.explode("mentions").alias("m")).select("number", "digest", "m.*")
-    mention = mention.withColumns({f"_{s}": _steps(F.col(s), WORD) for s in ("left", "right")})
-    mention = mention.withColumns({f"_placed_{s}": _placed(f"_{s}") for s in ("left", "right")})
-    terms = F.concat(_terms("left", "left_at"), _terms("right", "right_at"))
-    beside = mention.select("number", "digest", "value", F.explode(terms).alias("t")).select("number", "digest", "value", "t.*")
-    beside = settled(beside.where(F.length("term") > 1))
-
-    pairs = beside.select("value", "term", "digest").distinct().groupBy("value", "term").agg(F.count("*").alias("with_both"))
-    # The discount leaves nothing of a single document.
-    pairs = settled(pairs.where(F.col("with_both") > 1))
+
+    # The discount leaves nothing of a single document, so that values and pairs of one need not be looked at.
+    holds = rows.select("number", "digest", F.explode("values").alias("value"))
+    values = settled(holds.select("digest", "value").distinct().groupBy("value").agg(F.count("*").alias("with_value")).where("with_value > 1"))
+    if values.isEmpty():
+        return none
+    shared = holds.join(values.select("value"), "value", "left_semi").groupBy("number").agg(F.collect_list("value").alias("shared"))
+    documents = rows.select("number", "digest", _cleared().alias("clear")).join(shared, "number")
+    documents = settled(documents.withColumn("words", _words("clear")))
+
+    def paired(df: DataFrame) -> DataFrame:
+        return df.withColumn("value", F.explode("shared")).withColumn("term", F.explode("words")).drop("shared", "words")
+
+    pairs = paired(documents.select("digest", "shared", "words").dropDuplicates(["digest"]))
+    pairs = settled(pairs.groupBy("value", "term").agg(F.count("*").alias("with_both")).where("with_both > 1"))
     if pairs.isEmpty():
-        return rows.sparkSession.createDataFrame([], f"number bigint, terms array<{TERM}>")
+        return none
 
     # In how many documents of the whole corpus each of these terms is found.
-    documents = texts.select("digest").distinct().count()
-    words = texts.dropDuplicates(["digest"]).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))).alias("term"))
-    terms = words.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
+    number = texts.select("digest").distinct().count()
+    words = texts.dropDuplicates(["digest"]).select(F.explode(_words("text")).alias("term"))
+    # No semi join with the pairs: Spark would move it below the count and shuffle each word of each text.
+    terms = words.groupBy("term").agg(F.count("*").alias("with_term"))
 
-    reveals = F.log2(F.lit(documents) * F.col("with_both") / (F.col("with_term") * F.col("with_value")))
+    reveals = F.log2(F.lit(number) * F.col("with_both") / (F.col("with_term") * F.col("with_value")))
     # A value of all documents has no information.
-    share = F.try_divide(reveals, F.log2(F.lit(documents) / F.col("with_value")))
+    share = F.try_divide(reveals, F.log2(F.lit(number) / F.col("with_value")))
     share = share * (F.col("with_both") - 1) / (F.col("with_both") - 1 + F.lit(support))
     telling = pairs.join(terms, "term").join(values, "value").withColumn("share", share).where(F.col("share") >= generalise)
     kind = F.when(F.col("share") >= remove, "removed").otherwise("term")
-    spans = beside.join(telling.select("value", "term", kind.alias("kind")), ["value", "term"])
-    span = F.struct("start", F.lit(len(PATTERNS)).alias("rank"), "end", "kind", F.col("term").alias("value"))
-    return spans.groupBy("number").agg(F.array_sort(F.collect_set(span)).alias("terms"))
+    telling = telling.select("value", "term", kind.alias("kind"))
+    # The stronger kind holds where a term reveals several values of a document.
+    told = paired(documents.select("number", "shared", "words")).join(telling, ["value", "term"]).groupBy("number", "term").agg(F.min("kind").alias("kind"))
+    told = told.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("told"))
+    placed = documents.select("number", "clear").join(told, "number").withColumn("_all", _steps(F.col("clear"), WORD)).withColumn("_all", _placed("_all"))
+    terms = (
+        "transform(filter(transform(_all, m -> named_struct('m', m, 'term', lower(m.value))), w -> map_contains_key(told, w.term)), w -> "
+        f"named_struct('start', w.m.start, 'rank', {len(PATTERNS)}, 'end', w.m.end, 'kind', told[w.term], 'value', w.term))"
+    )
+    return placed.select("number", F.expr(terms).alias("terms"))
 
 
-def _sanitised(df: DataFrame, row: Column, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``row`` of each document, with base spans and all spans. ``keep`` stores what is read several times."""
+def _sanitised(df: DataFrame, row: Column, keep: Callable[[DataFrame], DataFrame], whole: bool = False) -> DataFrame:
+    """``row`` of each document, with base spans and all spans. ``keep`` stores what is read several times.
+
+    ``whole`` says that ``row`` has the text. Otherwise the texts with spans are kept beside it.
+    """
     number = F.monotonically_increasing_id()
     texts = df.select(row.alias("row"), number.alias("number"), text_or_empty().alias("text"))
-    stepped = found(texts)
-    rows = keep(stepped.withColumn("mentions", _mentions()).select("row", "number", _digest().alias("digest"), "spans", "mentions"))
-    mentions = settled(rows.select("number", "digest", "mentions").where(F.size("mentions") > 0))
-    terms = settled(disclosing(mentions, df.select("text")))
-    joined = rows.drop("mentions", "digest").join(terms, "number", "left")
+    stepped = found(texts).withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
+    rows = keep(stepped.select("row", "number", "spans", *([] if whole else ["text"])))
+    marked = rows.where(F.size("spans") > 0)
+    marked = marked.select("number", "spans", text_or_empty("row.text" if whole else "text").alias("text"))
+    marked = settled(marked.withColumns({"digest": _digest(), "values": _values()}))
+    terms = settled(disclosing(marked, df.select("text")))
+    joined = rows.join(terms, "number", "left")
     both = F.concat("spans", F.coalesce("terms", F.expr("slice(spans, 1, 0)")))
     return joined.select("row", "spans", F.array_sort(both).alias("all_spans"))
 
@@ -208,7 +227,7 @@ def masked(df: DataFrame) -> DataFrame:
     Values become the name of their kind, telling terms ``[TERM]`` or nothing. Of overlapping spans the first is replaced by
     its name and the rest of the other removed. Texts without spans, null ones too, stay as they are.
     """
-    rows = _sanitised(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]), held)
+    rows = _sanitised(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]), held, whole=True)
     # Spans that begin after all earlier ones have ended give a piece of text and a name; others only move the end.
     rows = rows.withColumn("text", F.col("row.text")).withColumn(
         "pieces",
