@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,5 +78,33 @@ def settled(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "settled")
+    for paths in SCOPES:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# The paths settled within each open ``scratch_scope``.
+SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables settled inside when the block ends.
+
+    For jobs that store their result inside the block; frames that still read a settled table fail afterwards.
+    """
+    paths: list[str] = []
+    SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        SCOPES.remove(paths)
+        for path in paths:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in; one that is not there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
