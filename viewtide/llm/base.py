@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from viewtide.session import shared_folder, tune
+from viewtide.session import settled, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,11 +62,23 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def held(df: DataFrame) -> DataFrame:
-    """Whole rows, texts too, kept in the shared folder while a plan refers to them.
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` if it is a Parquet table as read, else its rows written to the shared folder."""
+    if df._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            df.select(df.metadataColumn("_metadata")["row_index"])
+            return df
+        except AnalysisException:
+            pass
+    return settled(df)
 
-    Spark deletes the checkpoint when nothing refers to it any more and spark.cleaner.referenceTracking.cleanCheckpoints is
-    set. A written table would be smaller but stay, and stages that follow each other would each leave a copy of all texts.
+
+def keyed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The rows of a ``stored`` table as ``row``, their ``key``, and ``columns``.
+
+    A key is the file and the place in it, so a row has the same one whenever and wherever the table is read. Decisions
+    about rows can thus be worked out on a few columns and be met with the whole rows later, which need not be copied.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    place = df.metadataColumn("_metadata")
+    key = F.struct(place["file_path"].alias("file"), place["row_index"].alias("at"))
+    return boxed(df, key=key, **columns)

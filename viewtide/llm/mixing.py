@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import WORD, boxed, held, text_or_empty, unboxed
+from viewtide.llm.base import WORD, keyed, stored, text_or_empty, unboxed
 from viewtide.operators.joins import join_null_safe
 from viewtide.operators.positions import number_rows, running_total
 from viewtide.session import settled
@@ -51,21 +51,25 @@ def shares(sizes: DataFrame, epochs: int = EPOCHS, weights: tuple[int, ...] = WE
     return found.withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
 
 
+def drawn(doc_id: Column, seed: int = SEED) -> Column:
+    """The place of a row in the order drawn by ``seed``, as text that sorts."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), doc_id.cast("string")).cast("binary"))
+
+
 def repetitions(sized: DataFrame, seed: int = SEED, epochs: int = EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """``sized`` (doc_id, source, size, others) with source_size, target and the number of times each row is taken.
+    """``sized`` (doc_id, source, size, key) with source_size, target, ``whole`` and whether the row ``fits`` once more.
 
     All rows are taken ``whole`` times. Of the remaining words of a source's target, those rows are taken once more
     that come first in an order drawn by ``seed``, up to the row at least half of which fits. A source's words thus miss
     its target by at most half a row. ``sized`` should be settled.
     """
     found = settled(shares(sized.select("source", "size"), epochs, weights))
-    drawn = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
-    rows = sized.withColumn("draw", drawn)
-    order = [F.asc("draw"), F.asc("doc_id"), F.asc("size"), F.asc("number")]
+    rows = sized.withColumn("draw", drawn(F.col("doc_id"), seed))
+    order = [F.asc("draw"), F.asc("doc_id"), F.asc("size"), F.asc("key")]
     rows = running_total(rows, ["source"], order, F.col("size"), "before")
     rows = join_null_safe(rows, found, ["source"])
     fits = (F.col("extra") > 0) & (F.col("before") + F.col("size") / 2 <= F.col("extra"))
-    return rows.withColumn("times", F.col("whole") + fits.cast("long")).drop("draw", "before", "whole", "extra")
+    return rows.withColumn("fits", fits).drop("before", "extra")
 
 
 def mix(df: DataFrame, seed: int = SEED) -> DataFrame:
@@ -74,19 +78,32 @@ def mix(df: DataFrame, seed: int = SEED) -> DataFrame:
     Null and blank texts have size 0 and take nothing. A null source is a source of its own. Repeated rows are drawn
     one by one. An empty table gives an empty result.
     """
-    number = F.monotonically_increasing_id().alias("number")
+    number = F.monotonically_increasing_id().alias("key")
     sized = settled(df.select("doc_id", "source", words(text_or_empty()).alias("size"), number))
     rows = repetitions(sized, seed)
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+    times = F.col("whole") + F.col("fits").cast("long")
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
 
 
 def mixed(df: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows of ``df`` as often as the mix takes them, columns as they were."""
-    number = F.monotonically_increasing_id()
-    rows = held(boxed(df, doc_id=F.col("doc_id"), source=F.col("source"), size=words(text_or_empty()), number=number))
-    times = repetitions(settled(rows.drop("row")), seed).select("number", "times").where("times > 0")
-    taken = rows.select("row", "number").join(times, "number")
-    return unboxed(taken.withColumn("_", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))))
+    """The rows of ``df`` as often as the mix takes them, columns as they were.
+
+    The rows that fit once more are the first of their source in the order drawn. So the last of them says it all, and the
+    whole rows are met with one row for each source.
+    """
+    df = stored(df)
+    sized = keyed(df, doc_id=F.col("doc_id"), source=F.col("source"), size=words(text_or_empty()))
+    placed = repetitions(settled(sized.drop("row")), seed)
+    last = F.max(F.when(F.col("fits"), F.struct("draw", "doc_id", "size", "key"))).alias("last")
+    cuts = settled(placed.groupBy("source").agg(F.first("whole").alias("whole"), last))
+    rows = keyed(df, doc_id=F.col("doc_id"), source=F.col("source"), draw=drawn(F.col("doc_id"), seed))
+    rows = join_null_safe(rows, cuts, ["source"])
+    # Words are counted again only where draws are equal.
+    size = words(text_or_empty("row.text")).alias("size")
+    same = (F.col("draw") == F.col("last.draw")) & (F.struct("doc_id", size, "key") <= F.struct("last.doc_id", "last.size", "last.key"))
+    fits = F.col("last").isNotNull() & ((F.col("draw") < F.col("last.draw")) | same)
+    times = (F.col("whole") + fits.cast("long")).cast("int")
+    return unboxed(rows.select("row", F.explode(F.array_repeat(F.lit(0), times))))
 
 
 # The same in SQL. The level is found as above; draws come from the same digest.

@@ -13,11 +13,9 @@ Everything is built from column expressions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import held, text_or_empty
+from viewtide.llm.base import keyed, stored, text_or_empty
 from viewtide.session import settled
 
 # The kinds in their order and what they look like. Possessive quantifiers change no match here, as
@@ -137,22 +135,21 @@ def _words(text: str) -> Column:
 
 
 def disclosing(rows: DataFrame, texts: DataFrame, support: float = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
-    """Per ``number`` the ``terms`` that reveal its protected values, at each place: array of (start, rank, end, kind, value).
+    """Per ``key`` the ``terms`` that reveal its protected values, at each place: array of (start, rank, end, kind, value).
 
-    ``rows`` (number, digest, text, spans, values) has the documents with protected values and should be settled, ``texts``
-    (text) all documents. Equal texts count once; their digests tell.
+    ``rows`` (key, digest, text, spans, values) has the documents with protected values and should be settled, ``texts``
+    (key, text) all documents. Equal texts count once; their digests tell.
     """
     spark = rows.sparkSession
-    none = spark.createDataFrame([], f"number bigint, terms array<{TERM}>")
-    texts = texts.select(text_or_empty().alias("text")).withColumn("digest", _digest())
+    none = rows.select("key", F.expr(f"cast(array() AS array<{TERM}>)").alias("terms")).where("false")
 
     # The discount leaves nothing of a single document, so that values and pairs of one need not be looked at.
-    holds = rows.select("number", "digest", F.explode("values").alias("value"))
+    holds = rows.select("key", "digest", F.explode("values").alias("value"))
     values = settled(holds.select("digest", "value").distinct().groupBy("value").agg(F.count("*").alias("with_value")).where("with_value > 1"))
     if values.isEmpty():
         return none
-    shared = holds.join(values.select("value"), "value", "left_semi").groupBy("number").agg(F.collect_list("value").alias("shared"))
-    documents = rows.select("number", "digest", _cleared().alias("clear")).join(shared, "number")
+    shared = holds.join(values.select("value"), "value", "left_semi").groupBy("key").agg(F.collect_list("value").alias("shared"))
+    documents = rows.select("key", "digest", _cleared().alias("clear")).join(shared, "key")
     documents = settled(documents.withColumn("words", _words("clear")))
 
     def paired(df: DataFrame) -> DataFrame:
@@ -163,11 +160,15 @@ def disclosing(rows: DataFrame, texts: DataFrame, support: float = SUPPORT, remo
     if pairs.isEmpty():
         return none
 
-    # In how many documents of the whole corpus each of these terms is found.
-    number = texts.select("digest").distinct().count()
-    words = texts.dropDuplicates(["digest"]).select(F.explode(_words("text")).alias("term"))
-    # No semi join with the pairs: Spark would move it below the count and shuffle each word of each text.
-    terms = words.groupBy("term").agg(F.count("*").alias("with_term"))
+    # In how many documents of the whole corpus each of these terms is found. Texts stay where they are: rows are told from
+    # copies by their digests and keys alone.
+    known = settled(texts.select("key", _digest().alias("digest")))
+    firsts = settled(known.groupBy("digest").agg(F.min("key").alias("first")))
+    number = firsts.count()
+    copies = settled(known.join(firsts, "digest").where("key <> first").select("key"))
+    wanted = settled(pairs.select("term").distinct())
+    words = texts.join(copies, "key", "left_anti").select(F.explode(_words("text")).alias("term"))
+    terms = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
 
     reveals = F.log2(F.lit(number) * F.col("with_both") / (F.col("with_term") * F.col("with_value")))
     # A value of all documents has no information.
@@ -175,34 +176,31 @@ def disclosing(rows: DataFrame, texts: DataFrame, support: float = SUPPORT, remo
     share = share * (F.col("with_both") - 1) / (F.col("with_both") - 1 + F.lit(support))
     telling = pairs.join(terms, "term").join(values, "value").withColumn("share", share).where(F.col("share") >= generalise)
     kind = F.when(F.col("share") >= remove, "removed").otherwise("term")
-    telling = telling.select("value", "term", kind.alias("kind"))
+    telling = settled(telling.select("value", "term", kind.alias("kind")))
+    if telling.isEmpty():
+        return none
     # The stronger kind holds where a term reveals several values of a document.
-    told = paired(documents.select("number", "shared", "words")).join(telling, ["value", "term"]).groupBy("number", "term").agg(F.min("kind").alias("kind"))
-    told = told.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("told"))
-    placed = documents.select("number", "clear").join(told, "number").withColumn("_all", _steps(F.col("clear"), WORD)).withColumn("_all", _placed("_all"))
+    told = paired(documents.select("key", "shared", "words")).join(telling, ["value", "term"]).groupBy("key", "term").agg(F.min("kind").alias("kind"))
+    told = told.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("told"))
+    placed = documents.select("key", "clear").join(told, "key").withColumn("_all", _steps(F.col("clear"), WORD)).withColumn("_all", _placed("_all"))
     terms = (
         "transform(filter(transform(_all, m -> named_struct('m', m, 'term', lower(m.value))), w -> map_contains_key(told, w.term)), w -> "
         f"named_struct('start', w.m.start, 'rank', {len(PATTERNS)}, 'end', w.m.end, 'kind', told[w.term], 'value', w.term))"
     )
-    return placed.select("number", F.expr(terms).alias("terms"))
-
+    return placed.select("key", F.expr(terms).alias("terms"))
 
-def _sanitised(df: DataFrame, row: Column, keep: Callable[[DataFrame], DataFrame], whole: bool = False) -> DataFrame:
-    """``row`` of each document, with base spans and all spans. ``keep`` stores what is read several times.
 
-    ``whole`` says that ``row`` has the text. Otherwise the texts with spans are kept beside it.
-    """
-    number = F.monotonically_increasing_id()
-    texts = df.select(row.alias("row"), number.alias("number"), text_or_empty().alias("text"))
-    stepped = found(texts).withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
-    rows = keep(stepped.select("row", "number", "spans", *([] if whole else ["text"])))
-    marked = rows.where(F.size("spans") > 0)
-    marked = marked.select("number", "spans", text_or_empty("row.text" if whole else "text").alias("text"))
+def _with_terms(rows: DataFrame, spotted: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` (key, spans, others) with ``all_spans``: base spans and telling terms, which ``spotted`` (key, spans, text) gives."""
+    marked = spotted.where(F.size("spans") > 0).select("key", "spans", "text")
     marked = settled(marked.withColumns({"digest": _digest(), "values": _values()}))
-    terms = settled(disclosing(marked, df.select("text")))
-    joined = rows.join(terms, "number", "left")
+    joined = rows.join(settled(disclosing(marked, texts)), "key", "left")
     both = F.concat("spans", F.coalesce("terms", F.expr("slice(spans, 1, 0)")))
-    return joined.select("row", "spans", F.array_sort(both).alias("all_spans"))
+    return joined.withColumn("all_spans", F.array_sort(both)).drop("terms")
+
+
+def _keyed_texts(df: DataFrame, **columns: Column) -> DataFrame:
+    return keyed(df, text=text_or_empty(), **columns)
 
 
 def personal_data(df: DataFrame) -> DataFrame:
@@ -211,10 +209,14 @@ def personal_data(df: DataFrame) -> DataFrame:
     A null text is empty. Repeated rows stay and are found to hold the same. Terms that give a value away are spans of
     kind ``removed`` or ``term``. An empty table gives an empty result.
     """
-    rows = _sanitised(df, F.struct("doc_id"), settled)
+    df = stored(df)
+    texts = _keyed_texts(df, doc_id=F.col("doc_id"))
+    held = F.when(F.size("spans") > 0, F.col("text")).alias("text")
+    spotted = settled(found(texts).select("key", "doc_id", "spans", held))
+    rows = _with_terms(spotted.drop("text"), spotted, texts.select("key", "text"))
     counts = [F.expr(f"size(filter(spans, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}") for kind in PATTERNS]
     digest = F.sha2(printed("spans").cast("binary"), 256).alias("base_sha256")
-    return rows.select("row.doc_id", *counts, digest, printed("all_spans").alias("spans"))
+    return rows.select("doc_id", *counts, digest, printed("all_spans").alias("spans"))
 
 
 # What stands in the text instead of a span; a removed term leaves nothing.
@@ -227,7 +229,11 @@ def masked(df: DataFrame) -> DataFrame:
     Values become the name of their kind, telling terms ``[TERM]`` or nothing. Of overlapping spans the first is replaced by
     its name and the rest of the other removed. Texts without spans, null ones too, stay as they are.
     """
-    rows = _sanitised(df, F.struct(*[F.col(f"`{c}`") for c in df.columns]), held, whole=True)
+    df = stored(df)
+    # Spans are found twice, once to learn the terms and once beside the whole rows, which are not copied in between.
+    texts = _keyed_texts(df)
+    spotted = found(texts)
+    rows = _with_terms(spotted, spotted, texts.select("key", "text"))
     # Spans that begin after all earlier ones have ended give a piece of text and a name; others only move the end.
     rows = rows.withColumn("text", F.col("row.text")).withColumn(
         "pieces",

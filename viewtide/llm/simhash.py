@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import boxed, held, unboxed
+from viewtide.llm.base import keyed, stored, unboxed
 from viewtide.llm.components import components
 from viewtide.session import settled
 
@@ -182,12 +182,14 @@ def first_of_each(df: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
 
     A null doc_id comes last; among equal ones one row is kept. Columns come back as they were.
     """
-    code = fingerprints(F.col("text"), shingle)
-    rows = held(boxed(df, doc_id=F.col("doc_id"), code=code, number=F.monotonically_increasing_id()))
-    # The group's smallest key: doc_id with nulls last, then the row's number.
-    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number")
-    first = settled(rows.groupBy("code").agg(F.min(key).alias("first")))
+    df = stored(df)
+    rows = settled(keyed(df, doc_id=F.col("doc_id"), code=fingerprints(F.col("text"), shingle)).drop("row"))
+    # The group's first row: the smallest doc_id with nulls last, then the row's key.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = settled(rows.groupBy("code").agg(F.min(order).alias("first")))
     roots = components(links(first.select("code"), bits)).withColumnRenamed("node", "code")
     placed = first.join(roots, "code", "left").withColumn("root", F.coalesce("root", "code"))
-    kept = placed.groupBy("root").agg(F.min("first").alias("first"))
-    return unboxed(rows.join(kept.select(F.col("first.number").alias("number")), "number", "left_semi"))
+    kept = placed.groupBy("root").agg(F.min("first").alias("first")).select("first.key")
+    # Whole rows are met with those that go, which are fewer: Spark needs no shuffle of texts while their keys are small.
+    gone = settled(rows.select("key").join(kept, "key", "left_anti"))
+    return unboxed(keyed(df).join(gone, "key", "left_anti"))
