@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from viewtide.llm import language, mixing, privacy, simhash, windows
 from viewtide.llm.base import prepared, table
 from viewtide.llm.queries import TOKENIZER
-from viewtide.session import settled
+from viewtide.session import delete_folder, scratch_path, scratch_scope
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, from ``documents`` to packed sequences."""
-    rows = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        rows = settled(stage(spark, rows, sf_dir))
-    return settled(STAGES[-1][1](spark, rows, sf_dir))
+    """All stages in turn, from ``documents`` to packed sequences.
+
+    What a stage settled on the way is deleted when its rows are stored, and its input after that.
+    """
+    rows, path = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        before, path = path, scratch_path(spark, name)
+        with scratch_scope(spark):
+            stage(spark, rows, sf_dir).write.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        rows = spark.read.parquet(path)
+    return rows
