@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bestfit, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, windows
+from viewtide.llm import bestfit, chat, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, windows
 from viewtide.llm.base import query, table
 
 # The vocabulary file and its token for the end of a text.
@@ -75,3 +75,10 @@ def op7_tagpaths(spark: SparkSession, folder: str) -> DataFrame:
 def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     """The passages of 50 words or more that documents share."""
     return suffixes.repeats(table(spark, folder, "documents"))
+
+
+@query(chat.CHAT_SQL)
+def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations in a chat template, and what is read back from it."""
+    conversations = table(spark, folder, "conversations")
+    return chat.digests(chat.formatted(chat.with_hostile(conversations)))
