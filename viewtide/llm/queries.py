@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bestfit, chat, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, windows
+from viewtide.llm import bestfit, chat, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, vafile, windows
 from viewtide.llm.base import query, table
 
 # The vocabulary file and its token for the end of a text.
@@ -82,3 +82,9 @@ def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations in a chat template, and what is read back from it."""
     conversations = table(spark, folder, "conversations")
     return chat.digests(chat.formatted(chat.with_hostile(conversations)))
+
+
+@query(vafile.CLUSTER_SQL)
+def op13_vafile(spark: SparkSession, folder: str) -> DataFrame:
+    """40 clusters of all vectors after five rounds."""
+    return vafile.clusters(table(spark, folder, "embeddings"))
