@@ -75,8 +75,8 @@ def test_intervals_enclose_distances():
     lookup = vafile.Lookup(vectors.min(0), inner, vectors.max(0), centroids)
     codes = vafile.coded(vectors, inner)
     exact = ((vectors[:, None, :] - centroids[None]) ** 2).sum(2)
-    least = sum(lookup.least[i][codes[:, i]] for i in range(3))
-    most = sum(lookup.most[i][codes[:, i]] for i in range(3))
+    exact = exact - ((vectors - lookup.middle) ** 2).sum(1)[:, None]
+    least, most = lookup.intervals(codes)
     assert (least <= exact).all() and (exact <= most).all()
     assert lookup.open(codes)[np.arange(400), exact.argmin(1)].all()
 
