@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from viewtide.llm import bestfit, chat, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, vafile, windows
+from viewtide.llm import bestfit, chat, collocations, hnsw, language, mixing, multiindex, pages, privacy, simhash, suffixes, vafile, windows
 from viewtide.llm.base import query, table
 
 # The vocabulary file and its token for the end of a text.
@@ -88,3 +88,9 @@ def op12_chat(spark: SparkSession, folder: str) -> DataFrame:
 def op13_vafile(spark: SparkSession, folder: str) -> DataFrame:
     """40 clusters of all vectors after five rounds."""
     return vafile.clusters(table(spark, folder, "embeddings"))
+
+
+@query(collocations.PHRASE_SQL)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 phrases of each language whose words are most often found together."""
+    return collocations.collocations(table(spark, folder, "documents"))
