@@ -88,11 +88,32 @@ def test_summary_keeps_what_is_frequent():
         assert all(exact[k] - summary.taken <= n <= exact[k] for k, n in zip(summary.codes.tolist(), summary.counts.tolist()))
 
 
+def test_hashes_of_words():
+    """Words have the same hash wherever they stand, also in texts that are cut."""
+    draw = random.Random(6)
+    words = ["".join(draw.choice("abcé日") for _ in range(draw.randrange(1, 9))).encode() for _ in range(500)] + [b"x" * (3 << 20)]
+    text, seen = c.Text(named=True), {}
+    for _ in range(40):
+        text.add(b" ".join(draw.choice(words[:-1]) for _ in range(9000)), "en")
+    text.add(b"A " + words[-1] + b" " + b" ".join(words[:-1]), "de")
+    text.close()
+    assert len(text.word) == len(text.all) == 40 * 9000 + 502 and text.room.max() == 9000 and text.room[-502] == 502
+    for code, number in zip(text.word.tolist(), text.all.tolist()):
+        assert seen.setdefault(number, code) == code
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_equal_hashes_are_told_apart(documents, monkeypatch):
     """Phrases are counted as text, so equal hashes only cost time."""
     rows = prose(7, 60)
-    monkeypatch.setattr(c.xxhash, "xxh64_intdigest", lambda w: len(w) << 60)
-    texts = c.Text()
+    plain_hashes = c.hashed
+
+    def poor(*args):
+        starts, codes, *rest = plain_hashes(*args)
+        return starts, codes & c.np.uint64(7 << 40), *rest
+
+    monkeypatch.setattr(c, "hashed", poor)
+    texts = c.Text(named=True)
     for _, text, lang, _ in rows:
         texts.add((text or "").encode(), lang or "und")
     texts.close()

@@ -13,14 +13,13 @@ and changes nothing, as the second pass counts phrases as text, exactly.
 
 from __future__ import annotations
 
-import re
+import hashlib
 from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from viewtide.session import settled
@@ -37,10 +36,36 @@ RANGES, COUNTERS = 4096, 1 << 20
 # Bits of a sieve: so many for each survivor, but no more than 32 MB of them.
 SIEVE, MOST_BITS = 64, 28
 
+# Bytes of text whose words are hashed at a time.
+BLOCK = 1 << 20
+
 # A byte that no text has stands for what separates pieces. A-Z become a-z.
 BREAK = b"\xff"
 TABLE = bytes(255 if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
+
+
+def powers(base: np.uint64, count: int) -> np.ndarray:
+    return np.cumprod(np.r_[np.uint64(1), np.full(count, base, np.uint64)], dtype=np.uint64)
+
+
+def hashed(block: bytes, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Where the words of a block begin, their hashes, the breaks before each, and all breaks.
+
+    A word's hash is a polynomial of its bytes modulo 2^64, taken from running sums over the block. ``up`` and ``down`` are
+    powers of the base and of its inverse. Equal words have equal hashes; nothing rests on different ones having different hashes.
+    """
+    data = np.frombuffer(block, np.uint8)
+    breaks = data == 255
+    apart = breaks | (data == 32) | (data == 9)
+    edges = np.flatnonzero(np.diff(np.r_[True, apart, True].view(np.int8)))
+    starts, ends = edges[0::2], edges[1::2]
+    sums = np.r_[np.uint64(0), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)])]
+    codes = (sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * ODD
+    codes = (codes ^ (codes >> np.uint64(31))) * ODD
+    before = np.cumsum(breaks)
+    return starts, codes ^ (codes >> np.uint64(29)), before[starts] if len(starts) else starts, int(before[-1]) if len(data) else 0
 
 
 class Words(dict):
@@ -52,47 +77,70 @@ class Words(dict):
 
 
 class Text:
-    """The words of a chunk of documents as numbers, with the pieces they are in."""
+    """The words of a chunk of documents as hashes, with the pieces they are in; and as numbers if they are to be ``named``."""
 
-    def __init__(self) -> None:
+    def __init__(self, named: bool = False) -> None:
+        self.named = named
         self.words = Words()
-        self.hashes = np.empty(0, np.uint64)
-        self.names: list[bytes] = []
+        self.up, self.down = powers(ODD, BLOCK), powers(INVERSE, BLOCK)
         self.clear()
 
     def clear(self) -> None:
         if len(self.words) > MEMORY:
             self.words.clear()
-        if not self.words:
-            self.hashes, self.names = np.empty(0, np.uint64), []
-            self.gap = self.words[BREAK]
         self.ids = array("I")
-        self.languages: list[str] = []
-        self.sizes: list[int] = []
+        self.languages: dict[str, int] = {}
+        self.waiting: list[tuple[bytes, int]] = []
+        self.held = self.count = self.pieces = 0
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def add(self, text: bytes, language: str) -> None:
-        before = len(self.ids)
-        self.ids.extend(map(self.words.__getitem__, text.translate(TABLE).replace(BREAK, b" \xff ").split()))
-        self.ids.append(self.gap)
-        self.sizes.append(len(self.ids) - before)
-        self.languages.append(language)
+        code = self.languages.setdefault(language, len(self.languages))
+        text = text.translate(TABLE) + BREAK
+        while len(text) > BLOCK:
+            # A long text is cut between words, which leaves its pieces as they are. A longer word stays whole.
+            places = [text.rfind(c, 0, BLOCK) for c in (b" ", b"\t", BREAK)]
+            cut = max(places) + 1 or min(p for p in (text.find(c, BLOCK) for c in (b" ", b"\t", BREAK)) if p >= 0) + 1
+            self._hold(text[:cut], code)
+            text = text[cut:]
+        self._hold(text, code)
+
+    def _hold(self, text: bytes, code: int) -> None:
+        if self.held and self.held + len(text) > BLOCK:
+            self._flush()
+        self.waiting.append((text, code))
+        self.held += len(text)
+
+    def _flush(self) -> None:
+        if not self.waiting:
+            return
+        block = b"".join(t for t, _ in self.waiting)
+        if len(block) >= len(self.up):
+            self.up, self.down = powers(ODD, len(block)), powers(INVERSE, len(block))
+        starts, codes, pieces, breaks = hashed(block, self.up, self.down)
+        ends = np.cumsum([len(t) for t, _ in self.waiting])
+        words = np.diff(np.r_[0, np.searchsorted(starts, ends)])
+        language = np.repeat(np.array([c for _, c in self.waiting], np.int64), words)
+        self.parts.append((codes, pieces + self.pieces, language))
+        if self.named:
+            self.ids.extend(map(self.words.__getitem__, block.replace(BREAK, b" ").split()))
+        self.pieces += breaks
+        self.count += len(starts)
+        self.waiting, self.held = [], 0
 
     def close(self) -> None:
-        """Work out hashes of the words and, at each place, how many words are left in the piece."""
-        new = list(self.words)[len(self.names) :]
-        self.names += new
-        self.hashes = np.concatenate([self.hashes, np.fromiter((xxhash.xxh64_intdigest(w) for w in new), np.uint64, len(new))])
+        """Put the words together and work out, at each place, how many words are left in the piece."""
+        self._flush()
+        none = np.empty(0, np.int64)
+        self.word, pieces, self.language = map(np.concatenate, zip(*(self.parts or [(none.astype(np.uint64), none, none)])))
+        self.language_names = list(self.languages)
+        seeds = np.array([int.from_bytes(hashlib.blake2b(n.encode(), digest_size=8).digest(), "little") for n in self.language_names], np.uint64)
+        ends = np.flatnonzero(np.r_[pieces[1:] != pieces[:-1], True]) + 1 if len(pieces) else none
+        self.room = np.repeat(ends, np.diff(np.r_[0, ends])) - np.arange(len(pieces))
+        self.start = (self.word ^ seeds[self.language]) * ODD if len(seeds) else self.word
         self.all = np.frombuffer(self.ids, np.uint32).astype(np.int64)
-        names, which = np.unique(np.array(self.languages, object), return_inverse=True)
-        self.language_names = names.tolist()
-        self.language = np.repeat(which, self.sizes)
-        seeds = np.array([xxhash.xxh64_intdigest(n.encode()) for n in self.language_names], np.uint64)
-        ends = np.flatnonzero(self.all == self.gap)
-        place = np.arange(len(self.all))
-        self.room = ends[np.searchsorted(ends, place)] - place
-        word = self.hashes[self.all]
-        self.word = word
-        self.start = (word ^ seeds[self.language]) * ODD
+        if self.named:
+            self.names = list(self.words)
 
     def phrases(self, longest: int, sieves: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each length where its phrases begin, and their hashes.
@@ -118,7 +166,7 @@ class Text:
             if len(sieves) > level:
                 kept = holds(sieves[level], found)
                 if size == 2:
-                    pairs = np.zeros(len(self.all) + longest, bool)
+                    pairs = np.zeros(len(self.word) + longest, bool)
                     pairs[at[kept]] = True
                 yield size, at[kept], found[kept]
                 if size == 2:
@@ -179,16 +227,16 @@ class Summary:
         return self.codes[self.counts + self.taken >= least]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[Text]:
-    text = Text()
+def _chunks(batches: Iterator[pa.RecordBatch], chunk: int, named: bool = False) -> Iterator[Text]:
+    text = Text(named)
     for batch in batches:
         for body, language in zip(batch["text"], batch["lang"].to_pylist()):
             text.add(body.as_py() or b"", language)
-            if len(text.ids) >= chunk:
+            if text.count >= chunk:
                 text.close()
                 yield text
                 text.clear()
-    if text.ids:
+    if text.languages:
         text.close()
         yield text
 
@@ -204,7 +252,7 @@ def _tallied(longest: int, sieves: list[np.ndarray], ranges: int, chunk: int):
         for text in _chunks(batches, chunk):
             found = [code for size, _, code in text.phrases(longest, sieves) if size > skip]
             codes = np.concatenate(found) if found else np.empty(0, np.uint64)
-            codes, counts = counted(codes, np.ones(len(codes), np.int64))
+            codes, counts = np.unique(codes, return_counts=True)
             # Counts of two bytes; a larger one takes several entries.
             times = -(-counts // 65535)
             codes, small = np.repeat(codes, times), np.full(int(times.sum()), 65535, np.int64)
@@ -215,7 +263,7 @@ def _tallied(longest: int, sieves: list[np.ndarray], ranges: int, chunk: int):
             ends = np.r_[first[1:], len(codes)] if len(first) else first
             rows = [(int(where[a]), None, int(small[a:b].sum(dtype=np.int64)), codes[a:b].tobytes(), small[a:b].tobytes()) for a, b in zip(first, ends)]
             if not sieves:
-                said = np.bincount(text.language[text.all != text.gap], minlength=len(text.language_names))
+                said = np.bincount(text.language, minlength=len(text.language_names))
                 rows += [(None, n, int(c), None, None) for n, c in zip(text.language_names, said)]
             kinds = [pa.int32(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
             for start in range(0, len(rows), 1000):
@@ -297,12 +345,14 @@ def _spelled(longest: int, sieves: list[np.ndarray], chunk: int):
     """The phrases that the sieves hold as text, with their counts in a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for text in _chunks(batches, chunk):
+        for text in _chunks(batches, chunk, named=True):
+            # Codes are sorted with their places in the lowest bits; what that loses of a code is looked at as words.
+            bits = np.uint64(len(text.word).bit_length())
             for size, at, codes in text.phrases(longest, sieves):
                 if not len(at):
                     continue
-                order = np.argsort(codes, kind="stable")
-                at, codes = at[order], codes[order]
+                keys = np.sort(codes >> bits << bits | at.astype(np.uint64))
+                at, codes = (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), keys >> bits
                 first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
                 rows = np.diff(np.r_[first, len(codes)])
                 shown = np.repeat(at[first], rows)
