@@ -30,7 +30,7 @@ INSIDE = 80
 NO_LANGUAGE = "und"
 
 # Words that a task counts at a time, and words it remembers.
-CHUNK, MEMORY = 2_000_000, 400_000
+CHUNK, MEMORY = 1_000_000, 200_000
 # Hash ranges in which masses are known; of such ranges, as many go into one summary as have this many counters.
 RANGES, COUNTERS = 4096, 1 << 20
 # Bits of a sieve: so many for each survivor, but no more than 32 MB of them.
@@ -336,7 +336,7 @@ def _sieve(tallies: DataFrame, least: int, counters: int, per_survivor: int) ->
     pages = max(1, 1 << max(0, bits - 3 - 16))
     sieve = np.zeros((pages, (1 << (bits - 3)) // pages), np.uint8)
     either = survivors.mapInArrow(_sieved(bits, pages), "page int, bits binary")
-    for r in either.toLocalIterator():
+    for r in either.collect():
         sieve[r.page] |= np.frombuffer(r.bits, np.uint8)
     return sieve.reshape(-1)
 
