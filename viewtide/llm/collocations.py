@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from viewtide.session import settled
+from viewtide.session import scratch_path, scratch_scope, settled
 
 LEAST, LONGEST, BEST = 30, 4, 2000
 # Share of a phrase's occurrences that lie inside a longer one, in hundredths, from which the longer one replaces it.
@@ -185,6 +185,22 @@ def holds(sieve: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (sieve[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+# Hashes are summed up by their upper six bytes, which is fewer to shuffle.
+LOW = np.uint64(16)
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """The upper six bytes of each hash."""
+    return codes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """The hashes, with zeros for the lower bytes."""
+    rows = np.zeros((len(data) // 6, 8), np.uint8)
+    rows[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return rows.view("<u8").reshape(-1).astype(np.uint64)
+
+
 def counted(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each different hash in order, with its counts added up."""
     if not len(codes):
@@ -252,7 +268,7 @@ def _tallied(longest: int, sieves: list[np.ndarray], ranges: int, chunk: int):
         for text in _chunks(batches, chunk):
             found = [code for size, _, code in text.phrases(longest, sieves) if size > skip]
             codes = np.concatenate(found) if found else np.empty(0, np.uint64)
-            codes, counts = np.unique(codes, return_counts=True)
+            codes, counts = np.unique(codes >> LOW << LOW, return_counts=True)
             # Counts of two bytes; a larger one takes several entries.
             times = -(-counts // 65535)
             codes, small = np.repeat(codes, times), np.full(int(times.sum()), 65535, np.int64)
@@ -261,7 +277,7 @@ def _tallied(longest: int, sieves: list[np.ndarray], ranges: int, chunk: int):
             where = (codes >> shift).astype(np.int64)
             first = np.flatnonzero(np.r_[True, where[1:] != where[:-1]]) if len(where) else where
             ends = np.r_[first[1:], len(codes)] if len(first) else first
-            rows = [(int(where[a]), None, int(small[a:b].sum(dtype=np.int64)), codes[a:b].tobytes(), small[a:b].tobytes()) for a, b in zip(first, ends)]
+            rows = [(int(where[a]), None, int(small[a:b].sum(dtype=np.int64)), packed(codes[a:b]), small[a:b].tobytes()) for a, b in zip(first, ends)]
             if not sieves:
                 said = np.bincount(text.language, minlength=len(text.language_names))
                 rows += [(None, n, int(c), None, None) for n, c in zip(text.language_names, said)]
@@ -290,7 +306,7 @@ def _merged(least: int):
                     if summary is not None:
                         yield from rows()
                     current, summary = part, Summary(mass // least + 1)
-                summary.add(np.frombuffer(codes, np.uint64), np.frombuffer(counts, "<u2").astype(np.int64))
+                summary.add(unpacked(codes), np.frombuffer(counts, "<u2").astype(np.int64))
         if summary is not None:
             yield from rows()
 
@@ -398,18 +414,21 @@ def frequent(
     language = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang")
     texts = df.select(F.col("text").cast("binary").alias("text"), language)
     kind = "range int, lang string, mass long, codes binary, counts binary"
+    spark = df.sparkSession
     sieves: list[np.ndarray] = []
-    totals = None
+    path = scratch_path(spark, "words")
     for upto in (min(2, longest), longest):
         if len(sieves) * 2 >= longest:
             break
-        tallies = settled(texts.mapInArrow(_tallied(upto, list(sieves), ranges, chunk), kind))
-        if totals is None:
-            totals = tallies.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("mass").alias("n"))
-        sieves.append(_sieve(tallies, least, counters, per_survivor))
+        # Tallies are as large as the texts and go when their sieve is there.
+        with scratch_scope(spark):
+            tallies = settled(texts.mapInArrow(_tallied(upto, list(sieves), ranges, chunk), kind))
+            if not sieves:
+                tallies.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("mass").alias("n")).write.parquet(path)
+            sieves.append(_sieve(tallies, least, counters, per_survivor))
     phrases = texts.mapInArrow(_spelled(longest, sieves, chunk), "lang string, size int, phrase string, count long")
     phrases = phrases.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    return settled(phrases), settled(totals)
+    return settled(phrases), spark.read.schema("lang string, n long").parquet(path)
 
 
 def _whole(column: str) -> str:
