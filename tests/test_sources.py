@@ -30,7 +30,9 @@ def test_csv_file_is_split(spark, tmp_path):
     try:
         for read in (readers.read_csv, readers.read_csv_inferred):
             assert read(spark, f"{tmp_path}/csv").rdd.getNumPartitions() > 2
-            assert read(spark, f"{tmp_path}/csv", multi_line=True).rdd.getNumPartitions() == 1
+        assert readers.read_csv(spark, f"{tmp_path}/csv", multi_line=True).rdd.getNumPartitions() > 2
+        assert readers.read_csv(spark, f"{tmp_path}/csv", multi_line=True).count() == 20000
+        for read in (readers.read_csv, readers.read_csv_inferred):
             assert read(spark, f"{tmp_path}/csv").count() == 20000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")

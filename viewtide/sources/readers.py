@@ -32,9 +32,13 @@ def read_csv(
 
     With a schema the header must match it, so columns in another order fail
     instead of being read as each other. Large files are split among tasks. Where
-    fields may hold line feeds, ask for ``multi_line``: each file is then one task.
+    fields may hold line feeds, ask for ``multi_line``, which costs one more pass.
     """
-    reader = spark.read.options(**CSV, multiLine=multi_line)
+    if multi_line:
+        from viewtide.sources.records import read_csv_records
+
+        return read_csv_records(spark, path, schema)
+    reader = spark.read.options(**CSV)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
