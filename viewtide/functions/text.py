@@ -61,9 +61,12 @@ def find_all(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def find_first(text: Column, pattern: str, missing: str | None = None) -> Column:
-    """First match of the first group, ``missing`` if there is none."""
-    hit = F.get(find_all(text, pattern), F.lit(0))
-    return hit if missing is None else F.coalesce(hit, F.lit(missing))
+    """First match of the first group, ``missing`` if there is none. The search ends with it."""
+    found = F.regexp_extract(text, pattern, 1)
+    if missing != "":
+        # An empty match differs from none only here.
+        found = F.when(F.regexp_like(text, F.lit(pattern)), found)
+    return found if missing is None else F.coalesce(found, F.lit(missing))
 
 
 def find_pairs(text: Column, pattern: str, first: str, second: str) -> Column:

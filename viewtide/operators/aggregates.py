@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from viewtide.operators.windows import last_of_day
+
 
 def period_delta(log: DataFrame, key: str, counters: list[str], prefix: str) -> DataFrame:
-    """Last level minus first level of each counter, by day."""
+    """Last level minus first level of each counter, by day. Of several rows of a day the one written last counts."""
+    log = last_of_day(log, key)
     deltas = [
         (F.max_by(c, "created_date") - F.min_by(c, "created_date")).alias(
             f"{prefix}_{c.split('_')[0]}_delta"

@@ -112,3 +112,24 @@ def approximate_medians(df: DataFrame, keys: list[str], value: str, accuracy: in
     return df.groupBy(*keys).agg(
         F.count(value).alias("rows"), F.percentile_approx(value, 0.5, accuracy).alias("median")
     )
+
+
+# The size of a stored sketch. A quantile it gives is off by about a hundredth of the ranks at 200, and exact for fewer values.
+SKETCH = 200
+
+
+def value_sketches(df: DataFrame, group: list[str], value: str, size: int = SKETCH) -> DataFrame:
+    """A KLL sketch of the values (numbers) of each group, as ``sketch``, to be stored.
+
+    For quantiles of groups that keep growing: a day's sketches are merged with those of other days by
+    ``sketched_quantiles`` without reading its rows again. Nulls are not counted; a group of nulls has no row.
+    """
+    rows = df.where(F.col(value).isNotNull())
+    return rows.groupBy(*group).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(size)).alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, group: list[str], shares: dict[str, float]) -> DataFrame:
+    """Approximate quantiles of each group over all its sketches, and how many values they hold."""
+    merged = sketches.groupBy(*group).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    columns = [F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(name) for name, q in shares.items()]
+    return merged.select(*group, F.kll_sketch_get_n_double("sketch").alias("rows"), *columns)

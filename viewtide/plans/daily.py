@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from viewtide import schema
+from viewtide.functions import payload
 from viewtide.operators.dedup import latest_per_key
+from viewtide.operators.filters import expired
 from viewtide.operators.joins import not_stored
 from viewtide.plans import ingest, pages
 from viewtide.session import settled
@@ -36,14 +38,32 @@ def append_new_videos(
     return writers.append(new, video_path, schema.VIDEO, {"created_at": F.current_timestamp()})
 
 
-def append_channel_counters(documents: DataFrame, day: dt.date, log_path: str) -> int:
-    """Append one row of counters per channel document, once a day, and return how many."""
+def keep_rejected(documents: DataFrame, day: dt.date, path: str) -> int:
+    """Store the documents that are no valid JSON, by day, and return how many. Of a day that is run again one set is kept."""
+    counted = Observation()
+    rows = payload.rejected(documents).withColumn("rejected_on", F.lit(day)).observe(counted, F.count("*").alias("rows"))
+    writer = rows.write.partitionBy("rejected_on").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+    return writers.observed_rows(counted)
+
+
+def append_channel_counters(documents: DataFrame, day: dt.date, log_path: str, rejected_path: str | None = None) -> int:
+    """Append one row of counters per channel document, once a day, and return how many.
+
+    ``rejected_path`` gets the documents that cannot be read.
+    """
+    if rejected_path:
+        keep_rejected(documents, day, rejected_path)
     rows = ingest.channel_snapshot(documents, day)
     return append_new_days(_log_rows(rows, schema.CHANNEL_LOG), log_path, "channel_id")
 
 
-def append_video_counters(video: DataFrame, documents: DataFrame, day: dt.date, log_path: str) -> int:
-    """Append one row of counters per active video that has a document, once a day."""
+def append_video_counters(
+    video: DataFrame, documents: DataFrame, day: dt.date, log_path: str, rejected_path: str | None = None
+) -> int:
+    """Append one row of counters per active video that has a document, once a day, as for channels."""
+    if rejected_path:
+        keep_rejected(documents, day, rejected_path)
     rows = ingest.video_snapshot(video, documents, day)
     return append_new_days(_log_rows(rows, schema.VIDEO_LOG), log_path, "video_id")
 
@@ -71,6 +91,12 @@ def expire(spark: SparkSession, video_table: str, folder: str, as_of: dt.date, d
     )
 
 
+def expire_partitioned(spark: SparkSession, video_path: str, as_of: dt.date, days: int = 30) -> int:
+    """``expire`` for a video table laid out by ``published_date``: days without active old videos are not touched."""
+    old = expired(F.col("published_date"), F.col("active"), F.lit(as_of), days)
+    return writers.update_partitions(spark, video_path, "published_date", old, {"active": F.lit(False)})
+
+
 def set_marks(spark: SparkSession, channel_table: str, folder: str) -> int:
     """At the start of a run: all channels are due."""
     return writers.update_table(spark, channel_table, folder, ingest.activate_channels)
@@ -83,5 +109,28 @@ def clear_marks(spark: SparkSession, channel_table: str, folder: str, done: Data
     )
 
 
+def crawl(
+    spark: SparkSession,
+    channel_table: str,
+    folder: str,
+    listing_pages: DataFrame,
+    documents: DataFrame,
+    video_path: str,
+    limit: int = 20,
+) -> int:
+    """Append the new videos of the channels that are due, clear their marks, and return how many videos there were.
+
+    Where no channel is due, a new round begins and all are. A run that is broken off before the marks are cleared finds
+    the same channels due again, and their videos stored or not, so that nothing is appended twice.
+    """
+    if spark.table(channel_table).where("active").isEmpty():
+        set_marks(spark, channel_table, folder)
+    due = settled(spark.table(channel_table).where("active").select("channel_id"))
+    theirs = listing_pages.join(due, "channel_id", "left_semi")
+    count = append_new_videos(spark, theirs, documents, video_path, limit=limit)
+    clear_marks(spark, channel_table, folder, due)
+    return count
+
+
 def _log_rows(rows: DataFrame, table: T.StructType) -> DataFrame:
     return writers.align(rows, table, {**schema.LOG_DEFAULTS, "created_at": F.current_timestamp()})

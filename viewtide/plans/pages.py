@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from viewtide.functions import text
+from viewtide.operators.dedup import first_per_key
+from viewtide.operators.joins import join_null_safe
 from viewtide.operators.topk import cap_listing
 from viewtide.session import settled
 
@@ -53,6 +55,45 @@ def listed_ids(
     return pages.select(*keep, F.posexplode(ids).alias("pos", "video_id"))
 
 
+def linked(
+    pages: DataFrame,
+    keys: tuple[str, ...] = ("channel_id", "video_type"),
+    requested: str = "requested",
+    body: str = "body",
+) -> DataFrame:
+    """Number the pages of each listing from 0 along their continuation tokens, as ``page_no``.
+
+    ``requested`` is the token a page was asked for by, null or empty for the first page. A page's own token names the
+    next one. A listing ends with a page without token, with a token no page was stored for, or where it comes back to
+    a page it has been to. Pages that the first one does not lead to are left out; of pages stored twice one is taken.
+
+    Places are found by doubling: when all pages up to place n are known, and from each page the one n places further,
+    the next n places follow. So a listing of n pages takes log2(n) rounds, on tokens only.
+    """
+    asked = F.coalesce(F.col(requested), F.lit(""))
+    first = F.when(asked == "", F.col(body)).otherwise(text.squeeze(F.col(body)))
+    token = text.find_first(first, text.NEXT_TOKEN, "")
+    boxed = pages.select(*keys, asked.alias("_asked"), token.alias("_next"), *[c for c in pages.columns if c not in keys])
+    boxed = settled(first_per_key(boxed, [*keys, "_asked"], ["_next"]))
+    steps = settled(boxed.where("_next <> ''").select(*keys, F.col("_asked").alias("_from"), F.col("_next").alias("_to")))
+    found = settled(boxed.where("_asked = ''").select(*keys, "_asked", F.lit(0).alias("page_no")))
+    length = 1
+    while True:
+        jumps = steps.withColumnsRenamed({"_from": "_asked"})
+        further = join_null_safe(found, jumps, [*keys, "_asked"])
+        further = further.select(*keys, F.col("_to").alias("_asked"), (F.col("page_no") + length).alias("page_no"))
+        # A place that was reached before is nearer to the first page.
+        every = found.unionByName(further).groupBy(*keys, "_asked").agg(F.min("page_no").alias("page_no"))
+        known, found = found, settled(every)
+        if found.count() == known.count():
+            break
+        ahead = steps.withColumnsRenamed({"_from": "_via", "_to": "_end"})
+        steps = settled(join_null_safe(steps.withColumnRenamed("_to", "_via"), ahead, [*keys, "_via"]).select(*keys, "_from", F.col("_end").alias("_to")))
+        length *= 2
+    numbered = join_null_safe(boxed, found, [*keys, "_asked"])
+    return numbered.select(*[c for c in pages.columns if c != "page_no"], "page_no")
+
+
 def listing(
     pages: DataFrame, limit: int = 20, keys: tuple[str, ...] = ("channel_id", "video_type")
 ) -> DataFrame:

@@ -128,7 +128,7 @@ def update_table(
     that are reading them.
     """
     if any(c.isPartition for c in spark.catalog.listColumns(name)):
-        raise ValueError(f"{name} is partitioned: a new location would need its partitions added")
+        raise ValueError(f"{name} is partitioned: use update_partitions")
     counted = Observation()
     table = spark.table(name)
     version = f"{folder}/version-{uuid.uuid4().hex}"
@@ -136,3 +136,55 @@ def update_table(
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
     spark.catalog.refreshTable(name)
     return observed_rows(counted)
+
+
+def update_partitions(spark: SparkSession, path: str, partition_by: str, where: Column, values: dict[str, Column]) -> int:
+    """Store new values in the rows of a partitioned parquet table that meet the condition, and return how many changed.
+
+    The partitions that hold such rows are found first, by reading the columns of the condition, and only they
+    are read in full and written again. Files of other partitions are neither read nor written. The new files take the place
+    of the old ones when all of them are written, so a failure before leaves the table as it was.
+    """
+    if partition_by in values:
+        raise ValueError(f"{partition_by} says where a row is stored and cannot be changed")
+    table = spark.read.parquet(path)
+    # One row for each partition that changes.
+    touched = [r[0] for r in table.where(where).select(partition_by).distinct().collect()]
+    if not touched:
+        return 0
+    chosen = F.col(partition_by).isin([v for v in touched if v is not None])
+    if None in touched:
+        chosen = chosen | F.col(partition_by).isNull()
+    counted = Observation()
+    rows = updated(table.where(chosen), where, values, counted).select(*table.columns)
+    writer = _laid_out(rows, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+    return observed_rows(counted)
+
+
+def drop_versions(spark: SparkSession, name: str, folder: str) -> int:
+    """Delete the versions that ``update_table`` left below ``folder`` and the table no longer points to; return how many.
+
+    For times at which no query reads them.
+    """
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    current = rows[0].data_type.rstrip("/").rsplit("/", 1)[-1]
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = files.Path(folder)
+    store = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in store.listStatus(root) if s.isDirectory()]
+    old = [n for n in names if n.startswith("version-") and n != current]
+    for version in old:
+        store.delete(files.Path(root, version), True)
+    return len(old)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Store a catalog table in hash buckets of ``key``, sorted within each, and return it.
+
+    Joins and groupings by that key find its rows together, so the table is not shuffled again. Each bucket is one file,
+    so their number should grow with the table, and be the same for tables that are joined with each other.
+    """
+    laid_out = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    laid_out.option("path", path).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)

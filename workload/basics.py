@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from viewtide.operators import (
 )
 from viewtide.plans.dimensions import channel_dimension as channel_dimension_plan
 from viewtide.plans.dimensions import time_dimension_of
+from viewtide.session import scratch_path
+from viewtide.sources import writers
 from viewtide.sources.readers import run_sql
 from workload import views
 from workload.registry import query, with_views
@@ -382,16 +385,17 @@ def latest_lookup(spark, folder):
     return joined.select("video_id", "title", "sub_count")
 
 
-@query(
-    with_views(
-        ["video", "video_log", "channel", "last_channel"],
-        """SELECT l.video_id, v.channel_id, strftime(l.created_date, '%Y-%m-%d') AS created_date,
-             l.view_count, v.video_type, c.name, s.sub_count
-           FROM video_log l JOIN video v USING (video_id)
-           LEFT JOIN channel c ON v.channel_id = c.channel_id
-           LEFT JOIN last_channel s ON v.channel_id = s.channel_id""",
-    )
+STAR = with_views(
+    ["video", "video_log", "channel", "last_channel"],
+    """SELECT l.video_id, v.channel_id, strftime(l.created_date, '%Y-%m-%d') AS created_date,
+         l.view_count, v.video_type, c.name, s.sub_count
+       FROM video_log l JOIN video v USING (video_id)
+       LEFT JOIN channel c ON v.channel_id = c.channel_id
+       LEFT JOIN last_channel s ON v.channel_id = s.channel_id""",
 )
+
+
+@query(STAR)
 def star_join(spark, folder):
     joined = joins.star(
         views.video(spark, folder),
@@ -404,6 +408,15 @@ def star_join(spark, folder):
     )
 
 
+@query(STAR)
+def star_join_bucketed(spark, folder):
+    """The same from a log stored in buckets, which is not shuffled."""
+    name = f"video_log_{uuid.uuid4().hex}"
+    log = writers.write_bucketed(views.video_log(spark, folder), name, scratch_path(spark, name), "video_id", 8)
+    joined = joins.star(views.video(spark, folder), log, views.channel(spark, folder), views.channel_log(spark, folder))
+    return joined.select("video_id", "channel_id", "created_date", "view_count", "video_type", "name", "sub_count")
+
+
 @query(
     with_views(
         ["video", "video_log", "channel_log"],

@@ -20,8 +20,8 @@ from viewtide.plans import (
     view_sub_ratio as view_sub,
 )
 from viewtide.plans.extract import extract
-from viewtide.session import scratch_path
-from viewtide.sources import readers, writers
+from viewtide.session import scratch_path, settled
+from viewtide.sources import readers, records, writers
 from viewtide.streaming import snapshots
 from workload import views
 from workload.basics import CHECKPOINTS
@@ -39,34 +39,48 @@ WEEKLY = ", ".join(
 )
 
 
-@query(
-    with_views(
-        ["channel_log"],
-        """SELECT *, rank() OVER (ORDER BY monthly_sub_delta DESC) AS sub_ranking,
-             rank() OVER (ORDER BY monthly_view_delta DESC) AS view_ranking
-           FROM weekly JOIN totals USING (channel_id)""",
-        deltas=f"""SELECT channel_id, row_number() OVER w AS week_num,
-              lead(sub_count) OVER w - sub_count AS sub_delta,
-              lead(view_count) OVER w - view_count AS view_delta,
-              lead(video_count) OVER w - video_count AS video_delta
-            FROM channel_log WHERE created_date IN {CHECKPOINTS}
-            WINDOW w AS (PARTITION BY channel_id ORDER BY created_date)""",
-        weekly=f"SELECT channel_id, {WEEKLY} FROM deltas WHERE week_num <> 5 GROUP BY 1",
-        totals="""SELECT channel_id,
-              arg_max(sub_count, created_date) - arg_min(sub_count, created_date)
-                AS monthly_sub_delta,
-              arg_max(view_count, created_date) - arg_min(view_count, created_date)
-                AS monthly_view_delta,
-              arg_max(video_count, created_date) - arg_min(video_count, created_date)
-                AS monthly_video_delta
-            FROM channel_log
-            WHERE created_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY 1""",
-    )
-)
+MONTHLY = with_views(
+    ["channel_log"],
+    """SELECT *, rank() OVER (ORDER BY monthly_sub_delta DESC) AS sub_ranking,
+         rank() OVER (ORDER BY monthly_view_delta DESC) AS view_ranking
+       FROM weekly JOIN totals USING (channel_id)""",
+    deltas=f"""SELECT channel_id, row_number() OVER w AS week_num,
+          lead(sub_count) OVER w - sub_count AS sub_delta,
+          lead(view_count) OVER w - view_count AS view_delta,
+          lead(video_count) OVER w - video_count AS video_delta
+        FROM channel_log WHERE created_date IN {CHECKPOINTS}
+        WINDOW w AS (PARTITION BY channel_id ORDER BY created_date)""",
+    weekly=f"SELECT channel_id, {WEEKLY} FROM deltas WHERE week_num <> 5 GROUP BY 1",
+    totals="""SELECT channel_id,
+          arg_max(sub_count, created_date) - arg_min(sub_count, created_date)
+            AS monthly_sub_delta,
+          arg_max(view_count, created_date) - arg_min(view_count, created_date)
+            AS monthly_view_delta,
+          arg_max(video_count, created_date) - arg_min(video_count, created_date)
+            AS monthly_video_delta
+        FROM channel_log
+        WHERE created_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' GROUP BY 1""",
+)
+
+
+@query(MONTHLY)
 def monthly_channel_fact(spark, folder):
     return monthly.monthly_channel_fact(views.channel_log(spark, folder), AS_OF)
 
 
+@query(MONTHLY)
+def monthly_fact_refresh(spark, folder):
+    """A third of the month at a time, the second one twice."""
+    log = views.channel_log(spark, folder)
+    day = F.dayofmonth("created_date")
+    parts = [log.where(day <= 10), log.where(day.between(11, 20)), log.where(day.between(11, 20)), log.where(day > 20)]
+    held = None
+    for part in parts:
+        new = monthly.month_partials(part)
+        held = settled(new if held is None else monthly.merged_partials(held, new))
+    return monthly.ranked(monthly.growth_of(held, AS_OF))
+
+
 SNAPSHOTS = 30
 PIVOT = ", ".join(
     f"""max(CASE WHEN n = {n} THEN strftime(created_date, '%Y-%m-%d') END) AS "{n}_date",
@@ -393,6 +407,22 @@ def register_channels(spark, folder):
     return found.select("channel_id", "name", "topic", "country")
 
 
+@query(
+    """SELECT 'read' AS kind, count(*) AS documents FROM customer WHERE c_custkey % 5 <> 0
+       UNION ALL SELECT 'kept', count(*) FROM customer WHERE c_custkey % 5 = 0"""
+)
+def rejected_documents(spark, folder):
+    """Every fifth document is cut short. The daily run stores it."""
+    path = scratch_path(spark, "daily")
+    documents = views.channel_documents(spark, folder)
+    number = F.substring("channel_id", 3, 22).cast("long")
+    body = F.when(number % 5 == 0, F.substring("body", 1, 40)).otherwise(F.col("body"))
+    read = daily.append_channel_counters(documents.withColumn("body", body), AS_OF, f"{path}/log", f"{path}/rejected")
+    kept = spark.read.parquet(f"{path}/rejected").groupBy().agg(F.count("*").alias("documents"))
+    counts = spark.createDataFrame([("read", read)], "kind string, documents long")
+    return counts.unionByName(kept.select(F.lit("kept").alias("kind"), "documents"))
+
+
 # --- pages ---------------------------------------------------------------
 
 
@@ -454,6 +484,14 @@ def html_next_token(spark, folder):
     return views.listing_pages(spark, folder).select(*keys, pages.page_token().alias("token"))
 
 
+@query(with_views(["video"], "SELECT * FROM listed", listed=LISTED))
+def listing_linked(spark, folder):
+    """Pages without numbers, which say by which token they were asked for."""
+    pages_ = views.listing_pages(spark, folder)
+    asked = pages_.withColumn("requested", F.when(F.col("page_no") > 0, "next")).drop("page_no")
+    return pages.listing(pages.linked(asked.repartition(5)), limit=3)
+
+
 # --- sinks and updates ---------------------------------------------------
 
 
@@ -489,6 +527,25 @@ def csv_roundtrip(spark, folder):
     return back.select("doc_id", F.md5("text").alias("digest"), "lang", "source", "n_chars")
 
 
+@query(
+    """SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey END AS number, CASE WHEN c_custkey % 7 <> 0 THEN c_name END AS name,
+         CASE WHEN c_custkey % 7 = 0 THEN 'x' || c_custkey || ',"' || c_name || '
+,"' END AS bad FROM customer""",
+    nullable=("number",),
+)
+def csv_rejected(spark, folder):
+    """Rows that fit beside the text of those that do not, with line feeds in fields."""
+    path = scratch_path(spark, "csv")
+    number = F.col("c_custkey").cast("string")
+    number = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("x"), number)).otherwise(number)
+    name = F.concat("c_name", F.lit("\n,"))
+    writers.write_csv(table(spark, folder, "customer").select(number.alias("number"), name.alias("name")), path)
+    found = records.read_csv_records(spark, path, "number long, name string", rejected="bad")
+    good, bad = records.sorted_out(found, "bad")
+    good = good.select("number", F.regexp_replace("name", "\n,", "").alias("name"), F.lit(None).cast("string").alias("bad"))
+    return good.unionByName(bad.selectExpr("cast(null AS bigint) AS number", "cast(null AS string) AS name", "bad"))
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def csv_infer(spark, folder):
     path = scratch_path(spark, "csv")
@@ -568,6 +625,40 @@ def expire_active(spark, folder):
     return spark.table(name)
 
 
+@query(
+    with_views(
+        ["video"],
+        """SELECT video_id, strftime(published_date, '%Y-%m-%d') AS published_date,
+             active AND published_date >= DATE '2024-01-16' AS active FROM video""",
+    )
+)
+def expire_partitioned(spark, folder):
+    path = scratch_path(spark, "video")
+    video = views.video(spark, folder).select("video_id", "published_date", "active")
+    writers.write_table(video, path, "published_date")
+    daily.expire_partitioned(spark, path, AS_OF)
+    return readers.read_parquet(spark, path).select("video_id", "published_date", "active")
+
+
+@query(
+    with_views(
+        ["video"],
+        "SELECT run, count(*) AS videos FROM listed, (VALUES (1), (2)) AS t(run) WHERE run = 1 GROUP BY 1"
+        " UNION ALL SELECT 2, 0",
+        listed=LISTED,
+    )
+)
+def daily_crawl(spark, folder):
+    """Two rounds over the same listings: the second one finds nothing new."""
+    path = scratch_path(spark, "stored")
+    spark.createDataFrame([], schema.VIDEO).write.parquet(path)
+    channel = views.video(spark, folder).select("channel_id").distinct()
+    name, versions = _stored(spark, "channel", channel.withColumn("active", F.lit(False)))
+    listed, documents = views.listing_pages(spark, folder), views.video_documents(spark, folder)
+    counts = [daily.crawl(spark, name, versions, listed, documents, path, limit=3) for _ in range(2)]
+    return spark.createDataFrame(list(enumerate(counts, 1)), "run int, videos long")
+
+
 @query(
     """SELECT o_custkey AS channel_id, false AS active FROM orders GROUP BY 1
        UNION ALL SELECT c_custkey, true FROM customer
