@@ -166,9 +166,10 @@ def disclosing(rows: DataFrame, texts: DataFrame, support: float = SUPPORT, remo
     firsts = settled(known.groupBy("digest").agg(F.min("key").alias("first")))
     number = firsts.count()
     copies = settled(known.join(firsts, "digest").where("key <> first").select("key"))
-    wanted = settled(pairs.select("term").distinct())
     words = texts.join(copies, "key", "left_anti").select(F.explode(_words("text")).alias("term"))
-    terms = words.join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("with_term"))
+    # Words are counted before they meet the pairs. A semi join would be moved below the count, and shuffle each word of each
+    # text once the pairs are too many to broadcast.
+    terms = words.groupBy("term").agg(F.count("*").alias("with_term"))
 
     reveals = F.log2(F.lit(number) * F.col("with_both") / (F.col("with_term") * F.col("with_value")))
     # A value of all documents has no information.
@@ -232,8 +233,10 @@ def masked(df: DataFrame) -> DataFrame:
     df = stored(df)
     # Spans are found twice, once to learn the terms and once beside the whole rows, which are not copied in between.
     texts = _keyed_texts(df)
-    spotted = found(texts)
-    rows = _with_terms(spotted, spotted, texts.select("key", "text"))
+    rows = found(texts)
+    # Stored before it is filtered, as a filter by spans would find them once more.
+    spotted = settled(rows.select("key", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")))
+    rows = _with_terms(rows, spotted, texts.select("key", "text"))
     # Spans that begin after all earlier ones have ended give a piece of text and a name; others only move the end.
     rows = rows.withColumn("text", F.col("row.text")).withColumn(
         "pieces",
