@@ -1,4 +1,7 @@
 import os
+from random import Random
+
+import pytest
 
 from viewtide.llm import language
 from viewtide.llm.base import table
@@ -13,18 +16,24 @@ def longest(text, sample, at):
     return size
 
 
-def test_phrases_against_search():
-    """Phrases of the automaton and of plain substring search are as many."""
+def written(symbols):
+    return "".join(chr(0x100 + s) for s in symbols)
+
+
+@pytest.mark.parametrize("dense", [61, 2, 0])
+def test_phrases_against_search(monkeypatch, dense):
+    """Phrases of the automaton and of plain substring search are as many, however many letters have columns of their own."""
+    monkeypatch.setattr(language, "DENSE", dense)
     model = language.Model(tuple(PIECES))
     for text in ["abba xyz", "ab  ab!!ba", "qqq", "zzyx" * 200, "a", "Abba, XYZZY? 12 q"]:
         symbols = model.symbols(text)
         counts = model.phrases([symbols])[0]
         for k, lang in enumerate(model.langs):
             joined = " ".join(t for l, t in PIECES if l == lang)
-            sample = bytes(model.symbols(joined))
+            sample = written(model.symbols(joined))
             expected = 0
             for first in range(0, len(symbols), language.SEGMENT):
-                part, at = bytes(symbols[first : first + language.SEGMENT]), 0
+                part, at = written(symbols[first : first + language.SEGMENT]), 0
                 while at < len(part):
                     at += max(1, longest(part, sample, at))
                     expected += 1
@@ -72,3 +81,40 @@ def test_held_out_accuracy(session, folder):
     found = language.identify(documents, language.learned(documents)).join(documents.select("doc_id", "lang"), "doc_id").where("held_out")
     right = found.where("lang = lang_pred").count()
     assert right >= 0.98 * found.count()
+
+
+def made_up(random, letters, words):
+    """Texts of a made-up language: words of its own, drawn with unlike frequencies."""
+    known = ["".join(random.choices(letters, k=random.randrange(1, 7))) for _ in range(words)]
+    return lambda size: " ".join(known[min(int(random.expovariate(8 / words)), words - 1)] for _ in range(size))
+
+
+def test_many_scripts(documents):
+    """Languages of large and of several scripts are learned beside each other; none of their letters is left out."""
+    random = Random(3)
+    scripts = {
+        "cyr": [chr(c) for c in range(0x430, 0x450)],
+        "cyr2": [chr(c) for c in range(0x430, 0x450)],
+        "ell": [chr(c) for c in range(0x3B1, 0x3CA)],
+        "han": [chr(c) for c in range(0x4E00, 0x4E00 + 1500)],
+        "han2": [chr(c) for c in range(0x6E00, 0x6E00 + 1500)],
+        "lat": list("abcdefghijklmnopqrstuvwxyz"),
+    }
+    speak = {lang: made_up(random, letters, 300) for lang, letters in scripts.items()}
+    df = documents([(i, speak[lang](60), lang, "s") for i, lang in enumerate(list(speak) * 100)])
+    pieces = language.learned(df)
+    found = language.identify(df, pieces).join(df.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(found) > 100 and sum(r.lang == r.lang_pred for r in found) >= 0.98 * len(found)
+    assert language.accepted(df, pieces).count() == 600
+
+
+def test_more_languages_than_pieces(documents):
+    rows = [(i, f"{chr(0x4E00 + i)} {chr(0x5E00 + i)} {chr(0x4E00 + i)}", f"l{i}", "s") for i in range(30)]
+    pieces = language.sample(documents(rows).select("lang", "text"), chars=2000, piece=200)
+    assert {lang for lang, _ in pieces} == {f"l{i}" for i in range(30)}
+    assert [p[0] for p in language.Model(tuple(pieces)).predict([t for _, t, _, _ in rows])] == [lang for _, _, lang, _ in rows]
+
+
+def test_accepted_of_nothing(documents):
+    none = documents([]).limit(0)
+    assert language.accepted(none, []).collect() == [] and language.accepted(none, PIECES).columns == none.columns

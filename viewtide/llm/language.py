@@ -19,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from viewtide.llm.base import boxed, unboxed
+from viewtide.session import settled
 
-# The sample: so many characters in all, dealt evenly to the languages, in pieces of texts.
+# The sample: so many characters in all, dealt evenly to the languages, in pieces of texts; at least a piece of each language.
 SAMPLE_CHARS = 120_000
 PIECE_CHARS = 200
 # Parts in which a language's texts are ranked first.
 SALTS = 64
-# Different letters that are told apart.
-LETTERS = 61
+# Letters whose transitions are kept in full; those of all other letters are looked up. Results do not depend on it.
+DENSE = 61
 SEGMENT = 256
 # Symbols of texts parsed at a time.
 BLOCK = 1 << 21
@@ -39,7 +40,9 @@ UNDETERMINED = "und"
 
 
 def sample(labelled: DataFrame, chars: int = SAMPLE_CHARS, piece: int = PIECE_CHARS) -> list[tuple[str, str]]:
-    """At most ``chars // piece`` pieces (lang, text) of labelled texts, as many of each language as of others.
+    """``chars // piece`` pieces (lang, text) of labelled texts at most, as many of each language as of others.
+
+    Where there are more languages than that, each has one piece.
 
     ``labelled`` has columns lang and text; rows with a null in either, or without a letter, are passed over. The
     choice follows a hash of the text: it looks at all rows, and copies of a text count once per language.
@@ -56,8 +59,8 @@ def sample(labelled: DataFrame, chars: int = SAMPLE_CHARS, piece: int = PIECE_CH
     salted = Window.partitionBy("lang", F.pmod("digest", F.lit(SALTS))).orderBy("digest", "piece")
     first = pieces.withColumn("turn", F.row_number().over(salted)).where(F.col("turn") <= number)
     turn = Window.partitionBy("lang").orderBy("digest", "piece")
-    ranked = first.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= number)
-    chosen = ranked.orderBy("turn", "lang").limit(number)
+    ranked = settled(first.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= number))
+    chosen = ranked.orderBy("turn", "lang").limit(max(number, ranked.where("turn = 1").count()))
     return [(r.lang, r.piece) for r in chosen.collect()]
 
 
@@ -67,17 +70,17 @@ def _letters() -> np.ndarray:
     return np.array([chr(i).isalpha() for i in range(0x110000)], np.uint8) * OTHER
 
 
-def _automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a sequence: a row for each state, -1 where there is none."""
-    step, link, length = [[-1] * width], [-1], [0]
+def _automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of a sequence, for each state by symbol."""
+    step, link, length = [{}], [-1], [0]
     last = 0
     for c in symbols:
         new = len(step)
-        step.append([-1] * width)
+        step.append({})
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and step[p][c] < 0:
+        while p >= 0 and c not in step[p]:
             step[p][c] = new
             p = link[p]
         if p >= 0:
@@ -86,19 +89,58 @@ def _automaton(symbols: list[int], width: int) -> np.ndarray:
                 link[new] = q
             else:
                 copy = len(step)
-                step.append(step[q][:])
+                step.append(step[q].copy())
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and step[p][c] == q:
+                while p >= 0 and step[p].get(c) == q:
                     step[p][c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    return np.array(step, np.int32)
+    return step
+
+
+class Tables:
+    """An automaton as tables that many texts step through together.
+
+    A step gives twice the place of the next state's row, plus one if a phrase begins. Symbols below ``width`` have a column in
+    ``dense``. Others have few transitions each, which are found by ``keys`` (state times ``total`` plus symbol).
+    """
+
+    def __init__(self, step: list[dict[int, int]], width: int, total: int):
+        self.width, self.total = width, total
+        edges = np.array([(state, c, to) for state, row in enumerate(step) for c, to in row.items()], np.int64).reshape(-1, 3)
+        state, symbol, to = edges[edges[:, 1] < width].T
+        dense = np.full((len(step), width), -1, np.int64)
+        dense[state, symbol] = to
+        fresh = np.maximum(dense[0], 0)
+        goes_on = dense >= 0
+        goes_on[0] = False
+        dense = np.where(goes_on, dense, fresh) * width * 2 + ~goes_on
+        dense[:, width - 1] = 0  # past the end of a text
+        self.dense = dense.astype(np.int32 if len(step) * width < 1 << 30 else np.int64).ravel()
+        state, symbol, to = edges[edges[:, 1] >= width].T
+        order = np.lexsort((symbol, state))
+        self.keys = np.r_[(state * total + symbol)[order], np.iinfo(np.int64).max]
+        self.to = np.r_[to[order], 0]
+
+    def after(self, value: np.ndarray, symbols: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """The next values. ``rare`` are the places of ``symbols`` from ``width`` on."""
+        if not len(rare):
+            return self.dense.take((value >> 1) + symbols)
+        state = (value[rare] >> 1) // self.width
+        found = self.dense.take((value >> 1) + np.where(symbols < self.width, symbols, OTHER))
+        wanted = symbols[rare].astype(np.int64)
+        key = state.astype(np.int64) * self.total + wanted
+        place, root = np.searchsorted(self.keys, key), np.searchsorted(self.keys, wanted)
+        goes_on = (self.keys[place] == key) & (state > 0)
+        fresh = np.where(self.keys[root] == wanted, self.to[root], 0)
+        found[rare] = np.where(goes_on, self.to[place], fresh) * self.width * 2 + ~goes_on
+        return found
 
 
 class Model:
-    """Automata of the languages in a sample, as tables that many texts step through together."""
+    """Automata of the languages in a sample. Every letter of the sample is a symbol of its own."""
 
     def __init__(self, pieces: tuple[tuple[str, str], ...]):
         texts: dict[str, list[str]] = {}
@@ -106,26 +148,19 @@ class Model:
             texts.setdefault(lang, []).append(text)
         self.langs = sorted(texts)
         counts = Counter(c for _, text in pieces for c in text.lower() if c.isalpha())
-        letters = sorted(sorted(counts), key=counts.get, reverse=True)[:LETTERS]
-        self.width = len(letters) + 3
-        self.pad = self.width - 1
-        self.symbol = _letters().copy()
+        letters = sorted(sorted(counts), key=counts.get, reverse=True)
+        self.pad = min(len(letters), DENSE) + 2
+        self.width = self.pad + 1
+        self.symbol = _letters().astype(np.int32)
         for i, c in enumerate(letters):
             for variant in {c, c.upper()}:
                 if len(variant) == 1 and variant.lower() == c:
-                    self.symbol[ord(variant)] = i + 2
+                    self.symbol[ord(variant)] = i + 2 + (i >= DENSE)
         self.tables, self.bits = [], []
         for lang in self.langs:
             joined = self.symbols(" ".join(texts[lang]))
             known = joined[joined != OTHER]
-            step = _automaton(known.tolist(), self.width)
-            fresh = np.where(step[0] >= 0, step[0], 0)
-            goes_on = step >= 0
-            goes_on[0] = False
-            to = np.where(goes_on, step, fresh) * self.width
-            table = to * 2 + ~goes_on  # the last bit counts the phrase that begins
-            table[:, self.pad] = 0
-            self.tables.append(table.astype(np.int32).ravel())
+            self.tables.append(Tables(_automaton(known.tolist()), self.width, len(letters) + 3))
             self.bits.append(np.log2(len(known) + 2))
 
     def symbols(self, text: str) -> np.ndarray:
@@ -137,19 +172,20 @@ class Model:
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """The number of phrases of each text (row) in each language (column)."""
         sizes = np.array([-(-len(t) // SEGMENT) for t in texts])
-        rows = np.full((sizes.sum(), SEGMENT), self.pad, np.uint8)
+        rows = np.full((sizes.sum(), SEGMENT), self.pad, np.int32)
         flat, at = rows.ravel(), 0
         for text, size in zip(texts, sizes):
             flat[at : at + len(text)] = text
             at += size * SEGMENT
-        steps = np.ascontiguousarray(rows.T).astype(np.int32)
+        steps = np.ascontiguousarray(rows.T)
+        rare = [np.flatnonzero(symbols >= self.width) for symbols in steps]
         ends = np.r_[0, np.cumsum(sizes)]
         out = np.zeros((len(texts), len(self.langs)))
         for k, table in enumerate(self.tables):
-            value = np.zeros(len(rows), np.int32)
+            value = np.zeros(len(rows), table.dense.dtype)
             count = np.zeros(len(rows), np.int32)
-            for symbols in steps:
-                value = table.take((value >> 1) + symbols)
+            for symbols, others in zip(steps, rare):
+                value = table.after(value, symbols, others)
                 count += value & 1
             total = np.r_[0, np.cumsum(count)]
             out[:, k] = total[ends[1:]] - total[ends[:-1]]
