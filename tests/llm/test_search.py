@@ -64,11 +64,36 @@ def test_radius_covers():
     random.seed(8)
     codes = np.unique(np.array([random.getrandbits(64) for _ in range(400)] + [random.getrandbits(20) for _ in range(400)], np.uint64))
     starts = np.arange(len(codes) + 1)
-    index = multiindex.Index(codes, starts, np.arange(len(codes)))
+    index = multiindex.Index(codes[:, None], starts, np.arange(len(codes)))
     for query in [int(codes[3]), random.getrandbits(64), random.getrandbits(20), 0, (1 << 64) - 1]:
         expected = sorted((int(d), i) for i, d in enumerate(np.bitwise_count(codes ^ np.uint64(query))))
-        assert index.nearest(query, 15) == expected[:15]
-        assert index.nearest(query, 5000) == expected
+        assert index.nearest([query], 15) == expected[:15]
+        assert index.nearest([query], 5000) == expected
+
+
+@pytest.mark.parametrize("size", [63, 65, 128, 200])
+def test_all_components(session, size):
+    """Components beyond the 64th count, also beside shorter vectors."""
+    random.seed(size)
+    base = [random.choice([-1.0, 1.0]) for _ in range(size)]
+    rows = [(i, [x if random.random() < 0.9 else -x for x in base]) for i in range(300)]
+    rows += [(300, base), (350, base[:64] + [-x for x in base[64:]]), (400, [1.0, -1.0])]
+    codes = {i: sum(1 << b for b, x in enumerate(v) if x > 0) for i, v in rows}
+    found = {}
+    for r in multiindex.nearest(session.createDataFrame(rows, "vec_id long, embedding array<double>"), shard=90).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.distance))
+    for query in range(0, 401, 50):
+        pairs = sorted(((codes[query] ^ c).bit_count(), i) for i, c in codes.items() if i != query)[:10]
+        assert sorted(found[query]) == [(n + 1, i, d) for n, (d, i) in enumerate(pairs)]
+
+
+def test_many_lengths(session):
+    """Vectors are compared with those of their own length, however many lengths there are."""
+    rows = [(i, [1.0 + i // 100] * (1 + i % 100)) for i in range(300)]
+    found = {}
+    for r in hnsw.nearest(session.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, shard=100).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert found == {q: {q % 100 + 100 * n for n in range(3)} - {q} for q in range(0, 300, 50)}
 
 
 def test_empty(session):

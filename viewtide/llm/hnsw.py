@@ -20,7 +20,6 @@ from viewtide.session import settled
 LINKS = 16
 EF_BUILD, EF = 64, 96
 SHARD = 4096
-BLOCK = 512
 SEED = 42
 
 
@@ -157,7 +156,7 @@ def _indexed(rows: pa.Table) -> pa.Table:
     graph = build(vectors)
     ids = [rows["ids"][int(i)].as_py() for i in order]
     columns = {
-        "shard": pa.array([rows["shard"][0].as_py()], pa.int32()),
+        "shard": pa.array([rows["shard"][0].as_py()], pa.int64()),
         "size": pa.array([len(vectors)], pa.int32()),
         "entry": pa.array([graph.entry], pa.int32()),
         "vectors": [vectors.tobytes()],
@@ -168,24 +167,29 @@ def _indexed(rows: pa.Table) -> pa.Table:
     return pa.table(columns)
 
 
-def _searched(k: int, ef: int):
-    def answer(shard: pa.Table, block: pa.Table) -> pa.Table:
-        row = shard.to_pylist()[0]
-        exact = np.frombuffer(row["vectors"]).reshape(row["size"], -1)
+class Shard:
+    """A stored graph with the ids of its nodes."""
+
+    def __init__(self, row: dict):
+        self.exact = np.frombuffer(row["vectors"]).reshape(row["size"], -1)
         levels, links = np.frombuffer(row["levels"], np.int8), np.frombuffer(row["links"], np.int32)
-        graph = Graph(exact.astype(np.float32), levels, links, row["entry"])
-        out: list[tuple] = []
-        for query in block["queries"].to_pylist()[0]:
-            vector = np.array(query["embedding"])
-            if len(vector) != exact.shape[1]:
-                continue
-            nodes = graph.nearest(vector.astype(np.float32), max(ef, k + 1))
-            gap = exact[nodes] - vector
+        self.graph = Graph(self.exact.astype(np.float32), levels, links, row["entry"])
+        self.ids = row["ids"]
+
+
+def _searched(k: int, ef: int):
+    def answer(shard: Shard, batch: pa.RecordBatch) -> list[list]:
+        out: list[list] = [[], [], []]
+        for key, embedding in zip(batch["key"].to_pylist(), batch["embedding"]):
+            vector = np.array(embedding.as_py())
+            nodes = shard.graph.nearest(vector.astype(np.float32), max(ef, k + 1))
+            gap = shard.exact[nodes] - vector
             scores = np.sqrt((gap * gap).sum(1))
-            pairs = sorted((s, i) for s, n in zip(scores.tolist(), nodes) for i in row["ids"][n])[: k + 1]
-            out += [(query["key"], i, s) for s, i in pairs]
-        columns = list(zip(*out)) if out else [[]] * 3
-        return pa.table({"key": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
+            pairs = sorted((s, i) for s, n in zip(scores.tolist(), nodes) for i in shard.ids[n])[: k + 1]
+            for s, i in pairs:
+                for column, value in zip(out, (key, i, s)):
+                    column.append(value)
+        return out
 
     return answer
 
@@ -207,20 +211,16 @@ def nearest(df: DataFrame, every: int = 100, k: int = 10, ef: int = EF, shard: i
     queries = rows.where(F.col("vec_id") % every == 0)
     asked = settled(queries.groupBy("embedding").agg(F.min("vec_id").alias("key")))
 
-    # A shard's vectors have one length; the number of shards is that of the rows over the size of one.
-    placed, shards = dealt(nodes, F.col("embedding"), shard, "shard")
-    lengths = [r.dims for r in nodes.select("dims").distinct().orderBy("dims").limit(LENGTHS + 1).collect()]
-    if len(lengths) > LENGTHS:
-        raise ValueError(f"vectors have more than {LENGTHS} different lengths")
-    place = F.array_position(F.array(*[F.lit(n) for n in lengths or [0]]), F.col("dims")).cast("int") - 1
-    placed = placed.withColumn("shard", F.col("shard") + place * shards)
-    kind = "shard int, size int, entry int, vectors binary, levels binary, links binary, ids array<array<long>>"
+    # A shard's vectors have one length. A length's shards are numbered from the length times their number, and only queries of that
+    # length are sent there.
+    number, shards = dealt(nodes, F.col("embedding"), shard)
+    placed = nodes.withColumn("shard", F.col("dims") * F.lit(shards).cast("long") + number)
+    kind = "shard long, size int, entry int, vectors binary, levels binary, links binary, ids array<array<long>>"
     graphs = settled(placed.groupBy("shard").applyInArrow(_indexed, kind))
 
-    blocked, blocks = dealt(asked, F.col("embedding"), BLOCK, "block")
-    packed = blocked.groupBy("block").agg(F.collect_list(F.struct("key", "embedding")).alias("queries"))
-    counts = (shards * max(1, len(lengths)), blocks)
-    results = answered(graphs, packed, counts, _searched(k, ef), "key long, vec_id long, score double")
+    first_shard = F.size("embedding") * F.lit(shards).cast("long")
+    sent = asked.select("key", "embedding", F.explode(F.sequence(first_shard, first_shard + shards - 1)).alias("shard"))
+    results = answered(graphs, sent, max(1, graphs.count()), Shard, _searched(k, ef), "key long, vec_id long, score double")
     best = Window.partitionBy("key").orderBy("score", "vec_id")
     merged = results.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
     lists = merged.groupBy("key").agg(F.collect_list(F.struct("score", "vec_id")).alias("found"))
@@ -229,7 +229,3 @@ def nearest(df: DataFrame, every: int = 100, k: int = 10, ef: int = EF, shard: i
     own = "slice(filter(array_sort(found), f -> f.vec_id <> query_id), 1, %d)" % k
     ranked = asking.join(lists, "key").select("query_id", F.posexplode(F.expr(own)).alias("rank", "f"))
     return ranked.select("query_id", (F.col("rank") + 1).alias("rank"), "f.vec_id", "f.score")
-
-
-# Different vector lengths in one table.
-LENGTHS = 64

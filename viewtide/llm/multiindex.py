@@ -1,9 +1,9 @@
 """Exact nearest binary codes by multi-index hashing.
 
-A 64-bit code has four segments of 16 bits; each has a table from its value to the codes. A query's segments are probed with
-values at growing distance: after radius r in the first a + 1 segments and r - 1 in the others, every code within 4r + a bits has
-been met, since one that was not differs in more bits in each segment. The search ends as soon as the k-th verified
-distance is covered, so the result is exact, ties included.
+A code has a bit for each component of the longest vector, in 64-bit words of four segments with 16 bits each. Each of the S
+segments has a table from its value to the codes. A query's segments are probed with values at growing distance: after radius r
+in the first a + 1 segments and r - 1 in the others, every code within S * r + a bits has been met, since one that was not differs in
+more bits in each segment. The search ends as soon as the k-th verified distance is covered, so the result is exact, ties included.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ from viewtide.llm.hnsw import usable
 from viewtide.llm.search import answered, dealt
 from viewtide.session import settled
 
+# Segments of a word.
 SEGMENTS, BITS = 4, 16
 SHARD = 1 << 17
-BLOCK = 128
 
 
-def sign_code(vector: str = "embedding") -> Column:
-    """64 bits: bit i is set if component i (from 0) is above zero. Further components are left out, missing ones are not set."""
-    bits = f"zip_with(slice({vector}, 1, 64), sequence(0, 63), (x, i) -> if(coalesce(x > 0, false), shiftleft(1L, i), 0L))"
-    return F.expr(f"aggregate({bits}, 0L, (a, b) -> a | b)")
+def sign_code(words: int, vector: str = "embedding") -> Column:
+    """Bits in ``words`` longs: bit i is set if component i (from 0) is above zero. Components that are missing are not set."""
+    bits = f"zip_with(slice({vector}, 64 * w + 1, 64), sequence(0, 63), (x, i) -> if(coalesce(x > 0, false), shiftleft(1L, i), 0L))"
+    return F.expr(f"transform(sequence(0, {words - 1}), w -> aggregate({bits}, 0L, (a, b) -> a | b))")
 
 
 @lru_cache(maxsize=1)
@@ -38,28 +38,31 @@ def _masks() -> list[np.ndarray]:
 
 
 class Index:
-    """Tables of the segments of distinct codes, each code with some ids."""
+    """Tables of the segments of distinct codes (rows of words), each code with some ids."""
 
     def __init__(self, codes: np.ndarray, starts: np.ndarray, ids: np.ndarray):
         self.codes, self.starts, self.ids = codes, starts, ids
         self.sizes = np.diff(starts)
         self.tables = []
-        for s in range(SEGMENTS):
-            values = (codes >> np.uint64(s * BITS)).astype(np.uint32) & np.uint32((1 << BITS) - 1)
-            order = np.argsort(values, kind="stable")
-            places = np.searchsorted(values[order], np.arange((1 << BITS) + 1))
-            self.tables.append((order, places))
-
-    def nearest(self, code: int, k: int) -> list[tuple[int, int]]:
+        for word in codes.T:
+            for s in range(SEGMENTS):
+                values = (word >> np.uint64(s * BITS)).astype(np.uint32) & np.uint32((1 << BITS) - 1)
+                order = np.argsort(values, kind="stable")
+                places = np.searchsorted(values[order], np.arange((1 << BITS) + 1))
+                self.tables.append((order, places))
+
+    def nearest(self, code: list[int], k: int) -> list[tuple[int, int]]:
         """The ``k`` nearest ids as (distance, id), or all if there are fewer."""
+        most = 64 * len(code)
         seen = np.zeros(len(self.codes), bool)
-        met = [0] * (64 + 1)  # ids by distance
+        met = [0] * (most + 1)  # ids by distance
         nodes, distances = [], []
-        query = np.uint64(code)
-        kth = 64
+        query = np.array(code, np.uint64)
+        parts = [(w >> s * BITS) & ((1 << BITS) - 1) for w in code for s in range(SEGMENTS)]
+        kth = most
         for radius, masks in enumerate(_masks()):
             for s, (order, places) in enumerate(self.tables):
-                values = masks ^ np.uint32((code >> s * BITS) & ((1 << BITS) - 1))
+                values = masks ^ np.uint32(parts[s])
                 first, count = places[values], places[values + 1] - places[values]
                 first, count = first[count > 0], count[count > 0]
                 if len(first):
@@ -67,14 +70,14 @@ class Index:
                     found = order[np.repeat(first, count) + inside]
                     found = found[~seen[found]]
                     seen[found] = True
-                    apart = np.bitwise_count(self.codes[found] ^ query)
+                    apart = np.bitwise_count(self.codes[found] ^ query).sum(1, dtype=np.int64)
                     nodes.append(found)
                     distances.append(apart)
                     for d, n in enumerate(np.bincount(apart, self.sizes[found]).astype(int).tolist()):
                         met[d] += n
                     total = np.cumsum(met)
-                    kth = int(np.argmax(total >= k)) if total[-1] >= k else 64
-                if SEGMENTS * radius + s >= kth:
+                    kth = int(np.argmax(total >= k)) if total[-1] >= k else most
+                if len(self.tables) * radius + s >= kth:
                     break
             else:
                 continue
@@ -85,23 +88,41 @@ class Index:
         return sorted(pairs)[:k]
 
 
+def _words(codes: pa.Array) -> np.ndarray:
+    """Codes as rows of words."""
+    if isinstance(codes, pa.ChunkedArray):
+        codes = codes.combine_chunks()
+    return codes.flatten().to_numpy().reshape(len(codes), -1).view(np.uint64)
+
+
 def _packed(rows: pa.Table) -> pa.Table:
     """One row with the codes and ids of a shard."""
-    code, ids = rows["code"].to_numpy(), rows["vec_id"].to_numpy()
-    order = np.lexsort((ids, code))
+    code, ids = _words(rows["code"]), rows["vec_id"].to_numpy()
+    order = np.lexsort((ids, *code.T))
     code, ids = code[order], ids[order]
-    codes, starts = np.unique(code, return_index=True)
-    starts = np.r_[starts, len(code)].astype(np.int64)
-    return pa.table({"shard": pa.array([rows["shard"][0].as_py()], pa.int32()), "codes": [codes.tobytes()], "starts": [starts.tobytes()], "ids": [ids.tobytes()]})
+    new = np.r_[True, (code[1:] != code[:-1]).any(1)]
+    starts = np.r_[np.flatnonzero(new), len(code)].astype(np.int64)
+    codes = np.ascontiguousarray(code[new])
+    return pa.table({"shard": pa.array([rows["shard"][0].as_py()], pa.int64()), "codes": [codes.tobytes()], "starts": [starts.tobytes()], "ids": [ids.tobytes()]})
+
+
+def _index(words: int):
+    def load(row: dict) -> Index:
+        codes, starts, ids = (np.frombuffer(row[c], np.int64) for c in ("codes", "starts", "ids"))
+        return Index(codes.view(np.uint64).reshape(-1, words), starts, ids)
+
+    return load
 
 
 def _searched(k: int):
-    def answer(shard: pa.Table, block: pa.Table) -> pa.Table:
-        parts = {c: np.frombuffer(shard[c][0].as_py(), np.int64) for c in ("codes", "starts", "ids")}
-        index = Index(parts["codes"].view(np.uint64), parts["starts"], parts["ids"])
-        out = [(code, i, d) for code in block["queries"][0].as_py() for d, i in index.nearest(code & ((1 << 64) - 1), k + 1)]
-        columns = list(zip(*out)) if out else [[]] * 3
-        return pa.table({"code": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "distance": pa.array(columns[2], pa.int32())})
+    def answer(index: Index, batch: pa.RecordBatch) -> list[list]:
+        out: list[list] = [[], [], []]
+        keys = batch["key"].to_pylist()
+        for key, code in zip(keys, _words(batch["query"]).tolist()):
+            for d, i in index.nearest(code, k + 1):
+                for column, value in zip(out, (key, i, d)):
+                    column.append(value)
+        return out
 
     return answer
 
@@ -110,28 +131,30 @@ def nearest(df: DataFrame, every: int = 50, k: int = 10, shard: int = SHARD) ->
     """The ``k`` rows with the fewest differing bits for each row of ``df`` (vec_id, embedding) whose id ``every`` divides.
 
     query_id, rank (from 1), vec_id, distance; nearest first, ties to the smaller vec_id, never the query's own id, fewer than ``k``
-    where there are no more. Exact. Rows without an id, and vectors that are null, empty, zero or not finite, take no part.
+    where there are no more. Exact; all components count, those a shorter vector lacks as not above zero. Rows without an id, and vectors that are null, empty, zero or not finite, take no part.
     Repeated rows count once. Columns besides the two are not looked at. An empty table gives an empty result.
     """
-    rows = settled(usable(df).select("vec_id", sign_code().alias("code")).distinct())
+    vectors = settled(usable(df))
+    size = vectors.agg(F.max(F.size("embedding"))).first()[0] or 1
+    words = -(-size // 64)
+    rows = settled(vectors.select("vec_id", sign_code(words).alias("code")).distinct())
     # Of equal codes the k + 1 smallest ids are enough, as one may be the query's own.
     first = Window.partitionBy("code").orderBy("vec_id")
     few = settled(rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1).drop("place"))
     queries = rows.where(F.col("vec_id") % every == 0)
 
-    codes = few.select("code").distinct()
-    _, shards = dealt(codes, F.col("code"), shard, "shard")
-    placed = few.withColumn("shard", F.pmod(F.xxhash64("code"), F.lit(shards)).cast("int"))
-    packed = placed.groupBy("shard").applyInArrow(_packed, "shard int, codes binary, starts binary, ids binary")
-    blocked, blocks = dealt(queries.select("code").distinct(), F.col("code"), BLOCK, "block")
-    asked = blocked.groupBy("block").agg(F.collect_list("code").alias("queries"))
-    results = answered(packed, asked, (shards, blocks), _searched(k), "code long, vec_id long, distance int")
+    number, shards = dealt(few.select("code").distinct(), F.col("code"), shard)
+    packed = few.withColumn("shard", number).groupBy("shard").applyInArrow(_packed, "shard long, codes binary, starts binary, ids binary")
+    # Queries of one code are answered once, under the smallest of their ids.
+    asked = settled(queries.groupBy("code").agg(F.min("vec_id").alias("key")))
+    sent = asked.select("key", F.col("code").alias("query"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
+    results = answered(packed, sent, shards, _index(words), _searched(k), "key long, vec_id long, distance int")
 
-    best = Window.partitionBy("code").orderBy("distance", "vec_id")
+    best = Window.partitionBy("key").orderBy("distance", "vec_id")
     merged = results.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
-    lists = merged.groupBy("code").agg(F.collect_list(F.struct("distance", "vec_id")).alias("found"))
+    lists = merged.groupBy("key").agg(F.collect_list(F.struct("distance", "vec_id")).alias("found"))
     own = "slice(filter(array_sort(found), f -> f.vec_id <> query_id), 1, %d)" % k
-    asking = queries.select(F.col("vec_id").alias("query_id"), "code").join(lists, "code")
+    asking = queries.select(F.col("vec_id").alias("query_id"), "code").join(asked, "code").join(lists, "key")
     ranked = asking.select("query_id", F.posexplode(F.expr(own)).alias("rank", "f"))
     return ranked.select("query_id", (F.col("rank") + 1).alias("rank"), "f.vec_id", "f.distance")
 
