@@ -72,3 +72,30 @@ def test_rows(session):
     found = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in pages.main_texts(df).collect())
     assert found == [(0, "v", "", 0), (1, "u", "é", 1), (1, "u", "é", 1), (2, "", "", 0)]
     assert pages.main_texts(df.limit(0)).collect() == []
+
+
+def test_boilerplate_that_outweighs_the_body():
+    """However long comments, notices, adverts and forms are, the body alone is returned."""
+    prose = "A long sentence, with commas, that goes on; and on. "
+    own = f"<p>{prose}</p><p>{prose * 2}</p>"
+    whole = "\n".join([prose.strip(), (prose * 2).strip()])
+    for count in (3, 40, 400):
+        long = "".join(f"<div><p>{prose * 3}</p></div>" for _ in range(count))
+        for extra in (
+            f'<div class="comments">{long}</div>',
+            f'<section id="comments"><article><header>A reader</header>{long}</article><nav><a href="/2">Older</a></nav></section>',
+            f'<div class="cookie-notice">{long}</div>',
+            f'<div class="ad">{long}</div>',
+            f"<form>{long}</form>",
+        ):
+            for page in (f"<article>{own}</article>{extra}", f"<article>{own}{extra}</article>", f"<div>{own}</div>{extra}", f"{extra}<main>{own}</main>"):
+                assert pages.main_text(f"<body>{page}</body>") == whole, page[:200]
+            assert pages.main_text(f"<body>{extra}</body>") == ""
+
+
+def test_linked_paragraphs():
+    """Links lower a path's score; they take no paragraph out of an article, and lists of links go."""
+    prose = "A long sentence, with commas, that goes on; and on. "
+    menu = "".join(f'<li><a href="/{i}">Place number {i}</a></li>' for i in range(15))
+    html = f'<body><ul>{menu}</ul><article><h1>Title</h1><p>{prose}</p><p><a href="/">{prose}</a></p><ul><li><a href="/x">one</a></li><li>two</li></ul></article><div><ul>{menu}</ul></div></body>'
+    assert pages.main_text(html) == "\n".join(["Title", prose.strip(), prose.strip(), "one", "two"])

@@ -3,12 +3,13 @@
 The blocks of a page (its leaves of text) are grouped by tag path, the tags from the root down to the block. Paths of
 content hold much text and punctuation per block, paths of boilerplate hold little, and much of it in links. For each path
 
-    text ratio = characters outside links per block,    punctuation ratio = punctuation marks per block
+    text ratio = characters per block, those in links for little,    punctuation ratio = punctuation marks per block
 
 are fused by the product of their logarithms, spread over the page in block order and smoothed, so that a path gains from
 neighbours that are content. The score is the mean of both values, weighted by what the path says of itself (``article``
 speaks for content, ``class="ad"`` against). Blocks above a threshold taken from the page's own scores are content; headings go
-with the content they head. Only hidden text and text whose nearest sectioning element speaks against it (``nav``) are left out before.
+with the content they head. An element with the main heading or the main part of the page is around the page, whatever its
+class says; how much text it holds is not asked. Only hidden text and text whose nearest sectioning element speaks against it (``nav``) are left out before.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ BOILERPLATE = frozenset("nav header footer aside form button select option menu
 CONTENT = frozenset("article main".split())
 # The nearest of these around a block can rule it out.
 SECTIONS = BOILERPLATE | CONTENT | {"section"}
+# A form with one of these is around the page, not a part of it.
+PAGE_PARTS = frozenset("article aside footer header nav".split())
 # The whole page, whatever their classes say.
 PAGE = frozenset("html body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
@@ -64,14 +67,12 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|itemprop|aria-hidden)(?:\
 
 # Weight of a path that speaks for content; one that speaks against it has the inverse.
 TRUST = 8.0
-# Share of the page's text from which an element is no boilerplate for its class, or for being a form.
-MOST = 0.5
 # What an element says that is not shown.
 HIDDEN = -2
 # Share of the page's mean score that content reaches.
 THRESHOLD = 0.5
-# Share of a block's characters in links from which it is no content.
-LINKED = 0.6
+# Share of a character that one in a link lacks.
+LINKED = 0.9
 KERNEL = np.exp(-np.arange(-2, 3) ** 2 / 2)
 KERNEL /= KERNEL.sum()
 
@@ -142,21 +143,23 @@ def _cue(name: str, attributes: str) -> int:
 class Part:
     """An element that says something of its text, or a sectioning one."""
 
-    __slots__ = ("name", "cue", "around", "size", "section", "weight", "out")
+    __slots__ = ("name", "cue", "around", "wraps", "section", "weight", "out")
 
     def __init__(self, name: str, cue: int, around: Part | None):
-        self.name, self.cue, self.around, self.size = name, cue, around, 0
+        self.name, self.cue, self.around, self.wraps = name, cue, around, False
         # The nearest sectioning element, this one or around it.
         self.section = name if name in SECTIONS else around.section if around else ""
         if name == "header" and cue == -1 and around and around.section in ("article", "main", "section"):
             self.cue = 0  # it heads that part, not the page
             self.section = around.section
 
-    def weigh(self, total: int) -> None:
-        """Set ``weight``, and ``out`` if the text is ruled out. ``total`` is the size of the page's text."""
+    def weigh(self) -> None:
+        """Set ``weight``, and ``out`` if the text is ruled out."""
         cue = self.cue
-        if cue == -1 and (self.name == "form" or self.name not in BOILERPLATE) and self.size > MOST * total:
+        if cue == -1 and self.wraps and (self.name == "form" or self.name not in BOILERPLATE):
             cue = 1 if self.name in CONTENT else 0
+        if self.name == "article" and cue == 1 and not self.wraps and self.around and self.around.weight < 1:
+            cue = -1  # a comment or a teaser
         weight = self.around.weight if self.around else 1.0
         # Against holds also inside of content; content inside of boilerplate has no weight.
         self.weight = 1 / TRUST if cue < 0 else min(TRUST * weight, TRUST) if cue > 0 else weight
@@ -198,8 +201,6 @@ def blocks(html: str) -> list[Block]:
         if text:
             names = [n for n, _ in stack if n in BLOCKS]
             part = stack[-1][1] if stack else None
-            if part:
-                part.size += len(text)
             out.append(Block("/".join(names), part, bool(names) and names[-1] in HEADINGS, text, linked))
         parts.clear()
         linked = 0
@@ -236,6 +237,15 @@ def blocks(html: str) -> list[Block]:
                 if not (attributes.rstrip().endswith("/") and name in RAW):
                     part = stack[-1][1] if stack else None
                     cue = 0 if name in PAGE else _cue(name, attributes)
+                    around = part
+                    if name == "h1" or cue == 1 and name != "article":
+                        while around and not around.wraps:
+                            around.wraps, around = True, around.around
+                    elif name in PAGE_PARTS:
+                        while around and around.name != "form":
+                            around = around.around
+                        if around:
+                            around.wraps = True
                     if cue or name in SECTIONS:
                         part = Part(name, cue, part)
                         made.append(part)
@@ -248,12 +258,8 @@ def blocks(html: str) -> list[Block]:
                     del stack[depth:]
                     break
     end()
-    for part in reversed(made):
-        if part.around:
-            part.around.size += part.size
-    total = sum(len(b.text) for b in out)
     for part in made:
-        part.weigh(total)
+        part.weigh()
     return out
 
 
@@ -267,22 +273,23 @@ def content(found: list[Block]) -> list[Block]:
     """The blocks of the main text."""
     # What is ruled out has no part in the ratios either.
     rest = [b for b in found if not b.out]
-    sized = [(len(b.text), b.linked) for b in rest]
-    rest = [b for b, (size, linked) in zip(rest, sized) if linked < LINKED * size or b.heading]
     if not rest:
         return []
     paths: dict[tuple[str, float], list[Block]] = defaultdict(list)
     for block in rest:
         paths[block.path, block.weight].append(block)
-    text = {p: sum(max(len(b.text) - b.linked, 0) for b in bs) / len(bs) for p, bs in paths.items()}
+    size = {id(b): max(len(b.text) - LINKED * b.linked, 0) for b in rest}
+    text = {p: sum(size[id(b)] for b in bs) / len(bs) for p, bs in paths.items()}
     marks = {p: sum(len(MARKS.findall(b.text)) for b in bs) / len(bs) for p, bs in paths.items()}
     weight = np.array([b.weight for b in rest])
     own = np.array([np.log1p(text[b.path, b.weight]) * np.log1p(1 + marks[b.path, b.weight]) for b in rest])
     fused = np.sqrt(own * _smooth(own))
     # Marks for content weigh in the score, not in the threshold, so that a small marked part does not hide a body beside it.
-    # What speaks against itself has as much less say in the mean.
-    against = np.minimum(weight, 1)
-    chosen = fused * weight >= THRESHOLD * np.average(fused * against, weights=against * [len(b.text) for b in rest])
+    # What speaks against itself has no say in the mean, so that it does not grow into content by its length.
+    say = (weight >= 1) * np.array([size[id(b)] for b in rest])
+    if not say.any():
+        return []
+    chosen = fused * weight >= THRESHOLD * np.average(fused, weights=say)
     # A heading is content if what follows it up to the next heading is, or if it is marked and scores as content itself.
     follows = False
     for i in range(len(rest) - 1, -1, -1):
