@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pyarrow as pa
+import pytest
 
 from viewtide.llm import suffixes
 
@@ -78,10 +79,40 @@ def test_batches():
     shared = words(80)
     batch = pa.RecordBatch.from_pylist([{"number": i, "text": " ".join(words(10) + shared + words(10)).encode(), "places": [20]} for i in range(9)])
     rows = pa.Table.from_batches(suffixes._sides(iter([batch]))).combine_chunks().to_batches()[0]
-    expected = list(suffixes._compared(iter([rows])))
-    single = list(suffixes._compared(rows.slice(i, 1) for i in range(9)))
-    flat = lambda out: sorted(str(r) for b in out for r in b.to_pylist() if r["own"] is None)
-    assert flat(single) == flat(expected) and len(flat(single)) >= 16
+    for order in suffixes.ORDERS:
+        run = suffixes._compared(order)
+        expected = list(run(iter([rows])))
+        single = list(run(rows.slice(i, 1) for i in range(9)))
+        flat = lambda out: sorted(str(r) for b in out for r in b.to_pylist() if r["own"] is None)
+        assert flat(single) == flat(expected) and len(flat(single)) >= 16
+
+
+@pytest.mark.parametrize("partitions", [3, 37])
+def test_common_stems(session, documents, partitions):
+    """Pairs that share just enough are found among many texts that share only one side of it."""
+    random.seed(4)
+    rows, stem = [], words(17)
+    for _ in range(20):
+        left, right = words(16), words(17)
+        pair = [words(9) + left + stem + right + words(9) for _ in range(2)]
+        lefts = [words(9) + left + stem + words(30) for _ in range(6)]
+        rights = [words(30) + stem + right + words(9) for _ in range(6)]
+        rows += [" ".join(t) for t in pair + lefts + rights]
+    # Different cut points of one source, and a text that has the stem many times.
+    source = words(90)
+    for _ in range(60):
+        cut = random.randrange(45)
+        rows.append(" ".join(words(12) + source[cut : cut + random.randrange(44, 56)] + words(12)))
+    rows.append(" ".join(w for _ in range(40) for w in words(20) + stem))
+    rows = list(enumerate(rows))
+    before = session.conf.get("spark.sql.shuffle.partitions")
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = suffixes.repeats(documents([(i, t, None, None) for i, t in rows])).collect()
+    finally:
+        session.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in found) == brute(rows)
+    assert len({r.doc_id for r in found} & {i for i in range(20 * 14) if i % 14 < 2}) == 40
 
 
 def test_nothing(documents):
