@@ -1,18 +1,23 @@
-"""Packing in which every window holds each source's share of tokens.
-
-The documents of a source queue up. Deficit round-robin serves the queues in rounds of one window: in each round
-a queue is entitled to its share of the window's tokens, gets the whole tokens of it, and what is owed stays as its
-deficit for the next round. As documents may be cut anywhere, a queue with T of all N tokens has got exactly
-``T * r // rounds`` tokens after r rounds, whatever task works it out: deficits carry over windows and partitions without
-being passed on. So each document's place follows from the tokens before it in its queue, and nothing is gathered.
-The rounds in a row, cut every ``length`` tokens, are the sequences. All are full but the last.
+"""Packing to target proportions of tokens by deficit round-robin over the sources.
+
+The documents of a source queue up. In each round, one window's worth of tokens, every queue's deficit grows by the queue's target
+share of the window. The queue is then served whole documents as long as its deficit is above zero; what the last one takes
+beyond that makes the deficit negative, and is carried over as a debt. So a document is served in the first round whose
+deficits have covered all tokens before it in its queue:
+
+    round = tokens before it * sum of weights // (its source's weight * length)
+
+Each document's round thus follows from a running total in its queue, and its place from a running total in the order of
+rounds, sources and queues: deficits carry over windows, tasks and partitions without any task dealing out the whole. Documents
+longer than a window are served a window's length at a time, so that no source falls behind by more than one window.
+What was served is cut every ``length`` tokens into sequences, the only place where documents are cut. All sequences are full but
+the last. A source that runs out leaves its share to the others.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +26,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from viewtide.llm.tokens import word_tokenizer
 from viewtide.operators.joins import join_null_safe
-from viewtide.operators.positions import number_rows, running_total
+from viewtide.operators.positions import running_total
 from viewtide.session import settled
 
 LENGTH = 4096
-# Sources share queues beyond so many: the source in place p of all has queue p modulo QUEUES.
-QUEUES = 1024
 
 
 def tokenised(df: DataFrame, path: str, end: int) -> DataFrame:
@@ -68,78 +71,70 @@ def tokenised(df: DataFrame, path: str, end: int) -> DataFrame:
     return rows.mapInArrow(run, "chunk long, row long, doc_id long, source string, size long, before long, kind string, ids binary")
 
 
-class Rounds:
-    """Where the rounds of the queues begin in the packed stream."""
-
-    def __init__(self, totals: list[int], length: int):
-        self.totals, self.length = totals, length
-        self.all = sum(totals)
-        self.rounds = -(-self.all // length)
-        self.starts = lru_cache(4096)(self._starts)
-
-    def _starts(self, number: int) -> tuple[list[int], list[int]]:
-        """For each queue: tokens it got before the round, and where its part of the round begins."""
-        got = [t * number // self.rounds for t in self.totals]
-        ends = [t * (number + 1) // self.rounds for t in self.totals]
-        place, places = sum(got), []
-        for first, last in zip(got, ends):
-            places.append(place)
-            place += last - first
-        return got, places
-
-    def pieces(self, queue: int, at: int, size: int) -> Iterator[tuple[int, int, int, int]]:
-        """The pieces (start, length, sequence, offset) of a document with ``size`` tokens, ``at`` tokens into its queue."""
-        total = self.totals[queue]
-        done = 0
-        while done < size:
-            place = at + done
-            number = ((place + 1) * self.rounds - 1) // total
-            got, places = self.starts(number)
-            stream = places[queue] + place - got[queue]
-            end = total * (number + 1) // self.rounds
-            part = min(size - done, end - place, self.length - stream % self.length)
-            yield done, part, stream // self.length, stream % self.length
-            done += part
-
-
-def placed(tokens: DataFrame, queues: int = QUEUES) -> tuple[DataFrame, list[int]]:
-    """``tokens`` with ``queue`` and ``at``, the tokens before each document in its queue; and the tokens of each queue.
-
-    ``tokens`` is a result of ``tokenised`` and should be settled. Queues are in code point order of the sources, null
-    last; in a queue, sources follow each other, and documents are in the order in which they were read.
+def placed(tokens: DataFrame, length: int = LENGTH, weights: Mapping[str | None, int] | None = None) -> DataFrame:
+    """For each ``chunk`` and ``row`` of ``tokens`` its ``places``: array of (start, stream), the document's ids before a part of it, and
+    all ids served before that part.
+
+    ``tokens`` is a result of ``tokenised`` and should be settled. In a queue, documents are in the order in which they were read;
+    in a round, sources are in code point order, null last.
     """
     parts = settled(tokens.groupBy("source", "chunk").agg(F.sum("size").alias("size")))
-    sources = number_rows(parts.select("source").distinct(), [], [F.asc_nulls_last("source")], "place")
-    sources = settled(sources.withColumn("queue", F.pmod(F.col("place") - 1, F.lit(queues)).cast("int")))
-    parts = join_null_safe(parts, sources, ["source"])
-    parts = settled(running_total(parts, ["queue"], [F.asc("place"), F.asc("chunk")], F.col("size"), "base"))
-    # At most ``queues`` rows.
-    totals = {r.queue: r.size for r in parts.groupBy("queue").agg(F.sum("size").alias("size")).collect()}
-    rows = join_null_safe(tokens, parts.select("source", "chunk", "queue", "base"), ["source", "chunk"])
-    rows = rows.withColumn("at", F.col("base") + F.col("before"))
-    return rows, [totals.get(q, 0) for q in range(max(totals, default=-1) + 1)]
-
-
-def pieces(df: DataFrame, path: str, end: int, length: int = LENGTH, queues: int = QUEUES, with_ids: bool = True) -> DataFrame:
+    parts = running_total(parts, ["source"], [F.asc("chunk")], F.col("size"), "base")
+    sources = settled(parts.groupBy("source").agg(F.sum("size").alias("weight")))
+    if weights is not None:
+        given = tokens.sparkSession.createDataFrame([(k, int(v)) for k, v in weights.items()], "source string, given long")
+        sources = join_null_safe(sources, given, ["source"], "left").select("source", F.coalesce("given", F.lit(1)).alias("weight"))
+    whole = sources.agg(F.sum("weight")).first()[0] or 0
+    parts = settled(join_null_safe(parts.select("source", "chunk", "base"), sources, ["source"]))
+
+    rows = join_null_safe(tokens.select("chunk", "row", "source", "size", "before"), parts, ["source", "chunk"])
+    start = F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(length).cast("long")))
+    rows = rows.withColumn("start", start).withColumn("at", F.col("base") + F.col("before") + F.col("start"))
+    # Tokens times tokens go beyond 64 bits.
+    turn = F.expr(f"(cast(at AS decimal(19,0)) * cast({whole} AS decimal(19,0))) div (cast(weight AS decimal(19,0)) * cast({length} AS decimal(19,0)))")
+    rows = rows.select("chunk", "row", "source", "start", "at", F.least(F.lit(length).cast("long"), F.col("size") - F.col("start")).alias("part"), turn.alias("round"))
+    served = running_total(rows, [], [F.asc("round"), F.asc_nulls_last("source"), F.asc("at")], F.col("part"), "stream")
+    # As many parts as the document has windows' lengths of tokens.
+    return served.groupBy("chunk", "row").agg(F.sort_array(F.collect_list(F.struct("start", "stream"))).alias("places"))
+
+
+def cuts(places: list[tuple[int, int]], size: int, length: int) -> Iterator[tuple[int, int, int, int]]:
+    """The pieces (start, length, sequence, offset) of a document with ``size`` tokens whose parts have ``places`` (start, stream)."""
+    done, stream = places[0]
+    for start, place in [*places[1:], (size, -1)]:
+        if place == stream + start - done:
+            continue  # the part before goes on
+        while done < start:
+            part = min(start - done, length - stream % length)
+            yield done, part, stream // length, stream % length
+            done, stream = done + part, stream + part
+        stream = place
+
+
+def pieces(df: DataFrame, path: str, end: int, length: int = LENGTH, weights: Mapping[str | None, int] | None = None, with_ids: bool = True) -> DataFrame:
     """The packed documents, one row for each piece.
 
     doc_id, start (the document's ids before the piece), length, ids_crc32, doc_tokens (with the end token), sequence_id,
     offset (in the sequence), row_id (one number for each row of ``df``, so repeated rows can be told apart) and, unless
     ``with_ids`` is off, ids. Each id of each row is in exactly one piece, and a sequence's pieces leave no gap.
 
+    ``weights`` are the target proportions, a positive whole number for each source; a source that is not named weighs 1. Without them
+    a source weighs the tokens it has, so that all last to the end.
+
     Null and empty texts are one end token. A null source has a queue of its own. An empty table gives no pieces.
     """
+    if weights is not None and any(v <= 0 or v != int(v) for v in weights.values()):
+        raise ValueError("weights must be positive whole numbers")
     tokens = settled(tokenised(df, path, end))
-    rows, totals = placed(tokens, queues)
-    rounds = (totals, length)
+    rows = tokens.join(placed(tokens, length, weights), ["chunk", "row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = Rounds(*rounds)
         for batch in batches:
             out: list[tuple] = []
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], row["kind"]).astype("<u4")
-                for start, part, sequence, offset in plan.pieces(row["queue"], row["at"], row["size"]):
+                places = [(p["start"], p["stream"]) for p in row["places"]]
+                for start, part, sequence, offset in cuts(places, row["size"], length):
                     cut = ids[start : start + part].tobytes()
                     out.append((row["doc_id"], start, part, zlib.crc32(cut), row["size"], sequence, offset, row["row_id"], cut))
             columns = list(zip(*out)) if out else [[]] * 9
@@ -151,4 +146,4 @@ def pieces(df: DataFrame, path: str, end: int, length: int = LENGTH, queues: int
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "row_id"] + ["ids"] * with_ids
     schema = ", ".join(f"{n} {'binary' if n == 'ids' else 'long'}" for n in names)
     row_id = F.shiftleft("chunk", 33).bitwiseOR(F.col("row")).alias("row_id")
-    return rows.select("doc_id", "size", "kind", "ids", "queue", "at", row_id).mapInArrow(run, schema)
+    return rows.select("doc_id", "size", "kind", "ids", "places", row_id).mapInArrow(run, schema)
