@@ -114,3 +114,27 @@ def test_masks(documents):
 def test_empty(documents):
     none = documents([]).limit(0)
     assert privacy.personal_data(none).collect() == [] and privacy.masked(none).collect() == []
+
+
+def test_many_spans(documents):
+    """One text with thousands of values, some of two kinds at once, is rewritten piece by piece as a plain loop does it."""
+    random.seed(8)
+    texts = []
+    for count in (0, 1, 63, 64, 65, 3000):
+        parts = [random.choice([f"né{i}@x.org", f"10.1.{i % 250}.7", "4111 1111 1111 1111", "+49 4111 1111 111111", "+4111111111111111"]) for i in range(count)]
+        texts.append("é😀 ".join(parts) + " end")
+    df = documents([(i, t, None, None) for i, t in enumerate(texts)])
+    spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in privacy.personal_data(df).collect()}
+    for row in privacy.masked(df).collect():
+        text, out, at = texts[row.doc_id], "", 0
+        for kind, start, end in spans[row.doc_id]:
+            if int(start) >= at:
+                out += text[at : int(start)] + (f"[{kind.upper()}]" if kind != "removed" else "")
+            at = max(at, int(end))
+        assert row.text == out + text[at:] and row.n_chars == len(row.text)
+    cleared = privacy.found(df).select("doc_id", "text", "spans").withColumn("clear", privacy._cleared()).collect()
+    for row in cleared:
+        letters = list(row.text)
+        for s in row.spans:
+            letters[s.start : s.end] = " " * (s.end - s.start)
+        assert row.clear == "".join(letters)

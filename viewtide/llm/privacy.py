@@ -114,18 +114,27 @@ def _values() -> Column:
     return F.expr(f"array_distinct(transform(spans, s -> concat(s.kind, ':', {value})))")
 
 
+def _rewritten(spans: str, name: str) -> Column:
+    """``text`` with ``name`` for each of ``spans`` (s, of which the text up to ``a.at`` is written), by start.
+
+    The text is cut to a part for each chunk of spans, and each part to its pieces, so that many spans take about linear time.
+    """
+    chunks = f"transform(sequence(1, greatest(size({spans}), 1), {CHUNK}), i -> slice({spans}, i, {CHUNK}))"
+    # How far earlier spans reach at the beginning of each chunk, and at the end.
+    reach = "aggregate(chunks, array(0L), (r, c) -> concat(r, array(greatest(element_at(r, -1), array_max(transform(c, s -> s.end))))))"
+    piece = f"concat(substring(a.part, cast(a.at - b AS int) + 1, cast(greatest(s.start - a.at, 0L) AS int)), {name})"
+    written = (
+        "aggregate(c, named_struct('at', b, 'part', substring(text, cast(b AS int) + 1, cast(array_max(transform(c, s -> s.end)) - b AS int)), 'out', ''),"
+        f" (a, s) -> named_struct('at', greatest(a.at, s.end), 'part', a.part, 'out', concat(a.out, {piece})), a -> a.out)"
+    )
+    parts = f"zip_with(x.chunks, slice(x.reach, 1, size(x.chunks)), (c, b) -> {written})"
+    bound = f"transform(array({chunks}), chunks -> named_struct('chunks', chunks, 'reach', {reach}))"
+    return F.expr(f"element_at(transform({bound}, x -> concat(array_join({parts}, ''), substring(text, cast(element_at(x.reach, -1) AS int) + 1))), 1)")
+
+
 def _cleared() -> Column:
     """``text`` with a blank for each character of ``spans``, so that places stay."""
-    pieces = (
-        "aggregate(spans, named_struct('at', 0L, 'cuts', cast(array() AS array<struct<start:bigint,length:bigint,blank:bigint>>)),"
-        " (a, s) -> named_struct('at', greatest(a.at, s.end), 'cuts', concat(a.cuts, array(named_struct('start', a.at,"
-        " 'length', greatest(s.start - a.at, 0L), 'blank', greatest(s.end - greatest(s.start, a.at), 0L))))))"
-    )
-    return F.expr(
-        f"element_at(transform(array({pieces}), p -> concat(array_join(transform(p.cuts, c -> concat("
-        "substring(text, cast(c.start AS int) + 1, cast(c.length AS int)), repeat(' ', cast(c.blank AS int)))), ''),"
-        " substring(text, cast(p.at AS int) + 1))), 1)"
-    )
+    return _rewritten("spans", "repeat(' ', cast(greatest(s.end - greatest(s.start, a.at), 0L) AS int))")
 
 
 def _words(text: str) -> Column:
@@ -237,19 +246,9 @@ def masked(df: DataFrame) -> DataFrame:
     # Stored before it is filtered, as a filter by spans would find them once more.
     spotted = settled(rows.select("key", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")))
     rows = _with_terms(rows, spotted, texts.select("key", "text"))
-    # Spans that begin after all earlier ones have ended give a piece of text and a name; others only move the end.
-    rows = rows.withColumn("text", F.col("row.text")).withColumn(
-        "pieces",
-        F.expr(
-            "aggregate(all_spans, named_struct('at', 0L, 'cuts', cast(array() AS array<struct<start:bigint,length:bigint,name:string>>)),"
-            " (a, s) -> named_struct('at', greatest(a.at, s.end), 'cuts', if(s.start >= a.at, concat(a.cuts, array(named_struct("
-            f"'start', a.at, 'length', s.start - a.at, 'name', {MASK}))), a.cuts)))"
-        ),
-    )
-    replaced = F.expr(
-        "concat(array_join(transform(pieces.cuts, c -> concat(substring(text, cast(c.start AS int) + 1, cast(c.length AS int)), c.name)), ''),"
-        " substring(text, cast(pieces.at AS int) + 1))"
-    )
+    # A span that begins before an earlier one has ended gets no name of its own.
+    rows = rows.withColumn("text", F.col("row.text"))
+    replaced = _rewritten("all_spans", f"if(s.start >= a.at, {MASK}, '')")
     text = F.when(F.size("all_spans") > 0, replaced).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)
     columns = {"text": F.col("text")}
