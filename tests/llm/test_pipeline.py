@@ -54,3 +54,27 @@ def test_run_is_repeatable(spark, folder, stages):
     again = corpus_pipeline.run(spark, folder)
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     assert sorted(map(tuple, again.select(columns).collect()), key=key) == sorted(map(tuple, stages[5].select(columns).collect()), key=key)
+
+
+def test_stages_on_odd_rows(documents, folder):
+    """Null ids, texts, languages and sources, equal rows and clashing names; and no rows at all."""
+    text = "the quick brown fox jumps over the lazy dog, write to jim@x.org or anne"
+    rows = [(i, f"{text} {'abcdefghij'[i % 10] * 3} number{i} of{i * 7} them{i * 11}", "en" if i % 3 else None, "s" if i % 2 else None) for i in range(40)]
+    rows += [(7, None, None, None), (7, None, None, None), (None, "", "en", "s"), (None, text, None, None), (50, "42", None, "t"), (51, text, "en", "t"), (51, text, "en", "t")]
+    whole = documents(rows)
+    for name, stage in corpus_pipeline.STAGES:
+        for df in (whole, whole.limit(0)):
+            found = stage(df.sparkSession, df, folder)
+            if name != "packing":
+                assert found.columns == df.columns
+            kept = found.collect()
+            assert kept or df is not whole
+            assert df is whole or not kept
+            if name == "language":
+                assert all(r.text and any(c.isalpha() for c in r.text) for r in kept)
+            if name == "near_duplicates" and df is whole:
+                assert len({r.text or "" for r in kept}) == len(kept) and sum(not r.text for r in kept) == 1
+            if name == "personal_data":
+                assert len(kept) == len(df.collect()) and not any("@x.org" in (r.text or "") for r in kept)
+            if name == "packing" and df is whole:
+                assert len({r.row_id for r in kept}) == len(rows)
