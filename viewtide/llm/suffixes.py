@@ -237,21 +237,22 @@ def _settled_windows(suffixes: DataFrame, after: DataFrame, before: DataFrame) -
     open_ended = settled(open_ended)
     if open_ended.isEmpty():
         return open_ended.selectExpr("number", "pos AS start", "pos AS stop", "number AS other")
-    asked = open_ended.join(suffixes.select("number", "pos", "hash"), ["number", "pos"])
-    asked = asked.select("hash", F.explode(F.sequence("first", "final")).alias("lead")).distinct()
-    leads = settled(asked.groupBy("hash").agg(F.collect_list("lead").alias("leads")))
-    windows = suffixes.join(leads, "hash").withColumn("lead", F.explode("leads"))
     # The words farthest from the stem are in the text.
-    ends = F.expr(f"(lead = 0 OR substring(before, 4 * lead - 3, 4) <> X'00000000') AND (lead = {SIDE} OR substring(after, 4 * ({SIDE} - lead) - 3, 4) <> X'00000000')")
-    windows = windows.where(ends)
+    inside = F.expr(f"(lead = 0 OR substring(before, 4 * lead - 3, 4) <> X'00000000') AND (lead = {SIDE} OR substring(after, 4 * ({SIDE} - lead) - 3, 4) <> X'00000000')")
     left, right = F.expr("substring(before, 1, 4 * lead)"), F.expr(f"substring(after, 1, 4 * ({SIDE} - lead))")
     # 128 bits: the stem, and what is beside it.
-    windows = settled(windows.select("hash", "lead", F.xxhash64(left, right).alias("beside"), "number", "pos"))
+    beside = F.xxhash64(left, right).alias("beside")
+    undecided = open_ended.join(suffixes, ["number", "pos"]).withColumn("lead", F.explode(F.sequence("first", "final")))
+    undecided = settled(undecided.where(inside).select("hash", "lead", beside, "number", "pos"))
+    leads = settled(undecided.groupBy("hash").agg(F.collect_set("lead").alias("leads")))
+    # Of all texts with a stem no more is needed than whether two hold a window, so they are not shuffled but counted where
+    # they are read; only the windows that are undecided for a suffix meet the result.
+    windows = suffixes.join(leads, "hash").withColumn("lead", F.explode("leads")).where(inside)
     key = ["hash", "lead", "beside"]
-    shared = windows.groupBy(*key).agg(F.min("number").alias("low"), F.max("number").alias("high")).where("low < high")
+    shared = windows.select("hash", "lead", beside, "number").groupBy(*key).agg(F.min("number").alias("low"), F.max("number").alias("high")).where("low < high")
     other = F.when(F.col("low") == F.col("number"), F.col("high")).otherwise(F.col("low"))
     start = F.col("pos") - F.col("lead")
-    met = windows.join(shared, key)
+    met = undecided.join(settled(shared), key)
     return met.select("number", start.cast("int").alias("start"), (start + MIN_WORDS).cast("int").alias("stop"), other.alias("other"))
 
 
