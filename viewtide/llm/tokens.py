@@ -6,12 +6,13 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 from tokenizers import Tokenizer
 
-# Words whose ids a worker remembers, and how long such a word may be (bytes): at most some 150 MB.
-MEMORY = 1_000_000
+# Words and parts of words whose ids a worker remembers, and how long one may be (bytes or characters): at most some 250 MB.
+MEMORY = 1_500_000
 LONG = 64
 
 
@@ -31,6 +32,24 @@ def byte_characters() -> list[str]:
 BYTES = byte_characters()
 
 
+class Remembered(dict):
+    """Ids by word, worked out where a word is met first."""
+
+    def __init__(self, encode: Callable):
+        self.encode, self.long = encode, []
+
+    def __missing__(self, word):
+        ids = self[word] = self.encode(word)
+        if len(word) > LONG:
+            self.long.append(word)
+        return ids
+
+    def forget_long(self) -> None:
+        for word in self.long:
+            del self[word]
+        self.long.clear()
+
+
 class WordTokenizer:
     """A tokenizer that drops white space, so that a text's ids are those of its words in a row.
 
@@ -43,35 +62,35 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         small = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self.kind, self.code = ("<u2", "H") if small else ("<u4", "I")
-        self.known: dict[bytes, bytes] = {}
+        # Words differ by marks and capitals more than their parts do.
+        self.words, self.parts = Remembered(self._encoded), Remembered(self._part)
         # Normalising and splitting takes most of the library's time. Words of Latin letters need neither.
         file = json.loads(self.tokenizer.to_str())
         splitters = (file["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         self.plain = splitters[0].get("pattern") == {"Regex": PARTS} and [s["type"] for s in splitters] == ["Split", "ByteLevel"]
 
+    def _part(self, part: str) -> bytes:
+        """The ids of a part of Latin letters or other characters in lower case."""
+        if not part.isascii():
+            part = "".join([BYTES[b] for b in part.encode()])
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(part)]).tobytes()
+
     def _encoded(self, word: bytes) -> bytes:
+        if self.plain and word.isalpha():
+            return self.parts[word.lower().decode()]
         text = word.decode("utf-8", "replace")
         if self.plain and LATIN.fullmatch(text):
-            parts = LATIN_PARTS.findall(text.lower())
-            if not text.isascii():
-                parts = ["".join([BYTES[b] for b in part.encode()]) for part in parts]
-            ids = [t.id for part in parts for t in self.tokenizer.model.tokenize(part)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return array(self.code, ids).tobytes()
+            return b"".join([self.parts[part] for part in LATIN_PARTS.findall(text.lower())])
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def batch(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text in UTF-8; none for a null text. Each word that is new is encoded once."""
-        split = [(t or b"").split() for t in texts]
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        known.update((w, self._encoded(w)) for w in new)
-        ids = [b"".join(map(known.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > LONG:
-                del known[word]
+        if len(self.words) + len(self.parts) > MEMORY:
+            self.words.clear()
+            self.parts.clear()
+        ids = [b"".join(map(self.words.__getitem__, (t or b"").split())) for t in texts]
+        self.words.forget_long()
+        self.parts.forget_long()
         return ids
 
 
