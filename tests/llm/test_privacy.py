@@ -138,3 +138,29 @@ def test_many_spans(documents):
         for s in row.spans:
             letters[s.start : s.end] = " " * (s.end - s.start)
         assert row.clear == "".join(letters)
+
+
+def test_rows_without_spans_stay_put(session, documents, tmp_path):
+    """Whole rows without personal data are neither joined nor shuffled, however large the rest is."""
+    rows = [(i, f"call +1 202 555 01{i:02} about the weather" if i % 4 == 0 else f"nothing in text {i}, 1.2.3.999", None, None) for i in range(40)]
+    rows += [(90, None, None, None), (91, "", None, None), (91, "", None, None)]
+    documents(rows).write.parquet(str(tmp_path / "docs"))
+    before = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = privacy.masked(session.read.parquet(str(tmp_path / "docs")))
+        plan = found._jdf.queryExecution().sparkPlan()
+        parts = [plan.children().apply(i).toString() for i in range(plan.children().size())]
+        texts = sorted((r.doc_id, r.text or "") for r in found.collect())
+    finally:
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.nodeName() == "Union" and "Join" not in parts[0] and "Join" in parts[1]
+    assert texts == sorted((i, "call [PHONE] about the weather" if i < 40 and i % 4 == 0 else t or "") for i, t, _, _ in rows)
+
+
+def test_holds(documents):
+    """A text is told to hold something exactly where spans are found."""
+    texts = ["a@b.c", "a@b", "1.2.3.4", "1.2.3.256", "4111 1111 1111 1111", "4111 1111 1111 1112", "+1 202 555 0100", "+1 202", "", None, "x'y\\d"]
+    df = privacy.found(documents([(i, t, None, None) for i, t in enumerate(texts)])).selectExpr("text", "size(spans) > 0 held")
+    rows = df.select("held", privacy._holds().alias("told")).collect()
+    assert [r.held or False for r in rows] == [r.told or False for r in rows] and sum(r.told or False for r in rows) == 4

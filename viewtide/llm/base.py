@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -47,6 +48,27 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# What a Python worker keeps for later tasks.
+KEPT: dict[tuple, object] = {}
+
+
+def kept(make: Callable) -> Callable:
+    """``make`` with its last result kept in a Python worker, until this or another such function makes a new one.
+
+    Workers outlive a stage, so what one stage no longer needs would take the memory of those that follow.
+    """
+
+    @wraps(make)
+    def get(*key):
+        place = (make.__module__, make.__name__, key)
+        if place not in KEPT:
+            KEPT.clear()
+            KEPT[place] = make(*key)
+        return KEPT[place]
+
+    return get
+
+
 def boxed(df: DataFrame, **columns: Column) -> DataFrame:
     """The rows as one struct ``row`` beside ``columns``, so that no name of theirs can clash."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])

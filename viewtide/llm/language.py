@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from viewtide.llm.base import boxed, unboxed
+from viewtide.llm.base import boxed, kept, unboxed
 from viewtide.session import settled
 
 # The sample: so many characters in all, dealt evenly to the languages, in pieces of texts; at least a piece of each language.
@@ -224,7 +224,7 @@ class Model:
         return out
 
 
-@lru_cache(maxsize=2)
+@kept
 def _model(pieces: tuple[tuple[str, str], ...]) -> Model:
     """One model for each Python worker, however many tasks it runs."""
     return Model(pieces)

@@ -13,9 +13,11 @@ Everything is built from column expressions.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from viewtide.llm.base import keyed, stored, text_or_empty
+from viewtide.llm.base import keyed, stored, text_or_empty, unboxed
 from viewtide.session import settled
 
 # The kinds in their order and what they look like. Possessive quantifiers change no match here, as
@@ -42,11 +44,11 @@ TERM = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 CHUNK = 64
 
 
-def _valid(kind: str) -> str:
-    digits = "regexp_replace(m.value, '[^0-9]', '')"
+def _valid(kind: str, match: str = "m.value") -> str:
+    digits = f"regexp_replace({match}, '[^0-9]', '')"
     return {
         "email": "true",
-        "ip": r"forall(split(m.value, '\\.'), p -> coalesce(try_cast(p AS decimal(38,0)) <= 255, false))",
+        "ip": rf"forall(split({match}, '\\.'), p -> coalesce(try_cast(p AS decimal(38,0)) <= 255, false))",
         "card": f"length({digits}) BETWEEN 12 AND 19 AND luhn_check({digits})",
         "phone": f"length({digits}) BETWEEN 9 AND 15",
     }[kind]
@@ -97,6 +99,15 @@ def found(df: DataFrame, text: str = "text") -> DataFrame:
     return placed.withColumn("spans", spans).drop(*columns)
 
 
+def _holds(text: str = "text") -> Column:
+    """Whether ``found`` has any span in a text, without their places."""
+    kinds = []
+    for kind, pattern in PATTERNS.items():
+        held = F.expr(f"exists(regexp_extract_all({text}, r'{pattern}', 0), m -> {_valid(kind, 'm')})")
+        kinds.append(F.col(text).contains(NEEDED[kind]) & held if kind in NEEDED else held)
+    return reduce(Column.__or__, kinds)
+
+
 def printed(spans: str) -> Column:
     """Spans as ``kind:start:end``, joined by commas."""
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
@@ -240,19 +251,16 @@ def masked(df: DataFrame) -> DataFrame:
     its name and the rest of the other removed. Texts without spans, null ones too, stay as they are.
     """
     df = stored(df)
-    # Spans are found twice, once to learn the terms and once beside the whole rows, which are not copied in between.
     texts = _keyed_texts(df)
-    rows = found(texts)
     # Stored before it is filtered, as a filter by spans would find them once more.
-    spotted = settled(rows.select("key", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")))
-    rows = _with_terms(rows, spotted, texts.select("key", "text"))
+    spotted = settled(found(texts).select("key", "spans", F.when(F.size("spans") > 0, F.col("text")).alias("text")))
+    spans = _with_terms(spotted.where(F.size("spans") > 0).select("key", "spans"), spotted, texts.select("key", "text"))
+    # Only rows that hold something meet their spans. The others are told where they are read, and are neither shuffled nor copied.
+    untouched = unboxed(texts.where(~_holds()))
+    rows = texts.where(_holds()).join(spans.select("key", "all_spans"), "key")
     # A span that begins before an earlier one has ended gets no name of its own.
-    rows = rows.withColumn("text", F.col("row.text"))
-    replaced = _rewritten("all_spans", f"if(s.start >= a.at, {MASK}, '')")
-    text = F.when(F.size("all_spans") > 0, replaced).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
+    rows = rows.withColumn("text", _rewritten("all_spans", f"if(s.start >= a.at, {MASK}, '')"))
     columns = {"text": F.col("text")}
     if "n_chars" in df.columns:
-        kind = df.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(F.size("all_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("row.n_chars"))
-    return rows.select(*[columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in df.columns])
+        columns["n_chars"] = F.length("text").cast(df.schema["n_chars"].dataType)
+    return untouched.union(rows.select(*[columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in df.columns]))

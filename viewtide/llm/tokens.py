@@ -7,10 +7,11 @@ import os
 import re
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
 
 from tokenizers import Tokenizer
 
+from viewtide.llm.base import kept
+
 # Words and parts of words whose ids a worker remembers, and how long one may be (bytes or characters): at most some 250 MB.
 MEMORY = 1_500_000
 LONG = 64
@@ -94,7 +95,7 @@ class WordTokenizer:
         return ids
 
 
-@lru_cache(maxsize=4)
+@kept
 def word_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer for each Python worker and file."""
     return WordTokenizer(path)
