@@ -122,3 +122,18 @@ def test_nothing(documents):
     same = " ".join(map(str, range(60)))
     found = suffixes.repeats(documents([(None, same, None, None), (4, same, None, None)])).collect()
     assert sorted((r.doc_id or 0, r.start_word, r.end_word) for r in found) == [(0, 0, 60), (4, 0, 60)]
+
+
+def test_windows_have_one_suffix():
+    """Every window of MIN_WORDS words is asked for by one suffix, the one that is selected in it."""
+    random.seed(3)
+    text = [w for _ in range(9) for w in words(30) + ["same"] * 40]
+    places = suffixes.Grams(" ".join(text).encode()).selected()
+    batch = pa.RecordBatch.from_pylist([{"number": 1, "text": " ".join(text).encode(), "places": places.tolist()}])
+    rows = pa.Table.from_batches(suffixes._sides(iter([batch]))).to_pylist()
+    starts = [r["pos"] - lead for r in rows for lead in range(r["least"], r["most"] + 1)]
+    assert sorted(starts) == list(range(len(text) - suffixes.MIN_WORDS + 1))
+    assert all(0 <= r["least"] <= r["most"] <= suffixes.SIDE for r in rows)
+    # A copied window has its suffix at the same place in another text.
+    grams = suffixes.Grams(" ".join(words(13) + text[25:75] + words(11)).encode())
+    assert grams.minima()[13] - 13 == suffixes.Grams(" ".join(text).encode()).minima()[25] - 25

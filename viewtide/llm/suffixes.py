@@ -12,7 +12,7 @@ each side are enough to reach the ends of every passage.
 
 The text with the longest match on one side is a neighbour in one order, so the longest matches of a suffix with any other text are
 known for each side. Only where they belong to different texts can it share a window of ``MIN_WORDS`` words around the stem
-with a third one that is a neighbour in neither order. Those windows, at most ``GAP`` for a suffix, are settled by their
+with a third one that is a neighbour in neither order. Those windows, at most ``GAP`` for a suffix and each for one suffix only, are settled by their
 hashes: all texts with the stem are asked for windows at the same place. So every repeated window is found, whatever the
 neighbours and wherever the sorted ranges were cut.
 """
@@ -69,13 +69,17 @@ class Grams:
             found *= np.uint64(0xD6E8FEB86659FD93)
             return found ^ (found >> np.uint64(32))
 
-    def selected(self) -> np.ndarray:
-        """The positions of the kept suffixes, none in texts with fewer than MIN_WORDS words."""
+    def minima(self) -> np.ndarray:
+        """The position selected in each window of MIN_WORDS words, in rising order; none in texts with fewer words."""
         if self.count < MIN_WORDS:
             return np.empty(0, np.int64)
         order = self.runs(GRAM)[: self.count - STEM + 1]
         windows = np.lib.stride_tricks.sliding_window_view(order, GAP)
-        return np.unique(windows.argmin(1) + np.arange(len(windows)))
+        return windows.argmin(1) + np.arange(len(windows))
+
+    def selected(self) -> np.ndarray:
+        """The positions of the kept suffixes."""
+        return np.unique(self.minima())
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,11 +97,16 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each repeated stem of a text, with the words before it (nearest first) and after it as 4 bytes each."""
+    """A row for each repeated stem of a text, with the words before it (nearest first) and after it as 4 bytes each.
+
+    The windows in which it is selected begin ``least`` to ``most`` words before it.
+    """
     for batch in batches:
         for number, text, places in zip(batch["number"], batch["text"], batch["places"]):
             grams = Grams(text.as_py())
             at = np.array(places.as_py(), np.int64)
+            minima = grams.minima()
+            least, most = at - np.searchsorted(minima, at, "right") + 1, at - np.searchsorted(minima, at)
             # Zero stands for no word.
             short = (grams.words >> np.uint64(32)).astype("<u4") | np.uint32(1)
             padded = np.r_[np.zeros(SIDE, "<u4"), short, np.zeros(SIDE, "<u4")]
@@ -108,12 +117,13 @@ def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before, after = (pa.array([r.tobytes() for r in side[part]], pa.binary()) for side in sides)
                 stems = pa.array(grams.runs(STEM)[at[part]].view(np.int64))
                 numbers = pa.array(np.full(len(stems), number.as_py()), pa.int64())
-                yield pa.RecordBatch.from_arrays([stems, before, after, numbers, pa.array(at[part], pa.int32())], ["hash", "before", "after", "number", "pos"])
+                places_of = [pa.array(c[part], pa.int32()) for c in (at, least, most)]
+                yield pa.RecordBatch.from_arrays([stems, before, after, numbers, *places_of], [*SUFFIX.names, "least", "most"])
 
 
 SUFFIX = pa.schema([("hash", pa.int64()), ("before", pa.binary()), ("after", pa.binary()), ("number", pa.int64()), ("pos", pa.int32())])
 # The longest match of a suffix on the side of the order, and that of the same neighbour on the other side.
-REACH = pa.schema([("reach_of", pa.int64()), ("at", pa.int32()), ("best", pa.int32()), ("side", pa.int32())])
+REACH = pa.schema([("reach_of", pa.int64()), ("at", pa.int32()), ("stem", pa.int64()), ("best", pa.int32()), ("side", pa.int32())])
 FOUND = pa.schema([("number", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("other", pa.int64())])
 
 
@@ -130,7 +140,7 @@ def _batch(columns: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
 def _unknown(rows: pa.Table) -> pa.RecordBatch:
     """Suffixes whose neighbours are elsewhere might match to any length."""
     count = rows.num_rows
-    return _batch([rows["number"].to_numpy(), rows["pos"].to_numpy(), np.full(count, SIDE), np.full(count, -1)], REACH)
+    return _batch([rows["number"].to_numpy(), rows["pos"].to_numpy(), rows["hash"].to_numpy(), np.full(count, SIDE), np.full(count, -1)], REACH)
 
 
 def _matches(rows: pa.Table, order: list[str], last: bool) -> tuple[pa.RecordBatch, pa.RecordBatch, pa.Table, pa.Table]:
@@ -158,7 +168,7 @@ def _matches(rows: pa.Table, order: list[str], last: bool) -> tuple[pa.RecordBat
     # Where a match goes as far as passages are looked at on both sides, or nowhere on one, one neighbour tells all.
     best, side = alike[order[1]], alike[order[2]]
     open_ended = (best > 0) & ((best < SIDE) | (side < SIDE))
-    reach = _batch([number[a][open_ended], pos[a][open_ended], best[open_ended], side[open_ended]], REACH)
+    reach = _batch([number[a][open_ended], pos[a][open_ended], stem[a][open_ended], best[open_ended], side[open_ended]], REACH)
     enough = before + after + STEM >= MIN_WORDS
     a, b, before, after = a[enough], b[enough], before[enough], after[enough]
     out = [np.r_[number[a], number[b]], np.r_[pos[a] - before, pos[b] - before], np.r_[pos[a] + STEM + after, pos[b] + STEM + after], np.r_[number[b], number[a]]]
@@ -179,10 +189,10 @@ def _compared(order: list[str]):
         rest = SUFFIX.empty_table()
         first = None
         for batch in batches:
-            rows = pa.concat_tables([rest, pa.Table.from_batches([batch]).cast(SUFFIX)])
+            fresh = pa.Table.from_batches([batch]).select(SUFFIX.names).cast(SUFFIX)
+            rows = pa.concat_tables([rest, fresh])
             if not rows.num_rows:
                 continue
-            fresh = pa.Table.from_batches([batch]).cast(SUFFIX)
             if first is None:
                 first = rows.slice(0, 1)
                 yield widened(first)
@@ -208,18 +218,18 @@ def _compared(order: list[str]):
     return run
 
 
-WIDE = "number long, start int, stop int, other long, hash long, before binary, after binary, own long, pos int, reach_of long, at int, best int, side int"
+WIDE = "number long, start int, stop int, other long, hash long, before binary, after binary, own long, pos int, reach_of long, at int, stem long, best int, side int"
 
 
 def _repeats(suffixes: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(number, start, stop, other) for neighbours in one order, and (number, pos, best, side). ``suffixes`` should be settled."""
+    """(number, start, stop, other) for neighbours in one order, and (number, pos, hash, best, side). ``suffixes`` should be settled."""
     ranges = suffixes.select(*SUFFIX.names).repartitionByRange(*order).sortWithinPartitions(*order)
     found = settled(ranges.mapInArrow(_compared(order), WIDE))
     # The first and last suffix of each partition are neighbours of others: two rows for each partition.
     edges = found.where("own is not null").select("hash", "before", "after", F.col("own").alias("number"), "pos")
     beyond = edges.coalesce(1).sortWithinPartitions(*order).mapInArrow(_compared(order), WIDE).where("number is not null")
-    reach = found.where("reach_of is not null").groupBy(F.col("reach_of").alias("number"), F.col("at").alias("pos"))
-    reach = reach.agg(F.max(F.struct("best", "side")).alias("far")).select("number", "pos", "far.best", "far.side")
+    reach = found.where("reach_of is not null").groupBy(F.col("reach_of").alias("number"), F.col("at").alias("pos"), F.col("stem").alias("hash"))
+    reach = reach.agg(F.max(F.struct("best", "side")).alias("far")).select("number", "pos", "hash", "far.best", "far.side")
     return found.where("number is not null").unionByName(beyond).select(*FOUND.names), reach
 
 
@@ -228,26 +238,28 @@ def _settled_windows(suffixes: DataFrame, after: DataFrame, before: DataFrame) -
 
     A window begins ``lead`` words before a stem. The longest match before the stem has to reach ``lead`` words, the longest
     after it the others, and neither of the two texts with these matches may hold the whole window, as it is reported then.
+    A window is asked for by the suffix that is selected in it and by no other, and that is the same one in every text.
     """
-    after = after.select("number", "pos", F.col("best").alias("far_after"), F.col("side").alias("near_before"))
+    after = after.select("hash", "number", "pos", F.col("best").alias("far_after"), F.col("side").alias("near_before"))
     before = before.select("number", "pos", F.col("best").alias("far_before"), F.col("side").alias("near_after"))
     first = F.greatest(F.lit(SIDE) - F.col("far_after"), F.col("near_before") + 1)
     final = F.least(F.col("far_before"), F.lit(SIDE - 1) - F.col("near_after"))
-    open_ended = after.join(before, ["number", "pos"]).select("number", "pos", first.alias("first"), final.alias("final")).where("first <= final")
+    open_ended = after.join(before, ["number", "pos"]).select("hash", "number", "pos", first.alias("first"), final.alias("final")).where("first <= final")
     open_ended = settled(open_ended)
     if open_ended.isEmpty():
         return open_ended.selectExpr("number", "pos AS start", "pos AS stop", "number AS other")
-    # The words farthest from the stem are in the text.
-    inside = F.expr(f"(lead = 0 OR substring(before, 4 * lead - 3, 4) <> X'00000000') AND (lead = {SIDE} OR substring(after, 4 * ({SIDE} - lead) - 3, 4) <> X'00000000')")
+    # Few stems have such windows. What is beside the others is read and dropped, or at most shuffled once.
+    near = settled(suffixes.join(open_ended.select("hash").distinct(), "hash", "left_semi"))
     left, right = F.expr("substring(before, 1, 4 * lead)"), F.expr(f"substring(after, 1, 4 * ({SIDE} - lead))")
     # 128 bits: the stem, and what is beside it.
     beside = F.xxhash64(left, right).alias("beside")
-    undecided = open_ended.join(suffixes, ["number", "pos"]).withColumn("lead", F.explode(F.sequence("first", "final")))
-    undecided = settled(undecided.where(inside).select("hash", "lead", beside, "number", "pos"))
+    asked = near.join(open_ended.drop("hash"), ["number", "pos"])
+    asked = asked.withColumns({"first": F.greatest("first", "least"), "final": F.least("final", "most")}).where("first <= final")
+    undecided = settled(asked.withColumn("lead", F.explode(F.sequence("first", "final"))).select("hash", "lead", beside, "number", "pos"))
     leads = settled(undecided.groupBy("hash").agg(F.collect_set("lead").alias("leads")))
     # Of all texts with a stem no more is needed than whether two hold a window, so they are not shuffled but counted where
     # they are read; only the windows that are undecided for a suffix meet the result.
-    windows = suffixes.join(leads, "hash").withColumn("lead", F.explode("leads")).where(inside)
+    windows = near.join(leads, "hash").withColumn("lead", F.explode(F.expr("filter(leads, l -> l BETWEEN least AND most)")))
     key = ["hash", "lead", "beside"]
     shared = windows.select("hash", "lead", beside, "number").groupBy(*key).agg(F.min("number").alias("low"), F.max("number").alias("high")).where("low < high")
     other = F.when(F.col("low") == F.col("number"), F.col("high")).otherwise(F.col("low"))
@@ -304,7 +316,7 @@ def repeats(df: DataFrame) -> DataFrame:
     places = settled(places.join(classes.select("number", "key"), "number"))
 
     texts = rows.groupBy("key").agg(F.first("text").alias("text"))
-    suffixes = settled(texts.join(places, "key").select("number", "text", "places").mapInArrow(_sides, "hash long, before binary, after binary, number long, pos int"))
+    suffixes = settled(texts.join(places, "key").select("number", "text", "places").mapInArrow(_sides, "hash long, before binary, after binary, number long, pos int, least int, most int"))
     (found, far_after), (more, far_before) = (_repeats(suffixes, order) for order in ORDERS)
     found = found.unionByName(more).unionByName(_settled_windows(suffixes, far_after, far_before))
     spans = found.groupBy("number").agg(F.collect_set(F.struct("start", "stop", "other")).alias("spans"))
