@@ -259,9 +259,12 @@ def _settled_windows(suffixes: DataFrame, after: DataFrame, before: DataFrame) -
     leads = settled(undecided.groupBy("hash").agg(F.collect_set("lead").alias("leads")))
     # Of all texts with a stem no more is needed than whether two hold a window, so they are not shuffled but counted where
     # they are read; only the windows that are undecided for a suffix meet the result.
-    windows = near.join(leads, "hash").withColumn("lead", F.explode(F.expr("filter(leads, l -> l BETWEEN least AND most)")))
+    # Suffixes with the same words beside them, as near copies have, count once.
+    alike = near.groupBy("hash", "before", "after", "least", "most").agg(F.min("number").alias("low"), F.max("number").alias("high"))
+    windows = alike.join(leads, "hash").where("exists(leads, l -> l BETWEEN least AND most)")
+    windows = windows.withColumn("lead", F.explode(F.expr("filter(leads, l -> l BETWEEN least AND most)")))
     key = ["hash", "lead", "beside"]
-    shared = windows.select("hash", "lead", beside, "number").groupBy(*key).agg(F.min("number").alias("low"), F.max("number").alias("high")).where("low < high")
+    shared = windows.select("hash", "lead", beside, "low", "high").groupBy(*key).agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
     other = F.when(F.col("low") == F.col("number"), F.col("high")).otherwise(F.col("low"))
     start = F.col("pos") - F.col("lead")
     met = undecided.join(settled(shared), key)
