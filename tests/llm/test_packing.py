@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 from viewtide.llm import bestfit, windows
 from viewtide.llm.queries import TOKENIZER
 from viewtide.llm.tokens import WordTokenizer
+from viewtide.session import SCOPES, scratch_scope
 
 
 @pytest.fixture(scope="module")
@@ -124,6 +125,14 @@ def test_windows(documents, rows, ids):
         assert at == (length if number < len(sequences) - 1 else total - length * (len(sequences) - 1))
 
 
+def test_ids_are_not_sorted(documents, rows):
+    with scratch_scope(documents([]).sparkSession):
+        plan = windows.pieces(documents(rows), TOKENIZER, 2, 64, with_ids=False)._jdf.queryExecution().executedPlan().toString()
+        # Tokens, the parts of sources in order and with their sources, the rows in order.
+        assert len(SCOPES[-1]) == 4
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin [chunk" not in plan
+
+
 @pytest.mark.parametrize("weights,target", [(None, 0.25), ({"a": 1, "b": 1}, 0.5)])
 def test_shares(documents, weights, target):
     """Up to every window, a source has its share but for a document, as long as it has any left."""

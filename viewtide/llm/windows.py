@@ -78,9 +78,9 @@ def placed(tokens: DataFrame, length: int = LENGTH, weights: Mapping[str | None,
     ``tokens`` is a result of ``tokenised`` and should be settled. In a queue, documents are in the order in which they were read;
     in a round, sources are in code point order, null last.
     """
-    parts = settled(tokens.groupBy("source", "chunk").agg(F.sum("size").alias("size")))
+    parts = tokens.groupBy("source", "chunk").agg(F.sum("size").alias("size"))
     parts = running_total(parts, ["source"], [F.asc("chunk")], F.col("size"), "base")
-    sources = settled(parts.groupBy("source").agg(F.sum("size").alias("weight")))
+    sources = parts.groupBy("source").agg(F.sum("size").alias("weight"))
     if weights is not None:
         given = tokens.sparkSession.createDataFrame([(k, int(v)) for k, v in weights.items()], "source string, given long")
         sources = join_null_safe(sources, given, ["source"], "left").select("source", F.coalesce("given", F.lit(1)).alias("weight"))
@@ -126,7 +126,8 @@ def pieces(df: DataFrame, path: str, end: int, length: int = LENGTH, weights: Ma
     if weights is not None and any(v <= 0 or v != int(v) for v in weights.values()):
         raise ValueError("weights must be positive whole numbers")
     tokens = settled(tokenised(df, path, end))
-    rows = tokens.join(placed(tokens, length, weights), ["chunk", "row"])
+    # A table of the narrow side is met by the rows with ids as they come; a sort would hold them in memory.
+    rows = tokens.join(placed(tokens, length, weights).hint("shuffle_hash"), ["chunk", "row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
