@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import duckdb
@@ -5,6 +6,7 @@ import pytest
 
 from viewtide.llm import mixing
 from viewtide.llm.catalog import QUERIES, SQL
+from viewtide.session import SCOPES, scratch_scope
 from workload.check import sorted_rows
 
 
@@ -57,6 +59,22 @@ def test_rows(documents):
     assert sum(len((r.text or "").split()) for r in repeated.collect()) == sum(taken.values())
 
 
+def test_words_are_not_listed(session):
+    texts = ["", " ", "a", " a", "a\t", "  ab  cd ", "\t\n\x0b\x0c\r", "x\xa0y \x85 z", "é\u0301 😀 😀😀", "$1 \\ $", "a\x1fb\0 c", "w" * 9000, "w \n" * 9000]
+    found = session.createDataFrame([(t,) for t in texts], "text string").select("text", mixing.words("text").alias("n"))
+    for row in found.collect():
+        assert row.n == len(re.findall(r"[^\x20\x09-\x0D]+", row.text))
+    assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_few_tables_are_written(documents):
+    df = documents([(i, "a b", "en", f"s{i % 5}") for i in range(20)])
+    with scratch_scope(df.sparkSession):
+        assert len(mixing.mix(df).collect()) == 20
+        # Sizes, totals, their order, two running totals, their end, the rows in order.
+        assert len(SCOPES[-1]) == 7
+
+
 def test_empty(documents):
     none = documents([]).limit(0)
     assert mixing.mix(none).collect() == [] and mixing.mixed(none).collect() == []
